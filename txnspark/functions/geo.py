@@ -20,7 +20,7 @@ def _central_angle(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Co
     dlon = F.radians(lon2 - lon1) / 2
     chord = F.pow(F.sin(dlat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlon), 2)
     # Rounding may lift the chord of antipodes above 1.
-    return 2 * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    return 2 * F.asin(F.sqrt(F.when(chord > 1, F.lit(1.0)).otherwise(chord)))
 
 
 def haversine_distance(
@@ -40,6 +40,4 @@ def point_distance_m(
 
     The reference hands (lat, lon) to a function that takes (lon, lat); here the arguments go by name.
     """
-    points = [_col(c) for c in (lat1, lon1, lat2, lon2)]
-    known = points[0].isNotNull() & points[1].isNotNull() & points[2].isNotNull() & points[3].isNotNull()
-    return F.when(known, _central_angle(*points) * radius)
+    return _central_angle(*map(_col, (lat1, lon1, lat2, lon2))) * radius

@@ -18,18 +18,26 @@ def _texts(names: list[str]) -> T.StructType:
 
 
 def _scalar(text: Column) -> Column:
-    # A field that holds an object or array is malformed; from_json would hand out its JSON text.
-    return F.when(~text.rlike(r"^\s*[\[{]"), text)
+    # A field that holds an object or array is malformed; from_json hands out its JSON text.
+    return F.when(~(text.startswith("{") | text.startswith("[")), text)
+
+
+def _parse_body(raw: DataFrame, names: list[str], *others: Column) -> DataFrame:
+    """One text column per field of the JSON body.
+
+    The one-element ``inline`` is a barrier: filters on the fields stay above it. Pushed below, each of them would
+    parse the document again.
+    """
+    return raw.select(F.inline(F.array(F.from_json("record_content", _texts(names)))), *others)
 
 
 def parse_transactions(raw: DataFrame) -> DataFrame:
     """STG-01: typed columns from the JSON envelope; a value that does not fit its type is NULL."""
-    body = F.from_json("record_content", _texts(S.TRANSACTION_MESSAGE.fieldNames())).alias("r")
-    meta = F.get_json_object("record_metadata", "$.CreateTime").alias("created")
-    parsed = raw.select(body, meta)
+    created = F.get_json_object("record_metadata", "$.CreateTime").alias("created")
+    parsed = _parse_body(raw, S.TRANSACTION_MESSAGE.fieldNames(), created)
 
     def field(name: str, kind: str | None = None) -> Column:
-        text = _scalar(F.col(f"r.{name}"))
+        text = _scalar(F.col(name))
         return (text.try_cast(kind) if kind else text).alias(name)
 
     return parsed.select(
@@ -79,7 +87,7 @@ def staging_rules(max_user: int = S.MAX_STAGED_USER, max_amount: str = S.MAX_STA
     }
 
 
-def _all(rules: dict[str, Column]) -> Column:
+def all_hold(rules: dict[str, Column]) -> Column:
     condition = F.lit(True)
     for rule in rules.values():
         condition = condition & rule
@@ -88,7 +96,7 @@ def _all(rules: dict[str, Column]) -> Column:
 
 def stage_transactions(raw: DataFrame, zone: str = LOCAL_ZONE, **limits) -> DataFrame:
     """STG-01 .. STG-03: the staging view."""
-    return derive(parse_transactions(raw), zone).where(_all(staging_rules(**limits)))
+    return derive(parse_transactions(raw), zone).where(all_hold(staging_rules(**limits)))
 
 
 def rejected_transactions(raw: DataFrame, **limits) -> DataFrame:
@@ -102,10 +110,10 @@ def rejected_transactions(raw: DataFrame, **limits) -> DataFrame:
 def stage_indicators(raw: DataFrame) -> DataFrame:
     """STG-04: typed indicator rows from the JSON envelope."""
     names = ["indicator_id", "indicator_name", "value", "date", "country"]
-    parsed = raw.select(F.from_json("record_content", _texts(names)).alias("r"))
+    parsed = _parse_body(raw, names)
 
     def text(name: str) -> Column:
-        return _scalar(F.col(f"r.{name}"))
+        return _scalar(F.col(name))
 
     return parsed.select(
         text("indicator_id").alias("indicator_id"),

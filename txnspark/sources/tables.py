@@ -16,26 +16,24 @@ def append(df: DataFrame, table: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(table)
 
 
-def append_by_day(
-    df: DataFrame, table: str, ts: str = "timestamp", cluster: str = "user_id", day: str = "day", salt: int = 16
-) -> None:
-    """SRC-06: append partitioned by day and clustered by a column.
+def lay_out_by_day(
+    df: DataFrame, ts: str = "timestamp", cluster: str = "user_id", day: str = "day", salt: int = 16
+) -> DataFrame:
+    """Add the day and place rows for a day-partitioned, clustered write.
 
-    A day is spread over ``salt`` tasks by cluster-column range buckets of its hash, so one busy day neither meets in
-    one task nor breaks into a file per task; within a file the rows are sorted, which makes row-group statistics on
-    the cluster column selective.
+    A day goes to at most ``salt`` tasks, so a busy day does not meet in one task and a quiet one does not break into
+    a file per task. Rows are sorted by the cluster column, which makes its row-group statistics selective.
     """
     placed = df.withColumn(day, F.to_date(ts)).withColumn("_salt", F.pmod(F.xxhash64(cluster, ts), F.lit(salt)))
-    (
-        placed.repartition(day, "_salt")
-        .sortWithinPartitions(day, cluster)
-        .drop("_salt")
-        .write.mode("append")
-        .format("parquet")
-        .option("compression", "snappy")
-        .partitionBy(day)
-        .saveAsTable(table)
-    )
+    return placed.repartition(day, "_salt").sortWithinPartitions(day, cluster).drop("_salt")
+
+
+def append_by_day(
+    df: DataFrame, table: str, ts: str = "timestamp", cluster: str = "user_id", day: str = "day", salt: int = 16
+) -> None:
+    """SRC-06: append to a table partitioned by day and clustered by a column."""
+    laid_out = lay_out_by_day(df, ts, cluster, day, salt)
+    laid_out.write.mode("append").format("parquet").option("compression", "snappy").partitionBy(day).saveAsTable(table)
 
 
 def append_bucketed(df: DataFrame, table: str, buckets: int, cluster: str = "user_id") -> None:
@@ -50,14 +48,18 @@ def high_water_mark(spark: SparkSession, table: str, ts: str = "timestamp"):
     return spark.table(table).agg(F.max(ts)).first()[0]
 
 
+def newer_than(source: DataFrame, mark, ts: str = "timestamp") -> DataFrame:
+    """SRC-07: rows after the high-water mark; all rows when there is none."""
+    return source if mark is None else source.where(F.col(ts) > F.lit(mark).cast(source.schema[ts].dataType))
+
+
 def load_increment(source: DataFrame, table: str, ts: str = "timestamp", cluster: str = "user_id", day: str = "day") -> None:
-    """SRC-07: append the rows newer than the high-water mark, so that a second run adds nothing.
+    """SRC-06, SRC-07: append the rows newer than the table's high-water mark, so that a second run adds nothing.
 
     The reference computes the mark and ignores it; every run appends everything again.
     """
     mark = high_water_mark(source.sparkSession, table, ts)
-    fresh = source if mark is None else source.where(F.col(ts) > F.lit(mark).cast(source.schema[ts].dataType))
-    append_by_day(fresh, table, ts, cluster, day)
+    append_by_day(newer_than(source, mark, ts), table, ts, cluster, day)
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
