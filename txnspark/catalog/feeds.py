@@ -1 +1,234 @@
-"""Registered queries."""
+"""Sources, sinks and streams over the test tables. Sinks are written to scratch folders and read back."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from txnspark import bindings as B
+from txnspark import schemas as S
+from txnspark.catalog.registry import ctes, query
+from txnspark.operators import contracts as C
+from txnspark.session import ensure_checkpoint_dir
+from txnspark.sources import feeds, files, tables
+from txnspark.streaming import ingest
+
+table = B.table
+
+
+def scratch(spark, name):
+    """New folder next to the checkpoints, which all executors share."""
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+# --- files and tables ----------------------------------------------------------------------------------------------
+
+
+@query("src_01_csv_to_parquet", "SELECT c_custkey, c_name, c_acctbal, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer")
+def _(spark, sf):
+    """Customers as a CSV feed with a declared schema, loaded as Parquet; empty cells become NULL."""
+    source, target = scratch(spark, "csv"), scratch(spark, "parquet")
+    segment = F.nullif("c_mktsegment", F.lit("BUILDING")).alias("c_mktsegment")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", segment)
+    rows.write.option("header", True).csv(source)
+    files.csv_to_parquet(spark, source, target, rows.schema)
+    return spark.read.parquet(target)
+
+
+@query("src_02_json_to_parquet", "SELECT o_orderkey AS transaction_id, o_orderpriority = '1-URGENT' AS is_fraud FROM orders")
+def _(spark, sf):
+    source, target = scratch(spark, "json"), scratch(spark, "parquet")
+    B.fraud_labels(spark, sf).write.json(source)
+    files.json_to_parquet(spark, source, target, S.RAW_FRAUD_LABELS)
+    return spark.read.parquet(target)
+
+
+@query(
+    "src_03_json_lake",
+    """SELECT event_id, user_id, event_type, CAST(day(ts) AS INTEGER) AS "day", CAST(hour(ts) AS INTEGER) AS "hour"
+    FROM events WHERE day(ts) BETWEEN 3 AND 4""",
+)
+def _(spark, sf):
+    """JSON lines under year/month/day/hour folders; only two days' folders are read back."""
+    lake = scratch(spark, "lake")
+    e = table(spark, sf, "events")
+    parts = {"year": F.year("ts"), "month": F.month("ts"), "day": F.dayofmonth("ts"), "hour": F.hour("ts")}
+    e.select("event_id", "user_id", "event_type", *[c.alias(n) for n, c in parts.items()]).repartition("day").write.partitionBy(
+        *parts
+    ).json(lake)
+    schema = e.select("event_id", "user_id", "event_type").schema
+    return files.read_json_lake(spark, lake, schema, "day BETWEEN 3 AND 4").select(
+        "event_id", "user_id", "event_type", "day", "hour"
+    )
+
+
+@query("src_04_parquet_overwrite", "SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal > 0")
+def _(spark, sf):
+    target = scratch(spark, "overwrite")
+    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    files.write_parquet(supplier, target)
+    files.write_parquet(supplier.where("s_acctbal > 0"), target)
+    return spark.read.parquet(target)
+
+
+@query(
+    "src_06_07_incremental_load",
+    "SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1",
+)
+def _(spark, sf):
+    """Three loads into a day-partitioned, user-clustered folder: half, all, all again. The mark keeps rows single."""
+    target = scratch(spark, "incremental")
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    middle = e.agg(F.expr("timestampadd(DAY, 15, min(ts))").cast("timestamp_ntz")).first()[0]
+    for increment in (e.where(F.col("ts") <= F.lit(middle)), e, e):
+        mark = spark.read.parquet(target).agg(F.max("ts")).first()[0] if os.path.isdir(target) else None
+        laid_out = tables.lay_out_by_day(tables.newer_than(increment, mark, "ts"), "ts", "user_id", "day", salt=2)
+        laid_out.write.mode("append").partitionBy("day").parquet(target)
+    loaded = spark.read.parquet(target)
+    return loaded.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
+
+
+# --- external feeds ------------------------------------------------------------------------------------------------
+
+
+def snapshots(spark, sf):
+    """One exchange-rate snapshot per day: event types stand for currencies, daily counts for rates."""
+    e = table(spark, sf, "events")
+    daily = e.groupBy(F.to_date("ts").alias("day"), F.upper(F.left("event_type", F.lit(3))).alias("code")).agg(
+        (F.count(F.lit(1)) / F.lit(8.0)).alias("rate")
+    )
+    grouped = daily.groupBy("day").agg(F.map_from_entries(F.collect_list(F.struct("code", "rate"))).alias("rates"))
+    seconds = F.unix_date("day").cast("bigint") * 86400
+    return grouped.select(
+        F.when(F.dayofmonth("day") != 5, F.lit("USD")).alias("base"), seconds.alias("timestamp"), "rates"
+    )
+
+
+@query(
+    "src_12_exchange_rates",
+    """SELECT 'USD_' || upper(left(event_type, 3)) AS key, 'USD' AS base_currency, upper(left(event_type, 3)) AS target_currency,
+      count(*) / CAST(8 AS DOUBLE) AS rate, CAST(epoch(CAST(ts AS DATE)) AS BIGINT) AS api_timestamp_unix,
+      strftime(CAST(ts AS DATE), '%Y-%m-%dT00:00:00+00:00') AS api_timestamp_iso_utc, '2024-02-01T00:00:00.000000+00:00' AS fetch_timestamp_iso_utc
+    FROM events WHERE day(ts) <> 5 GROUP BY event_type, CAST(ts AS DATE)""",
+)
+def _(spark, sf):
+    """A snapshot without a base currency (the fifth day) is skipped."""
+    return feeds.exchange_rates(snapshots(spark, sf), F.lit("2024-02-01 00:00:00").cast("timestamp"))
+
+
+def observations(spark, sf):
+    """Series observations as text; every seventh day is missing (``.``)."""
+    i = B.raw_indicators(spark, sf)
+    text = F.when(F.dayofmonth("date") % 7 == 0, ".").otherwise(F.round(F.col("value")).cast("bigint").cast("string"))
+    return i.select(F.col("indicator").alias("series_id"), F.col("date").cast("string").alias("date"), text.alias("value"))
+
+
+@query(
+    "src_13_indicators",
+    ctes(B.RAW_INDICATORS)
+    + "SELECT '2024-02-01T00:00:00.000000+00:00' AS timestamp, indicator AS indicator_id, "
+    + B.NAMES_SQL
+    + """ AS indicator_name, CASE WHEN day(date) % 7 = 0 THEN 0 ELSE CAST(CAST(round(value) AS BIGINT) AS DOUBLE) END AS value,
+      CAST(date AS VARCHAR) AS date, 'US' AS country, CASE WHEN indicator = 'GDP' THEN 'quarterly' ELSE 'monthly' END AS frequency, 'FRED' AS source
+    FROM raw_indicators""",
+)
+def _(spark, sf):
+    return feeds.indicators(observations(spark, sf), F.lit("2024-02-01 00:00:00").cast("timestamp"))
+
+
+@query(
+    "src_14_latest_observation",
+    ctes(B.RAW_INDICATORS)
+    + """SELECT indicator AS series_id, CAST(max(date) AS VARCHAR) AS date,
+      arg_max(CASE WHEN day(date) % 7 = 0 THEN '.' ELSE CAST(CAST(round(value) AS BIGINT) AS VARCHAR) END, date) AS value
+    FROM raw_indicators GROUP BY 1""",
+)
+def _(spark, sf):
+    return feeds.latest_observations(observations(spark, sf))
+
+
+@query(
+    "src_15_keyed_messages",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS key,
+      '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}' AS value FROM orders""",
+)
+def _(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return feeds.to_messages(orders, "o_orderkey").select("key", F.col("value").cast("string").alias("value"))
+
+
+# --- streams -------------------------------------------------------------------------------------------------------
+
+
+def event_stream(spark, sf):
+    schema = table(spark, sf, "events").schema
+    return ingest.read_files(spark, sf, schema, name_filter="events.parquet")
+
+
+@query(
+    "str_05_partitioned_lake",
+    "SELECT event_id, user_id, event_type, strftime(ts, '%d') AS arrival_day, strftime(ts, '%H') AS arrival_hour FROM events",
+)
+def _(spark, sf):
+    """File stream to a year/month/day/hour lake, exactly once; the event time stands for the arrival time."""
+    lake, checkpoint = scratch(spark, "lake"), scratch(spark, "checkpoint")
+    stamped = ingest.stamp_received(event_stream(spark, sf).withColumn("received_at", F.col("ts")))
+    parted = ingest.with_arrival_parts(stamped).repartition("day")
+    ingest.write_lake(parted, lake, checkpoint, once=True).awaitTermination()
+    read = spark.read.option("basePath", lake).parquet(lake)
+    two = {"day": "arrival_day", "hour": "arrival_hour"}
+    padded = [F.lpad(F.col(c).cast("string"), 2, "0").alias(n) for c, n in two.items()]
+    return read.select("event_id", "user_id", "event_type", *padded)
+
+
+@query("str_02_07_decoded_messages", "SELECT CAST(event_id AS VARCHAR) AS transaction_id, user_id, value AS amount FROM events WHERE event_id % 9 <> 0")
+def _(spark, sf):
+    """JSON payloads decoded on a stream; every ninth payload is cut short and goes to the rejects."""
+    good, bad, checkpoint = (scratch(spark, n) for n in ("accepted", "rejected", "checkpoint"))
+    body = F.to_json(F.struct(F.col("event_id").cast("string").alias("transaction_id"), "user_id", F.col("value").alias("amount")))
+    payload = F.when(F.col("event_id") % 9 == 0, F.left(body, F.lit(12))).otherwise(body)
+    messages = event_stream(spark, sf).select(payload.cast("binary").alias("value"))
+    decoded = ingest.decode_json(messages)
+    rules = [C.Rule("payload: json", F.col("_corrupt").isNull()), *C.required("transaction_id", "user_id", "amount")]
+    ingest.write_with_rejects(decoded, rules, good, bad, checkpoint, once=True).awaitTermination()
+    return spark.read.parquet(good).select("transaction_id", F.col("user_id").cast("bigint").alias("user_id"), "amount")
+
+
+@query("str_08_deduplicated", "SELECT event_id, user_id, ts AS event_time FROM events")
+def _(spark, sf):
+    """Every event arrives twice; one copy per id survives. The watermark spans the data, whose file order is arbitrary."""
+    lake, checkpoint = scratch(spark, "dedup"), scratch(spark, "checkpoint")
+    twice = event_stream(spark, sf).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    keyed = ingest.event_time(twice.select("event_id", "user_id", "ts"), "ts").drop("ts")
+    once = ingest.deduplicate_stream(keyed, ["event_id"], delay="400 days")
+    ingest.lake_writer(once, lake, checkpoint, parts=(), once=True).start().awaitTermination()
+    return spark.read.schema(keyed.schema).parquet(lake)
+
+
+@query("str_09_fresh_only", "SELECT event_id, ts FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 48 HOUR FROM events)")
+def _(spark, sf):
+    lake, checkpoint = scratch(spark, "fresh"), scratch(spark, "checkpoint")
+    newest = table(spark, sf, "events").agg(F.max("ts")).first()[0]
+    stream = event_stream(spark, sf).select("event_id", "ts")
+    fresh = ingest.fresh_only(stream, "ts", 48, F.lit(newest))
+    ingest.lake_writer(fresh, lake, checkpoint, parts=(), once=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(lake)
+
+
+@query("str_10_11_topic_to_table", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 10 <> 0")
+def _(spark, sf):
+    """Keyed JSON messages into a table folder; every tenth is a tombstone and leaves no row."""
+    target, checkpoint = scratch(spark, "topic"), scratch(spark, "checkpoint")
+    schema = table(spark, sf, "orders").schema
+    orders = ingest.read_files(spark, sf, schema, name_filter="orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus")
+    messages = feeds.to_messages(orders, "o_orderkey")
+    messages = messages.withColumn("value", F.when(F.col("key").cast("bigint") % 10 != 0, F.col("value")))
+    body = orders.schema
+
+    def decode(m):
+        return m.select(F.inline(F.array(F.from_json(F.col("value").cast("string"), body))))
+
+    ingest.topic_to_table(messages, decode, target, checkpoint, once=True).awaitTermination()
+    return spark.read.schema(body).parquet(target)

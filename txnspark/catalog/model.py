@@ -1 +1,108 @@
-"""Registered queries."""
+"""Fraud model over the test tables."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.sql import functions as F
+
+from txnspark import bindings as B
+from txnspark.catalog import marts
+from txnspark.catalog.registry import query
+from txnspark.ml import fraud
+from txnspark.plans import cards
+
+DAYS = 90
+
+
+def recent_features(spark, sf):
+    orders = B.table(spark, sf, "orders")
+    return fraud.training_set(cards.ml_features(marts.analysis(spark, sf)), B.newest(orders, "o_orderdate"), DAYS)
+
+
+def balanced_source(spark, sf):
+    """Cheap features straight from the orders, for the balancing operators."""
+    o = B.table(spark, sf, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("transaction_id"),
+        F.col("o_totalprice").alias("amount"),
+        (F.col("o_custkey") % 60).cast("double").alias("current_age"),
+        (F.col("o_orderpriority") == "1-URGENT").cast("double").alias("label"),
+    )
+
+
+RECENT = "SELECT * FROM analysis WHERE transaction_date >= (SELECT CAST(max(o_orderdate) AS DATE) - 90 FROM orders)"
+
+
+@query(
+    "ml_01_training_set",
+    marts.FACTS
+    + "SELECT transaction_id, transaction_date, amount, use_chip, has_chip, credit_limit, current_age, "
+    "round(distance_to_merchant) AS distance_to_merchant, transaction_hour, transaction_day_of_week, unemployment_rate, "
+    f"unemployment_change_rate, is_fraud FROM ({RECENT})",
+)
+def _(spark, sf):
+    return recent_features(spark, sf).withColumn("distance_to_merchant", F.round("distance_to_merchant"))
+
+
+@query(
+    "ml_02_scaled_features",
+    """WITH t AS (SELECT o_orderkey AS transaction_id, o_totalprice AS amount, CAST(o_custkey % 60 AS DOUBLE) AS current_age FROM orders),
+    s AS (SELECT avg(amount) AS m1, stddev_samp(amount) AS s1, avg(current_age) AS m2, stddev_samp(current_age) AS s2 FROM t)
+    SELECT transaction_id, round((amount - m1) / s1, 6) AS amount, round((current_age - m2) / s2, 6) AS current_age FROM t, s""",
+)
+def _(spark, sf):
+    source = balanced_source(spark, sf).select("transaction_id", "amount", "current_age")
+    scaled = fraud.z_scores(source, ["amount", "current_age"])
+    return scaled.select("transaction_id", F.round("amount", 6).alias("amount"), F.round("current_age", 6).alias("current_age"))
+
+
+@query(
+    "ml_03_class_weights",
+    """WITH t AS (SELECT o_orderkey AS transaction_id, o_orderpriority = '1-URGENT' AS f FROM orders),
+    c AS (SELECT CAST(count(*) AS DOUBLE) AS n, count(*) FILTER (f) AS p FROM t)
+    SELECT transaction_id, n / (CAST(2 AS DOUBLE) * (CASE WHEN f THEN p ELSE n - p END)) AS balanced_weight,
+      CASE WHEN f THEN CAST(10 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS positive_weight FROM t, c""",
+)
+def _(spark, sf):
+    return fraud.with_weights(balanced_source(spark, sf)).select("transaction_id", "balanced_weight", "positive_weight")
+
+
+@query(
+    "ml_03_smote_counts",
+    """SELECT label, synthetic, n FROM (
+      SELECT CAST(0 AS DOUBLE) AS label, false AS synthetic, count(*) AS n FROM orders WHERE o_orderpriority <> '1-URGENT'
+      UNION ALL SELECT CAST(1 AS DOUBLE), false, count(*) FROM orders WHERE o_orderpriority = '1-URGENT'
+      UNION ALL SELECT CAST(1 AS DOUBLE), true, count(*) FILTER (o_orderpriority <> '1-URGENT') - count(*) FILTER (o_orderpriority = '1-URGENT') FROM orders)""",
+)
+def _(spark, sf):
+    """Synthetic positives bring both classes to the same number of rows."""
+    grown = fraud.smote(balanced_source(spark, sf), ["amount", "current_age"])
+    return grown.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+def small_model(spark, sf):
+    """A small forest on the recent features (the full candidates are for a cluster)."""
+    data = fraud.numeric(recent_features(spark, sf))
+    forest = RandomForestClassifier(
+        numTrees=10, maxDepth=5, weightCol="balanced_weight", featuresCol="features", labelCol="label", seed=fraud.SEED
+    )
+    return fraud.fit(data, forest, "rf"), data
+
+
+@query("ml_06_feature_importances")
+def _(spark, sf):
+    model, _ = small_model(spark, sf)
+    return spark.createDataFrame(model.importances(), "feature string, importance double").orderBy(F.desc("importance")).limit(5)
+
+
+@query("ml_07_classification_report")
+def _(spark, sf):
+    model, data = small_model(spark, sf)
+    return fraud.classification_report(model.pipeline.transform(data))
+
+
+@query("ml_09_scores")
+def _(spark, sf):
+    model, _ = small_model(spark, sf)
+    scored = fraud.score(model, recent_features(spark, sf))
+    return scored.select("transaction_id", "fraud_probability", "is_fraud", "confidence", "model_used")
