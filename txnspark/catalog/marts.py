@@ -83,7 +83,9 @@ def series(spark, sf):
 
 
 def analysis(spark, sf):
-    return cards.fraud_analysis(facts(spark, sf), series(spark, sf), B.fraud_labels(spark, sf))
+    return cards.fraud_analysis(
+        facts(spark, sf), series(spark, sf), B.fraud_labels(spark, sf), transactions=B.bare_transactions(spark, sf)
+    )
 
 
 def stream_analysis(spark, sf):
@@ -302,7 +304,7 @@ def _(spark, sf):
     ).replace("ORDER BY transaction_timestamp_utc\n", "ORDER BY a.transaction_timestamp_utc\n"),
 )
 def _(spark, sf):
-    return star.ml_features_view(stream_analysis(spark, sf), with_ranges=True)
+    return star.ml_features_view(stream_analysis(spark, sf), with_ranges=True, transactions=B.staged(spark, sf))
 
 
 @query(

@@ -1,0 +1,23 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+MAX_LOCAL_ROWS = 100_000
+
+
+def localise(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
+    """A small lookup frame as a local relation; a larger one unchanged.
+
+    Spark estimates the output of aggregates, windows and generators by their input, so a calendar or a daily series
+    looks large and the joined facts would be shuffled by date. This fetches at most ``max_rows`` + 1 narrow rows: when
+    all of them fit, Spark knows the exact size and broadcasts; beyond that the plain join (with AQE's skew handling)
+    remains. A stream is left alone.
+    """
+    if df.isStreaming:
+        return df
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return df
+    return df.sparkSession.createDataFrame(rows, df.schema)

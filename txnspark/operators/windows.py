@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 HOUR = 3600
@@ -31,13 +31,6 @@ def time_slice(ts: Column | str, seconds: int = HOUR) -> Column:
     return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
-def _null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    condition = left[names[0]].eqNullSafe(right[names[0]])
-    for name in names[1:]:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def with_carry(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,18 +38,23 @@ def with_carry(
     values: Sequence[str],
     rows: int,
     slice_seconds: int = HOUR,
-) -> DataFrame:
-    """Add ``_slice``, ``_rn`` (row number inside the slice) and ``_carry``.
-
-    ``_carry`` holds structs of ``values`` for at most ``rows`` rows that precede the slice, oldest first.
-    ``order[0]`` must be the time column; further columns break ties.
+    source: DataFrame | None = None,
+) -> tuple[DataFrame, WindowSpec]:
+    """Rows with the state of the earlier slices, and the window that orders a slice.
+
+    Every slice starts with a header row (``_kind`` 0) whose ``_carry`` holds structs of ``values`` for at most
+    ``rows`` rows that precede the slice, oldest first. The rows get ``_carry`` from their header and ``_rn``, their
+    number inside the slice. Headers ride along in the shuffle the window needs anyway; callers drop them at the end
+    with ``without_headers``. ``order[0]`` must be the time column; further columns break ties. The state is computed
+    from ``source``: a frame with the same rows that is cheaper to produce than ``df`` (without its joins, say).
     """
     sliced = df.withColumn("_slice", time_slice(order[0], slice_seconds))
+    narrow = sliced if source is None else source.withColumn("_slice", time_slice(order[0], slice_seconds))
     group = [*keys, "_slice"]
 
     newest_first = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        sliced.select(*dict.fromkeys([*group, *order, *values]))
+        narrow.select(*dict.fromkeys([*group, *order, *values]))
         # Filtering a row number lets Spark keep only `rows` per group before the shuffle.
         .withColumn("_back", F.row_number().over(newest_first))
         .where(F.col("_back") <= rows)
@@ -66,22 +64,22 @@ def with_carry(
     )
     # One row per slice and key, so this window is bounded by the time span of the data.
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(-rows, -1)
-    joined = F.flatten(F.collect_list("_t").over(earlier))
-    carry = tails.withColumn("_all", joined).select(
-        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(group)],
-        F.when(F.size("_all") <= rows, F.col("_all"))
-        .otherwise(F.slice("_all", F.greatest(F.size("_all") - rows + 1, F.lit(1)), F.lit(rows)))
-        .alias("_carry"),
+    found = tails.withColumn("_all", F.flatten(F.collect_list("_t").over(earlier)))
+    newest = F.when(F.size("_all") <= rows, F.col("_all")).otherwise(
+        F.slice("_all", F.greatest(F.size("_all") - rows + 1, F.lit(1)), F.lit(rows))
     )
-    condition = F.lit(True)
-    for i, c in enumerate(group):
-        condition = condition & sliced[c].eqNullSafe(carry[f"_k{i}"])
-    in_order = Window.partitionBy(*group).orderBy(*order)
-    return (
-        sliced.join(carry, condition, "left")
-        .drop(*[f"_k{i}" for i in range(len(group))])
-        .withColumn("_rn", F.row_number().over(in_order))
+    headers = found.select(*group, newest.alias("_carry"), F.lit(0).alias("_kind"))
+    in_order = Window.partitionBy(*group).orderBy("_kind", *order)
+    both = sliced.withColumn("_kind", F.lit(1)).unionByName(headers, allowMissingColumns=True)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("_header", F.first("_carry").over(so_far)).withColumn(
+        "_rn", F.row_number().over(in_order) - 1
     )
+    return carried.drop("_carry").withColumnRenamed("_header", "_carry"), in_order
+
+
+def without_headers(df: DataFrame) -> DataFrame:
+    return df.where(F.col("_kind") == 1).drop("_slice", "_kind", "_rn", "_carry")
 
 
 def lag_by_slice(
@@ -93,10 +91,10 @@ def lag_by_slice(
     slice_seconds: int = 30 * DAY,
 ) -> DataFrame:
     """WIN-04: previous value of a column per key, in the given order."""
-    carried = with_carry(df, keys, order, [value], 1, slice_seconds)
-    in_order = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    previous = F.when(F.col("_rn") > 1, F.lag(value).over(in_order)).otherwise(F.try_element_at("_carry", F.lit(-1))[value])
-    return carried.withColumn(out, previous).drop("_slice", "_rn", "_carry")
+    carried, in_order = with_carry(df, keys, order, [value], 1, slice_seconds)
+    before = F.try_element_at("_carry", F.lit(-1))[value]
+    previous = F.when(F.col("_rn") > 1, F.lag(value).over(in_order)).otherwise(before)
+    return without_headers(carried.withColumn(out, previous))
 
 
 def rolling_rows(
@@ -107,29 +105,28 @@ def rolling_rows(
     counts: dict[str, int],
     averages: dict[str, int],
     slice_seconds: int = HOUR,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """WIN-01, WIN-02: COUNT(*) and AVG(value) over ``ROWS n PRECEDING .. CURRENT ROW``.
 
     ``counts`` and ``averages`` map an output column to its n.
     """
     rows = max([*counts.values(), *averages.values()])
-    carried = with_carry(df, keys, order, [value], rows, slice_seconds)
-    in_order = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    carry = F.coalesce(F.col("_carry"), F.array().cast(carried.schema["_carry"].dataType))
-    result = carried.withColumn("_carry", carry)
+    result, in_order = with_carry(df, keys, order, [value], rows, slice_seconds, source)
+    kind = df.schema[value].dataType
     for out, n in counts.items():
         result = result.withColumn(out, F.least(F.col("_rn") + F.size("_carry"), F.lit(n + 1)).cast("bigint"))
     for out, n in averages.items():
+        # A header inside the frame has no value and does not count.
         frame = in_order.rowsBetween(-n, 0)
         missing = F.greatest(F.lit(n + 1) - F.col("_rn"), F.lit(0))
         before = F.slice("_carry", F.greatest(F.size("_carry") - missing + 1, F.lit(1)), missing)
         before = F.filter(F.transform(before, lambda x: x[value]), lambda x: x.isNotNull())
-        zero = F.lit(0).cast(df.schema[value].dataType)
-        own = F.coalesce(F.sum(value).over(frame), zero).cast(df.schema[value].dataType)
-        total = F.aggregate(before, own, lambda a, x: (a + x).cast(df.schema[value].dataType))
+        own = F.coalesce(F.sum(value).over(frame), F.lit(0)).cast(kind)
+        total = F.aggregate(before, own, lambda a, x: (a + x).cast(kind))
         known = F.count(value).over(frame) + F.size(before)
         result = result.withColumn(out, F.try_divide(total.cast("double"), known.cast("double")))
-    return result.drop("_slice", "_rn", "_carry")
+    return without_headers(result)
 
 
 def rolling_count(
@@ -139,11 +136,13 @@ def rolling_count(
     span_seconds: int,
     out: str,
     slices_per_span: int = 24,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """WIN-03: COUNT(*) over ``RANGE span PRECEDING .. CURRENT ROW`` per key; rows of one instant are peers.
 
     Rows are first counted per (key, instant). Inside a slice the frame is a running sum of arrivals and of
-    expiries (arrivals of the slice one span earlier), on top of the totals of the slices in between.
+    expiries (arrivals of the slice one span earlier), on top of the totals of the slices in between. The counts come
+    from ``source``, a frame with the same rows that is cheaper to produce than ``df``.
     """
     span = span_seconds * 1_000_000
     if span % slices_per_span:
@@ -151,7 +150,8 @@ def rolling_count(
     width = span // slices_per_span
 
     instants = (
-        df.groupBy(*keys, ts)
+        (df if source is None else source)
+        .groupBy(*keys, ts)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_at", micros(ts))
         .withColumn("_slice", F.floor(F.col("_at") / F.lit(width)).cast("bigint"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from txnspark.functions.dates import months_between_whole
 from txnspark.functions.geo import RADIUS_METRES, point_distance_m
 from txnspark.functions.scalar import safe_divide
+from txnspark.operators.joins import localise
 from txnspark.operators.windows import DAY, lag_by_slice, rolling_count
 from txnspark.sources.feeds import indicator_name
 from txnspark.sources.tables import materialise
@@ -157,15 +158,25 @@ def fraud_analysis(
     labels: DataFrame,
     unemployment: str = UNEMPLOYMENT,
     radius: float = RADIUS_METRES,
+    transactions: DataFrame | None = None,
 ) -> DataFrame:
-    """VIEW-02: one-day rolling count per client, distance to the merchant, time parts, unemployment, label."""
-    e = indicators.where(F.col("indicator") == unemployment).select(
-        F.col("date").alias("_day"),
-        F.col("value").alias("unemployment_rate"),
-        F.col("change_rate").alias("unemployment_change_rate"),
+    """VIEW-02: one-day rolling count per client, distance to the merchant, time parts, unemployment, label.
+
+    ``transactions`` are the raw rows behind facts that are not stored: the counts then read two of their columns
+    instead of running the facts' joins again.
+    """
+    e = localise(
+        indicators.where(F.col("indicator") == unemployment).select(
+            F.col("date").alias("_day"),
+            F.col("value").alias("unemployment_rate"),
+            F.col("change_rate").alias("unemployment_change_rate"),
+        )
     )
     fl = labels.select("transaction_id", "is_fraud")
-    counted = rolling_count(facts, ["client_id"], "transaction_date", DAY, "daily_transaction_count")
+    source = None
+    if transactions is not None:
+        source = transactions.where(F.col("date").isNotNull()).select("client_id", F.col("date").alias("transaction_date"))
+    counted = rolling_count(facts, ["client_id"], "transaction_date", DAY, "daily_transaction_count", source=source)
     return (
         counted.withColumn("_day", F.to_date("transaction_date"))
         .join(e, "_day", "left")
@@ -254,7 +265,7 @@ def build_marts(
     """PIPE-01: all marts and views as lazy frames, in dependency order."""
     facts = fact_transactions(transactions, cards, users, merchants, as_of)
     series = fact_economic_indicators(indicators)
-    analysis = fraud_analysis(facts, series, labels)
+    analysis = fraud_analysis(facts, series, labels, transactions=transactions)
     return Marts(
         dim_users=dim_users(users),
         dim_cards=dim_cards(cards),

@@ -31,6 +31,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def get_session(app_name: str = "txnspark", master: str | None = None, **conf: object) -> SparkSession:
     """Create (or reuse) a session; extra keyword options use ``_`` for ``.``."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
     for key, value in REQUIRED.items():
