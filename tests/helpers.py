@@ -31,4 +31,5 @@ def rows(df) -> list:
 def same(df, expected: Iterable, columns: str | None = None) -> None:
     if columns is not None:
         assert df.columns == columns.split()
-    assert rows(df) == bag(expected)
+    got, want = rows(df), bag(expected)
+    assert got == want, f"{got} != {want}"

@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import random
+from collections import Counter
 
 import pandas as pd
 import pytest
 
 from helpers import bag, rows
-from txnspark.operators.windows import adjacent_pairs, lag_by_slice, rolling_count, rolling_rows
+from txnspark.operators.windows import adjacent_pairs, fit_slice_seconds, lag_by_slice, rolling_count, rolling_rows
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -92,3 +93,12 @@ def test_adjacent_pairs_cross_partition_edges(spark, frame, duck, partitions):
     base = "select id, lead(id) over (order by k nulls first, ts nulls first, id) n from t"
     assert got == _duck(duck, data, f"select * from ({base}) where n is not null")
     assert got_few == _duck(duck, data, f"select * from ({base}) where n % 50 = 0")
+
+
+def test_slice_width_fits_the_hottest_key(frame):
+    df, data = frame
+    width = fit_slice_seconds(df, ["k"], "ts", target_rows=20, start_seconds=86400)
+    slices = Counter(int((r[2] - T0).total_seconds()) // width for r in data if r[1] == "hot" and r[2])
+    hottest = max(slices.values())
+    assert 1 <= width < 86400 and hottest <= 20
+    assert fit_slice_seconds(df, ["k"], "ts") == 3600

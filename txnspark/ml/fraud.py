@@ -271,7 +271,7 @@ def cross_validate(
             parallelism=parallelism,
         )
         fitted = validator.fit(data)
-        scores[name] = (fitted.avgMetrics[0], fitted.stdMetrics[0])
+        scores[name] = (float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))
     return scores
 
 

@@ -275,32 +275,47 @@ def mutually_exclusive_ranges(
 
     keys = ["partition_by_col"] if partition_by else []
     parts = [_expr(partition_by).alias("partition_by_col")] if partition_by else []
-    ranges = df.select(*parts, _expr(lower).alias("lower_bound"), _expr(upper).alias("upper_bound"))
-    lo, hi = F.col("lower_bound"), F.col("upper_bound")
+    # Equal ranges are counted first, so that neither a hot partition nor a hot range meets in one task.
+    ranges = (
+        df.select(*parts, _expr(lower).alias("lower_bound"), _expr(upper).alias("upper_bound"))
+        .groupBy(*keys, "lower_bound", "upper_bound")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    lo, hi, nxt = F.col("lower_bound"), F.col("upper_bound"), F.col("_next")
     sound = F.coalesce(lo <= hi if zero_length_range_allowed else lo < hi, F.lit(False))
 
-    def is_last(nxt: Column) -> Column:
+    def is_last(following: Column) -> Column:
         same = F.lit(True)
         for k in keys:
-            same = same & F.col(k).eqNullSafe(nxt[k])
-        return nxt.isNull() | ~same
+            same = same & F.col(k).eqNullSafe(following[k])
+        return following.isNull() | ~same
+
+    def follows_rule(next_lower: Column, last: Column) -> Column:
+        return F.coalesce(gap_rule(hi, next_lower), last, F.lit(False))
+
+    def report(rows: DataFrame, next_lower: Column, last: Column) -> DataFrame:
+        return rows.select(
+            *keys,
+            "lower_bound",
+            "upper_bound",
+            next_lower.alias("next_lower_bound"),
+            last.alias("is_last_record"),
+            sound.alias(f"lower_bound_{length_words}_upper_bound"),
+            follows_rule(next_lower, last).alias(f"upper_bound_{gap_words}_next_lower_bound"),
+        )
 
-    def ordered(nxt: Column) -> Column:
-        return F.coalesce(F.when(~is_last(nxt), gap_rule(hi, nxt["lower_bound"])), is_last(nxt), F.lit(False))
+    def next_lower(following: Column) -> Column:
+        return F.when(~is_last(following), following["lower_bound"])
 
     broken = adjacent_pairs(
-        ranges, [*keys, "lower_bound", "upper_bound"], lambda nxt: ~(sound & ordered(nxt))
-    )
-    nxt = F.col("_next")
-    return broken.select(
-        *keys,
-        "lower_bound",
-        "upper_bound",
-        F.when(~is_last(nxt), nxt["lower_bound"]).alias("next_lower_bound"),
-        is_last(nxt).alias("is_last_record"),
-        sound.alias(f"lower_bound_{length_words}_upper_bound"),
-        ordered(nxt).alias(f"upper_bound_{gap_words}_next_lower_bound"),
+        ranges.drop("_n"),
+        [*keys, "lower_bound", "upper_bound"],
+        lambda following: ~(sound & follows_rule(next_lower(following), is_last(following))),
     )
+    # All but the last copy of a range are followed by an equal one.
+    copies = ranges.where((F.col("_n") > 1) & ~(sound & follows_rule(lo, F.lit(False))))
+    repeated = _repeat(copies.withColumn("_n", F.col("_n") - 1), "_n")
+    return report(broken, next_lower(nxt), is_last(nxt)).unionByName(report(repeated, lo, F.lit(False)))
 
 
 def sequential_values(

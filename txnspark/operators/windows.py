@@ -7,7 +7,7 @@ work per (key, slice) and carry a small, bounded state from slice to slice:
 * ``rolling_count`` adds up an interval frame from per-slice totals plus arrivals and expiries inside a slice;
 * ``adjacent_pairs`` compares neighbours of a global order through range partitions and their edges.
 
-A slice must fit one task (it spills to disk): choose ``slice_seconds`` so that the hottest key's slice does.
+A slice must fit one task (it spills to disk): ``fit_slice_seconds`` finds the width at which the hottest one does.
 """
 
 from __future__ import annotations
@@ -31,6 +31,22 @@ def time_slice(ts: Column | str, seconds: int = HOUR) -> Column:
     return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
+def fit_slice_seconds(
+    df: DataFrame, keys: Sequence[str], ts: str, target_rows: int = 5_000_000, start_seconds: int = HOUR
+) -> int:
+    """Slice width at which no (key, slice) holds more than ``target_rows``, found by counting.
+
+    One aggregate per step; the width shrinks by the measured excess until the hottest slice fits or is one second.
+    """
+    seconds = start_seconds
+    while True:
+        counted = df.groupBy(*keys, time_slice(ts, seconds).alias("_slice")).agg(F.count(F.lit(1)).alias("_n"))
+        hottest = counted.agg(F.max("_n")).first()[0] or 0
+        if hottest <= target_rows or seconds == 1:
+            return seconds
+        seconds = max(1, seconds // -(-hottest // target_rows))
+
+
 def with_carry(
     df: DataFrame,
     keys: Sequence[str],

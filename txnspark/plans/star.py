@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from txnspark.functions.scalar import surrogate_key
 from txnspark.operators.generators import date_spine, date_spine_over
 from txnspark.operators.joins import localise
-from txnspark.operators.windows import DAY, rolling_count, rolling_rows
+from txnspark.operators.windows import DAY, HOUR, rolling_count, rolling_rows
 
 # Span of the date dimension, end excluded.
 CALENDAR_START = "2020-01-01"
@@ -178,7 +178,10 @@ def fraud_analysis_view(
 
 
 def ml_features_view(
-    analysis: DataFrame, with_ranges: bool = False, transactions: DataFrame | None = None
+    analysis: DataFrame,
+    with_ranges: bool = False,
+    transactions: DataFrame | None = None,
+    slice_seconds: int = HOUR,
 ) -> DataFrame:
     """VIEW-03: model features.
 
@@ -198,6 +201,7 @@ def ml_features_view(
         "amount",
         counts={"transaction_count_last_24h": 1},
         averages={"avg_amount_last_7d": 7},
+        slice_seconds=slice_seconds,
         source=source,
     )
     extra = []
