@@ -8,16 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnspark import schemas as S
 from txnspark.plans import staging
-from txnspark.sources.feeds import INDICATOR_SERIES
 
 NUMERIC = staging.NUMERIC
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table. Its schema is read from the files once; a declared schema saves a job per read."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _cycle(key: Column, values: list[str]) -> Column:
@@ -313,7 +320,7 @@ RAW_INDICATORS = (
   FROM orders GROUP BY 1, 2)"""
 )
 
-NAMES_SQL = "CASE indicator " + " ".join(f"WHEN '{r[0]}' THEN '{r[1]}'" for r in INDICATOR_SERIES) + " END"
+NAMES_SQL = "CASE indicator " + " ".join(f"WHEN '{r[0]}' THEN '{r[1]}'" for r in S.INDICATOR_SERIES) + " END"
 
 
 def newest(df: DataFrame, column: str) -> Column:

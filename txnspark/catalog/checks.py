@@ -312,6 +312,7 @@ def _(spark, sf):
     ctes(B.MESSAGES)
     + """SELECT * FROM (
       SELECT 'user_id: minimum' AS rule, count(*) AS failures FROM messages WHERE user_id < 1
+      UNION ALL SELECT 'amount: minimum', count(*) FROM messages WHERE amount < 0.01
       UNION ALL SELECT 'currency: pattern', count(*) FROM messages WHERE currency = 'usd'
       UNION ALL SELECT 'merchant_category: enum', count(*) FROM messages) WHERE failures > 0""",
 )

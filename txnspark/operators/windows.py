@@ -221,6 +221,7 @@ def adjacent_pairs(
     """
     columns = df.columns
     cur = F.struct(*columns)
+    # The range bounds are fixed when the exchange is planned, so a recomputed task finds the same rows under its number.
     ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid").orderBy(*order)
     local = ranged.withColumn("_next", F.lead(cur).over(w)).withColumn("_first", F.row_number().over(w) == 1)
