@@ -49,12 +49,12 @@ def test_rolling_count_matches_range_frame(frame, duck, slices):
     assert got == want
 
 
-@pytest.mark.parametrize("seconds", [900, 3600, 86400 * 3])
-def test_rolling_rows_matches_rows_frame(frame, duck, seconds):
+# All keys cut, only the key with a third of the rows cut, no key cut.
+@pytest.mark.parametrize(("seconds", "hot_rows"), [(900, 0), (86400 * 3, 0), (3600, 300), (3600, 10_000)])
+def test_rolling_rows_matches_rows_frame(frame, duck, seconds, hot_rows):
     df, data = frame
-    got = rows(
-        rolling_rows(df, ["k"], ["ts", "id"], "v", {"c1": 1, "c3": 3}, {"a7": 7}, seconds).select("id", "c1", "c3", "a7")
-    )
+    rolled = rolling_rows(df, ["k"], ["ts", "id"], "v", {"c1": 1, "c3": 3}, {"a7": 7}, seconds, hot_rows=hot_rows)
+    got = rows(rolled.select("id", "c1", "c3", "a7"))
     want = _duck(
         duck,
         data,
@@ -67,10 +67,10 @@ def test_rolling_rows_matches_rows_frame(frame, duck, seconds):
     assert got == want
 
 
-@pytest.mark.parametrize("seconds", [900, 86400])
-def test_lag_matches_plain_lag(frame, duck, seconds):
+@pytest.mark.parametrize(("seconds", "hot_rows"), [(900, 0), (86400, 300), (86400, 10_000)])
+def test_lag_matches_plain_lag(frame, duck, seconds, hot_rows):
     df, data = frame
-    got = rows(lag_by_slice(df, ["k"], ["ts", "id"], "v", "p", seconds).select("id", "p"))
+    got = rows(lag_by_slice(df, ["k"], ["ts", "id"], "v", "p", seconds, hot_rows).select("id", "p"))
     assert got == _duck(
         duck, data, "select id, lag(v) over (partition by k order by ts nulls first, id) from t"
     )

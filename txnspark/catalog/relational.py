@@ -418,7 +418,7 @@ def _cents(spark, sf):
     "FROM events",
 )
 def _(spark, sf):
-    out = W.rolling_rows(_cents(spark, sf), ["user_id"], ["ts", "event_id"], "value", {"n": 1}, {})
+    out = W.rolling_rows(_cents(spark, sf), ["user_id"], ["ts", "event_id"], "value", {"n": 1}, {}, hot_rows=60)
     return out.select("event_id", "n")
 
 
@@ -428,7 +428,7 @@ def _(spark, sf):
     WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)""",
 )
 def _(spark, sf):
-    out = W.rolling_rows(_cents(spark, sf), ["user_id"], ["ts", "event_id"], "value", {}, {"mean": 7})
+    out = W.rolling_rows(_cents(spark, sf), ["user_id"], ["ts", "event_id"], "value", {}, {"mean": 7}, hot_rows=60)
     return out.select("event_id", "mean")
 
 
@@ -447,9 +447,9 @@ def _(spark, sf):
     "SELECT event_id, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous FROM events",
 )
 def _(spark, sf):
-    """Five types share all rows, so each holds a fifth: the slices spread a type over many tasks."""
+    """Five types share all rows, so each holds a fifth; types above the bound are spread over slices of a day."""
     e = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
-    return W.lag_by_slice(e, ["event_type"], ["ts", "event_id"], "value", "previous", W.DAY).select("event_id", "previous")
+    return W.lag_by_slice(e, ["event_type"], ["ts", "event_id"], "value", "previous", W.DAY, 1000).select("event_id", "previous")
 
 
 @query(

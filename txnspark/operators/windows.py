@@ -1,9 +1,9 @@
 """Ordered-frame operators that stay balanced when one key holds a large share of the rows.
 
-``Window.partitionBy(key)`` sorts a whole key in one task. The operators below cut a key into time slices,
-work per (key, slice) and carry a small, bounded state from slice to slice:
+``Window.partitionBy(key)`` sorts a whole key in one task. The operators below cut keys into time slices, work per
+(key, slice) and carry a small, bounded state from slice to slice:
 
-* ``with_carry`` brings the last k rows of the earlier slices to each slice (lag and ROWS frames);
+* ``with_carry`` cuts the hot keys and brings the last k earlier rows to each of their slices (lag and ROWS frames);
 * ``rolling_count`` adds up an interval frame from per-slice totals plus arrivals and expiries inside a slice;
 * ``adjacent_pairs`` compares neighbours of a global order through range partitions and their edges.
 
@@ -16,9 +16,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from txnspark.operators.joins import localise
 
 HOUR = 3600
 DAY = 24 * HOUR
+# A key with more rows than this is cut into slices.
+HOT_ROWS = 1_000_000
 
 
 def micros(ts: Column | str) -> Column:
@@ -47,6 +52,13 @@ def fit_slice_seconds(
         seconds = max(1, seconds // -(-hottest // target_rows))
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, None when there are none. At most rows / ``hot_rows`` keys qualify."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = localise(counted.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(keys)], F.lit(True).alias("_hot")))
+    return None if hot.isEmpty() else hot
+
+
 def with_carry(
     df: DataFrame,
     keys: Sequence[str],
@@ -55,22 +67,36 @@ def with_carry(
     rows: int,
     slice_seconds: int = HOUR,
     source: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, WindowSpec]:
     """Rows with the state of the earlier slices, and the window that orders a slice.
 
-    Every slice starts with a header row (``_kind`` 0) whose ``_carry`` holds structs of ``values`` for at most
-    ``rows`` rows that precede the slice, oldest first. The rows get ``_carry`` from their header and ``_rn``, their
-    number inside the slice. Headers ride along in the shuffle the window needs anyway; callers drop them at the end
-    with ``without_headers``. ``order[0]`` must be the time column; further columns break ties. The state is computed
-    from ``source``: a frame with the same rows that is cheaper to produce than ``df`` (without its joins, say).
+    Keys with at most ``hot_rows`` rows are one slice each; only hot keys are cut by time. A slice of a hot key starts
+    with a header row (``_kind`` 0) whose ``_carry`` holds structs of ``values`` for at most ``rows`` rows that precede
+    the slice, oldest first. The rows get ``_carry`` from their header and ``_rn``, their number inside the slice.
+    Headers ride along in the shuffle the window needs anyway; callers drop them at the end with ``without_headers``.
+    ``order[0]`` must be the time column; further columns break ties. Hot keys and state are computed from ``source``:
+    a frame with the same rows that is cheaper to produce than ``df`` (without its joins, say).
     """
-    sliced = df.withColumn("_slice", time_slice(order[0], slice_seconds))
-    narrow = sliced if source is None else source.withColumn("_slice", time_slice(order[0], slice_seconds))
-    group = [*keys, "_slice"]
+    base = df if source is None else source
+    none = F.array().cast(T.ArrayType(T.StructType([df.schema[v] for v in values])))
+    hot = hot_keys(base, keys, hot_rows)
+    if hot is None:
+        in_order = Window.partitionBy(*keys).orderBy(*order)
+        plain = df.withColumns({"_slice": F.lit(None).cast("bigint"), "_kind": F.lit(1), "_carry": none})
+        return plain.withColumn("_rn", F.row_number().over(in_order)), in_order
+
+    def mark(frame: DataFrame, how: str) -> DataFrame:
+        same = F.lit(True)
+        for i, c in enumerate(keys):
+            same = same & frame[c].eqNullSafe(hot[f"_h{i}"])
+        marked = frame.join(hot, same, how).withColumn("_slice", F.when(F.col("_hot"), time_slice(order[0], slice_seconds)))
+        return marked.drop("_hot", *[f"_h{i}" for i in range(len(keys))])
 
+    group = [*keys, "_slice"]
     newest_first = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        narrow.select(*dict.fromkeys([*group, *order, *values]))
+        mark(base.select(*dict.fromkeys([*keys, *order, *values])), "inner")
         # Filtering a row number lets Spark keep only `rows` per group before the shuffle.
         .withColumn("_back", F.row_number().over(newest_first))
         .where(F.col("_back") <= rows)
@@ -78,20 +104,19 @@ def with_carry(
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("_p"), F.struct(*values).alias("v")))).alias("_t"))
         .withColumn("_t", F.transform("_t", lambda x: x["v"]))
     )
-    # One row per slice and key, so this window is bounded by the time span of the data.
+    # One row per slice of a hot key, so this window is bounded by the time span of the data.
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(-rows, -1)
     found = tails.withColumn("_all", F.flatten(F.collect_list("_t").over(earlier)))
     newest = F.when(F.size("_all") <= rows, F.col("_all")).otherwise(
         F.slice("_all", F.greatest(F.size("_all") - rows + 1, F.lit(1)), F.lit(rows))
     )
-    headers = found.select(*group, newest.alias("_carry"), F.lit(0).alias("_kind"))
+    headers = found.select(*group, newest.alias("_header"), F.lit(0).alias("_kind"))
     in_order = Window.partitionBy(*group).orderBy("_kind", *order)
-    both = sliced.withColumn("_kind", F.lit(1)).unionByName(headers, allowMissingColumns=True)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    carried = both.withColumn("_header", F.first("_carry").over(so_far)).withColumn(
-        "_rn", F.row_number().over(in_order) - 1
-    )
-    return carried.drop("_carry").withColumnRenamed("_header", "_carry"), in_order
+    both = mark(df, "left").withColumn("_kind", F.lit(1)).unionByName(headers, allowMissingColumns=True)
+    carry = F.coalesce(F.first("_header").over(so_far), none)
+    carried = both.withColumns({"_carry": carry, "_rn": F.sum("_kind").over(so_far)})
+    return carried.drop("_header"), in_order
 
 
 def without_headers(df: DataFrame) -> DataFrame:
@@ -105,9 +130,10 @@ def lag_by_slice(
     value: str,
     out: str,
     slice_seconds: int = 30 * DAY,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """WIN-04: previous value of a column per key, in the given order."""
-    carried, in_order = with_carry(df, keys, order, [value], 1, slice_seconds)
+    carried, in_order = with_carry(df, keys, order, [value], 1, slice_seconds, hot_rows=hot_rows)
     before = F.try_element_at("_carry", F.lit(-1))[value]
     previous = F.when(F.col("_rn") > 1, F.lag(value).over(in_order)).otherwise(before)
     return without_headers(carried.withColumn(out, previous))
@@ -122,13 +148,14 @@ def rolling_rows(
     averages: dict[str, int],
     slice_seconds: int = HOUR,
     source: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """WIN-01, WIN-02: COUNT(*) and AVG(value) over ``ROWS n PRECEDING .. CURRENT ROW``.
 
     ``counts`` and ``averages`` map an output column to its n.
     """
     rows = max([*counts.values(), *averages.values()])
-    result, in_order = with_carry(df, keys, order, [value], rows, slice_seconds, source)
+    result, in_order = with_carry(df, keys, order, [value], rows, slice_seconds, source, hot_rows)
     kind = df.schema[value].dataType
     for out, n in counts.items():
         result = result.withColumn(out, F.least(F.col("_rn") + F.size("_carry"), F.lit(n + 1)).cast("bigint"))
