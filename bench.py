@@ -1,6 +1,6 @@
 """Benchmark of the headline queries: prints one JSON line.
 
-``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8), ``BENCH_RUNS`` (default 3) set the run.
+``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8), ``BENCH_RUNS`` (default 2) set the run.
 Each query gets a warm-up, then the median of its timed runs counts. Results go to the ``noop`` sink: every column of
 every row is computed, nothing is collected.
 """
@@ -58,7 +58,7 @@ HEADLINE = [
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = get_session(
         "txnspark-bench",
         master=f"local[{cpus}]",

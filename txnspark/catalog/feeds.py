@@ -82,14 +82,53 @@ def _(spark, sf):
     target = scratch(spark, "incremental")
     e = table(spark, sf, "events").select("event_id", "user_id", "ts")
     middle = e.agg(F.expr("timestampadd(DAY, 15, min(ts))").cast("timestamp_ntz")).first()[0]
-    for increment in (e.where(F.col("ts") <= F.lit(middle)), e, e):
-        mark = spark.read.parquet(target).agg(F.max("ts")).first()[0] if os.path.isdir(target) else None
+    for run, increment in enumerate((e.where(F.col("ts") <= F.lit(middle)), e, e)):
+        mark = spark.read.parquet(target).agg(F.max("ts")).first()[0] if run else None
         laid_out = tables.lay_out_by_day(tables.newer_than(increment, mark, "ts"), "ts", "user_id", "day", salt=2)
         laid_out.write.mode("append").partitionBy("day").parquet(target)
     loaded = spark.read.parquet(target)
     return loaded.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
 
 
+@query(
+    "src_05_08_append_and_copy",
+    "SELECT s_suppkey, s_name, s_acctbal FROM supplier UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal > 0",
+)
+def _(spark, sf):
+    """Two appends into a raw table, then the raw table appended to the transformed one (external tables, dropped again)."""
+    raw, transformed = (f"raw_{uuid.uuid4().hex}", f"transformed_{uuid.uuid4().hex}")
+    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    raw_path, path = scratch(spark, "raw"), scratch(spark, "transformed")
+    try:
+        tables.append(supplier, raw, raw_path)
+        tables.append(supplier.where("s_acctbal > 0"), raw, raw_path)
+        tables.copy_table(spark, raw, transformed, path)
+    finally:
+        for name in (raw, transformed):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.parquet(path)
+
+
+@query(
+    "src_16_union_by_prefix",
+    "SELECT o_orderstatus AS status, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P'",
+)
+def _(spark, sf):
+    """One external table per order status; those found by prefix, all but one pattern, are united."""
+    prefix = f"orders_{uuid.uuid4().hex}_"
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
+    names = [f"{prefix}{s}" for s in "fop"]
+    try:
+        for name in names:
+            part = orders.where(F.lower("o_orderstatus") == name[-1]).withColumnRenamed("o_orderstatus", "status")
+            tables.append(part, name, scratch(spark, "status"))
+        found = tables.relations_by_prefix(spark, "default", prefix.upper(), exclude="%_p")
+        return tables.union_tables(spark, found, source_column_name=None)
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 # --- external feeds ------------------------------------------------------------------------------------------------
 
 

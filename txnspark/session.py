@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,7 +43,8 @@ def get_session(app_name: str = "txnspark", master: str | None = None, **conf: o
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints: the cluster's setting, a scratch folder only where it is unset."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or os.environ.get("TXNSPARK_CHECKPOINT_DIR")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    folder = folder or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from txnspark.operators.reshape import union_relations
 
 
-def append(df: DataFrame, table: str) -> None:
-    """SRC-05, SRC-08: append to a table, created when missing."""
-    df.write.mode("append").format("parquet").saveAsTable(table)
+def append(df: DataFrame, table: str, path: str | None = None) -> None:
+    """SRC-05, SRC-08: append to a table, created when missing (at ``path`` as an external table)."""
+    writer = df.write.mode("append").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def lay_out_by_day(
@@ -62,9 +63,9 @@ def load_increment(source: DataFrame, table: str, ts: str = "timestamp", cluster
     append_by_day(newer_than(source, mark, ts), table, ts, cluster, day)
 
 
-def copy_table(spark: SparkSession, source: str, target: str) -> None:
+def copy_table(spark: SparkSession, source: str, target: str, path: str | None = None) -> None:
     """SRC-08: raw table appended to the transformed table."""
-    append(spark.table(source), target)
+    append(spark.table(source), target, path)
 
 
 def read_source(spark: SparkSession, path: str, view: str) -> DataFrame:

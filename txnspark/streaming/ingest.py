@@ -121,7 +121,8 @@ def event_time(df: DataFrame, column: str, out: str = "event_time") -> DataFrame
 def deduplicate_stream(df: DataFrame, keys: Sequence[str], ts: str = "event_time", delay: str = "48 hours") -> DataFrame:
     """STR-08: first arrival per key. State of a key expires ``delay`` after its event time.
 
-    Removal is guaranteed for copies within the delay; rows older than the watermark are dropped.
+    Removal is guaranteed for copies within the delay; rows older than the watermark are dropped. Copies of one key meet
+    in one task per micro-batch, so the batch size (``max_offsets_per_trigger``) bounds what a hot key brings together.
     """
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
