@@ -133,3 +133,17 @@ SELECT doc_id, length(d.text)::BIGINT AS chars_before, length(CASE WHEN d.text I
   CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text
 FROM (SELECT *, row_number() OVER () AS r FROM documents) d LEFT JOIN kept k USING (r)
 """
+
+ZIP_WARC = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+-- Five hex digits are four base32 digits.
+coded AS (
+  SELECT page_id, html, octet_length(encode(html))::BIGINT AS payload_bytes, array_to_string(list_transform(range(8), lambda g:
+    array_to_string(list_transform(range(4), lambda k:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * g::INT, 5))::INT >> (15 - 5 * k::INT)) & 31), 1)), '')), '') AS payload_digest
+  FROM payloads),
+lasts AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM coded)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last IS NULL OR page_id IS NOT DISTINCT FROM last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM lasts
+"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txnspark import bindings as B
 from txnspark.catalog.registry import Query
-from txnspark.llm import chat, decontaminate, line_dedup, mixing, quality_rules, secrets, shingle_join
+from txnspark.llm import chat, decontaminate, html_mincut, line_dedup, mixing, quality_rules, secrets, shingle_join, subword_lm, zip_warc
 from txnspark.llm import oracles as O
 
 _QUERIES: dict[str, Query] = {}
@@ -47,6 +47,12 @@ def _(spark, sf):
     return line_dedup.summary(table(spark, sf, "documents"))
 
 
+@query("op3_zip_warc", O.ZIP_WARC)
+def _(spark, sf):
+    records = zip_warc.round_trip(spark, table(spark, sf, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op4_source_mixing", O.SOURCE_MIXING)
 def _(spark, sf):
     return mixing.plan(table(spark, sf, "documents")).orderBy("first_position", "doc_id")
@@ -57,6 +63,11 @@ def _(spark, sf):
     return shingle_join.groups(table(spark, sf, "documents"))
 
 
+@query("op6_lm_scoring")
+def _(spark, sf):
+    return subword_lm.score(table(spark, sf, "documents"))
+
+
 @query("op7_chat_formatting", O.CHAT_FORMATTING)
 def _(spark, sf):
     return chat.render(table(spark, sf, "conversations"))
@@ -82,3 +93,9 @@ def _(spark, sf):
         F.sha2(secrets.digest(base).cast("binary"), 256).alias("base_sha256"),
         secrets.digest(spans).alias("spans"),
     )
+
+
+@query("op10_html_extraction")
+def _(spark, sf):
+    pages = table(spark, sf, "pages")
+    return html_mincut.extract(pages, html_mincut.train(pages))
