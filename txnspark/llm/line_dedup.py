@@ -1,12 +1,12 @@
 """Line dedup with a log-template tree.
 
 Words with a digit are variable fields. The tree has fixed depth: a line goes to the leaf of its word count and its
-first three words. In a leaf a word is constant at its place if two lines hold it there, else variable; a
-line with at least three quarters constant words is generalised to the template of its constants, any other line is its
+first four words. In a leaf a word is constant at its place if two distinct lines hold it there, else variable; a line with at least three quarters constant words is generalised to the template of its constants, any other line is its
 own template. A template found in at least two documents recurs: its lines stay in the document with the smallest id
 and are dropped from all others.
 
-All decisions are made on hashes; only lines in leaves of several documents show their words, each distinct line once.
+All decisions are made on 64-bit hashes; only lines in leaves of several documents and several distinct lines show their
+words, each distinct line once.
 Counts are combined before every shuffle, so a line that a third of all documents share costs one row per task.
 
 Defined results: lines are parts between line feeds; lines of fewer than five words carry no template and stay; NULL text
@@ -16,67 +16,107 @@ document, NULL being an id after all others; a table without rows gives none; ot
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnspark.llm.common import free_name, meet, stored, words
+from txnspark.llm.common import free_name, meet, stored, worker_code
+
+worker_code(__name__)
 
-DEPTH = 3
+DEPTH = 4
 MIN_WORDS = 5
-MIN_DOCUMENTS = 2
+MIN_LINES = 2  # distinct lines of a leaf that make a word constant
 CONSTANT_PERCENT = 75
-FIELD = "<*>"
-
-
-def _masked(line: Column) -> Column:
-    return words(F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", FIELD))
-
-
-def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, no, line, leaf, line_h) of all lines with enough words; ``line`` is the masked line."""
-    split = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("no", "raw"))
-    w = split.select("doc", "no", _masked(F.col("raw")).alias("w")).where(F.size("w") >= MIN_WORDS)
-    return w.select(
-        "doc", "no", "w",
-        F.xxhash64(F.size("w"), F.slice("w", 1, DEPTH)).alias("leaf"), F.xxhash64("w").alias("line_h"),
-    )
-
-
-def templates(found: DataFrame) -> DataFrame:
-    """(leaf, line_h, template) of the distinct lines of the leaves that several documents share."""
-    pairs = stored(found.groupBy("leaf", "line_h", "doc").agg(F.lit(1).alias("one")).select("leaf", "line_h", "doc"), "line-hashes")
-    # Smallest and largest id tell one document from several without a set of ids; NULL is an id of its own.
-    some_null = F.max(F.col("doc").isNull())
-    several = (F.min("doc") != F.max("doc")) | (some_null & F.max("doc").isNotNull())
-    shared = stored(pairs.groupBy("leaf").agg(several.alias("several")).where("several").select("leaf"), "shared-leaves")
-    distinct = meet(found, shared, "leaf", "left_semi").groupBy("leaf", "line_h").agg(F.first("w").alias("w"), F.countDistinct("doc").alias("docs"))
+FIELD = b"<*>"
+DIGIT = re.compile(rb"[0-9]")
+
+
+def _line(raw: bytes) -> list[bytes]:
+    """Masked words of a line; none if it has too few."""
+    found = raw.split()  # at ASCII white space
+    if len(found) < MIN_WORDS:
+        return []
+    return [FIELD if DIGIT.search(w) else w for w in found] if DIGIT.search(raw) else found
+
+
+def _number(words: list[bytes]) -> int:
+    return xxhash.xxh3_64_intdigest(b" ".join(words)) - 2**63
+
+
+def _leaf(words: list[bytes]) -> int:
+    return _number([*words[:DEPTH], b"%d" % len(words)])
+
+
+def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc, text) to (doc, no, leaf, line_h) of the lines with enough words."""
+    for batch in batches:
+        rows, owner = [], []
+        for i, text in enumerate(batch.column("text").cast(pa.binary())):
+            for no, raw in enumerate((text.as_py() or b"").split(b"\n")):
+                if found := _line(raw):
+                    rows.append((no, _leaf(found), _number(found)))
+                    owner.append(i)
+        columns = list(zip(*rows, strict=True)) or [()] * 3
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc").take(pa.array(owner, pa.int64())), pa.array(columns[0], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
+            names=["doc", "no", "leaf", "line_h"],
+        )
+
+
+def _show_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text) to (leaf, line_h, line): the masked lines, each once per batch."""
+    for batch in batches:
+        seen = {}
+        for text in batch.column("text").cast(pa.binary()):
+            for raw in (text.as_py() or b"").split(b"\n"):
+                if found := _line(raw):
+                    seen.setdefault((_leaf(found), _number(found)), b" ".join(found))
+        leaf, line_h = zip(*seen, strict=True) if seen else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(leaf, pa.int64()), pa.array(line_h, pa.int64()), pa.array(list(seen.values()), pa.binary()).cast(pa.string())],
+            names=["leaf", "line_h", "line"],
+        )
+
+
+def _several() -> Column:
+    """Whether a group has several documents: smallest and largest id tell, NULL being an id of its own."""
+    return (F.min("doc") != F.max("doc")) | (F.max(F.col("doc").isNull()) & F.max("doc").isNotNull())
+
+
+def templates(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
+    """(leaf, line_h, template) of the lines that are generalised; every other line is its own template."""
+    leaves = found.groupBy("leaf").agg(_several().alias("docs"), (F.min("line_h") != F.max("line_h")).alias("lines"))
+    shared = stored(leaves.where("docs and lines").select("leaf"), "shared-leaves")
+    shown = docs.select(F.col(text).alias("text")).mapInArrow(_show_lines, "leaf bigint, line_h bigint, line string")
+    distinct = meet(shown, shared, "leaf", "left_semi").groupBy("leaf", "line_h").agg(F.first("line").alias("line"))
     distinct = stored(distinct, "distinct-lines")
-    placed = distinct.select("leaf", "line_h", "docs", F.posexplode("w").alias("pos", "word"))
-    fixed = stored(
-        placed.groupBy("leaf", "pos", "word").agg(F.sum("docs").alias("n")).where(F.col("n") >= MIN_DOCUMENTS).select("leaf", "pos", "word"),
-        "constant-words",
-    )
-    seen = placed.where(F.col("word") != FIELD).join(fixed.withColumn("fixed", F.lit(True)), ["leaf", "pos", "word"])
-    general = seen.groupBy("leaf", "line_h").agg(
+    placed = distinct.select("leaf", "line_h", F.posexplode(F.split("line", " ")).alias("pos", "word"))
+    placed = placed.where(F.col("word") != FIELD.decode()).withColumn("word", F.xxhash64("word"))
+    fixed = placed.groupBy("leaf", "pos", "word").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_LINES)
+    fixed = stored(fixed.select("leaf", "pos", "word"), "constant-words")
+    general = placed.join(fixed, ["leaf", "pos", "word"], "left_semi").groupBy("leaf", "line_h").agg(
         F.count("*").alias("n_fixed"), F.xxhash64(F.sort_array(F.collect_list(F.struct("pos", "word")))).alias("general")
     )
-    enough = 100 * F.col("n_fixed") >= CONSTANT_PERCENT * F.size("w")
-    return distinct.join(general, ["leaf", "line_h"], "left").select(
-        "leaf", "line_h", F.when(enough, F.xxhash64("leaf", "general")).otherwise(F.col("line_h")).alias("template")
-    )
+    enough = 100 * F.col("n_fixed") >= CONSTANT_PERCENT * F.size(F.split("line", " "))
+    named = distinct.join(general, ["leaf", "line_h"]).where(enough)
+    return named.select("leaf", "line_h", F.xxhash64("leaf", "general").alias("template"))
 
 
 def dropped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, nos): numbers of the lines that go, per document that loses any."""
-    found = lines(docs, key, text)
-    names = stored(templates(found), "templates")
-    keyed = found.select("doc", "no", "leaf", "line_h").join(names, ["leaf", "line_h"])
-    keyed = stored(keyed.select("doc", "no", "template"), "line-templates")
-    # An id that is NULL is never the smallest, and several documents are needed as above.
-    several = (F.min("doc") != F.max("doc")) | (F.max(F.col("doc").isNull()) & F.max("doc").isNotNull())
-    recurring = keyed.groupBy("template").agg(F.min("doc").alias("first"), several.alias("several")).where("several")
+    source = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    kind = docs.schema[key].dataType.simpleString()
+    found = stored(source.mapInArrow(_hash_lines, f"doc {kind}, no int, leaf bigint, line_h bigint"), "line-hashes")
+    names = stored(templates(docs, found, text), "templates")
+    keyed = meet(found, names, ["leaf", "line_h"], "left").select("doc", "no", F.coalesce("template", "line_h").alias("template"))
+    recurring = keyed.groupBy("template").agg(F.min("doc").alias("first"), _several().alias("several")).where("several")
     recurring = stored(recurring.select("template", "first"), "recurring-templates")
-    gone = keyed.join(recurring, "template").where(~F.col("doc").eqNullSafe(F.col("first")))
+    gone = meet(keyed, recurring, "template").where(~F.col("doc").eqNullSafe(F.col("first")))
     return gone.groupBy(F.col("doc").alias(key)).agg(F.collect_set("no").alias("nos"))
 
 

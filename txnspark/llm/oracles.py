@@ -113,16 +113,18 @@ WITH split AS MATERIALIZED (
   SELECT doc_id, r, no, raw, regexp_extract_all(regexp_replace(raw, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[^\x20\x09-\x0D]+') AS w
   FROM (SELECT doc_id, r, unnest(parts) AS raw, generate_subscripts(parts, 1) AS no FROM (
     SELECT doc_id, row_number() OVER () AS r, string_split(text, chr(10)) AS parts FROM documents))),
-lines AS (SELECT DISTINCT doc_id, w, len(w) AS n, w[:3] AS lead FROM split WHERE len(w) >= 5),
+lines AS (SELECT DISTINCT doc_id, w, len(w) AS n, w[:4] AS lead FROM split WHERE len(w) >= 5),
 shared AS (
-  SELECT n, lead, w, count(DISTINCT doc_id) AS docs FROM lines
-  SEMI JOIN (SELECT n, lead FROM lines GROUP BY ALL HAVING count(DISTINCT doc_id) > 1) x USING (n, lead) GROUP BY ALL),
-words AS (SELECT n, lead, w, docs, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM shared),
-support AS (SELECT *, sum(docs) OVER (PARTITION BY n, lead, pos, word) AS support FROM words),
+  SELECT DISTINCT n, lead, w FROM lines
+  SEMI JOIN (SELECT n, lead FROM lines GROUP BY ALL HAVING count(DISTINCT doc_id) > 1 AND count(DISTINCT w) > 1) x USING (n, lead)),
+words AS (SELECT n, lead, w, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM shared),
+support AS (SELECT *, count(*) OVER (PARTITION BY n, lead, pos, word) AS support FROM words),
 general AS (
   SELECT n, lead, w, list(CASE WHEN word <> '<*>' AND support >= 2 THEN word END ORDER BY pos) AS g,
     100 * count(*) FILTER (word <> '<*>' AND support >= 2) >= 75 * n AS enough FROM support GROUP BY n, lead, w),
-templates AS (SELECT w, CASE WHEN enough THEN {'general': true, 't': g} ELSE {'general': false, 't': w} END AS template FROM general),
+templates AS (
+  SELECT DISTINCT l.w, CASE WHEN enough THEN {'general': true, 't': g} ELSE {'general': false, 't': l.w} END AS template
+  FROM lines l LEFT JOIN general g ON l.w = g.w),
 recurring AS (
   SELECT template, min(doc_id) AS first FROM lines JOIN templates USING (w) GROUP BY template HAVING count(DISTINCT doc_id) > 1),
 kept AS (

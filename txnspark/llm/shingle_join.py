@@ -29,59 +29,96 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnspark.llm.common import let, lower_ascii, meet, stored, words, worker_code
+from txnspark.llm.common import meet, stored, worker_code
+from txnspark.llm.word_hashes import mix, slices
 
 worker_code(__name__)
 
 SHINGLE = 5
 PERCENT = 75
-BLOCK_SHINGLES = 2_000_000  # shingles that one task of step 2 holds
+BLOCK_SHINGLES = 2_000_000  # shingles that one block of the index gathers
+BUCKET_SHINGLES = 2_000_000  # shingles that one task of the index holds
+BLOCK_SETS = 20_000  # sets that one task of the last step holds
 SLICE = 20_000  # list entries that one merge holds
-PAIRS_PER_ENTRY = 4  # pairs across components that may be checked at once, per list entry
+PAIRS_PER_ENTRY = 32  # pairs across components, per list entry, at which the rest is checked at once
+STARS = 1  # rounds of one query per list before that
 
 
-def shingles(text: Column) -> Column:
-    """Sorted distinct shingle hashes of a text."""
+_PLACES = [np.uint64(x | 1) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F)]
 
-    def of(w: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)), lambda i: F.xxhash64(F.slice(w, i, SHINGLE)))
-        return (
-            F.when(F.size(w) >= SHINGLE, windows)
-            .when(F.size(w) > 0, F.array(F.xxhash64(w)))
-            .otherwise(F.array().cast("array<bigint>"))
-        )
 
-    return F.sort_array(F.array_distinct(let(words(lower_ascii(text)), of)))
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    for _, hashes, counts in slices(texts):
+        n = len(hashes) - (SHINGLE - 1)
+        windows = mix(sum(hashes[k : k + n] * _PLACES[k] for k in range(SHINGLE))) if n > 0 else hashes[:0]
+        start = 0
+        for count in counts.tolist():
+            if count >= SHINGLE:
+                yield np.unique(windows[start : start + count - SHINGLE + 1])
+            elif count:
+                # A short text is one shingle, told apart by its length.
+                yield mix(sum(hashes[start + k : start + k + 1] * _PLACES[k] for k in range(count)) + np.uint64(count))
+            else:
+                yield hashes[:0]
+            start += count
+
+
+def _set_name(s: np.ndarray) -> np.int64:
+    """Name of a set: the sum of its scrambled members, and its size."""
+    return (mix(s * _PLACES[1]).sum(dtype=np.uint64) + np.uint64(len(s))).astype(np.int64)
+
+
+HALF = np.uint64(1 << 63)
+
+
+def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc, text) to (doc, class, n, low); ``low`` is the number of shingles in the lower half of the hash range."""
+    for batch in batches:
+        found = [(_set_name(s), len(s), int(np.searchsorted(s, HALF))) for s in shingle_sets(batch.column("text"))]
+        names, sizes, low = zip(*found, strict=True) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc"), *[pa.array(x, pa.int64()) for x in (names, sizes, low)]], names=["doc", "class", "n", "low"]
+        )
 
 
-def _pack(buckets: int):
-    """Blocks of postings: per bucket of the hash range its shingles in document order, with classes and run lengths."""
+def _pack(buckets: int, low: bool):
+    """Blocks of postings: per bucket of the hash range its shingles, set by set, with classes and run lengths; of the
+    lower half of the range alone if ``low``."""
+
+    def block(sets: list[np.ndarray]) -> pa.RecordBatch:
+        sets = [s for s in sets if len(s)]
+        names = np.array([_set_name(s) for s in sets], np.int64)
+        if low:
+            sets = [s[: np.searchsorted(s, HALF)] for s in sets]
+        tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        bucket = ((tokens >> np.uint64(31 if low else 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        tokens, owner, bucket = tokens[order], owner[order], bucket[order]
+        found, starts = np.unique(bucket, return_index=True)
+        rows = []
+        for b, lo, hi in zip(found, starts, np.append(starts[1:], len(bucket)), strict=True):
+            own = owner[lo:hi]
+            first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            runs = np.diff(np.append(first, hi - lo)).astype(np.int32)
+            rows.append((int(b), tokens[lo:hi].tobytes(), names[own[first]].tobytes(), runs.tobytes()))
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+            names=["bucket", "tokens", "classes", "runs"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, n = [], 0
         for batch in batches:
-            sets = batch.column("s")
-            tokens = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            if not len(tokens):
-                continue
-            sizes = np.diff(sets.offsets.to_numpy())
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            tokens, owner, bucket = tokens[order], owner[order], bucket[order]
-            classes = batch.column("class").to_numpy(zero_copy_only=False)
-            names, starts = np.unique(bucket, return_index=True)
-            ends = np.append(starts[1:], len(bucket))
-            rows = []
-            for b, lo, hi in zip(names, starts, ends, strict=True):
-                own = owner[lo:hi]
-                first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                runs = np.diff(np.append(first, hi - lo)).astype(np.int32)
-                rows.append((int(b), tokens[lo:hi].tobytes(), classes[own[first]].tobytes(), runs.tobytes()))
-            columns = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-                names=["bucket", "tokens", "classes", "runs"],
-            )
+            for s in shingle_sets(batch.column("text")):
+                sets.append(s)
+                n += len(s)
+                if n >= BLOCK_SHINGLES:
+                    yield block(sets)
+                    sets, n = [], 0
+        yield block(sets)
 
     return run
 
@@ -117,27 +154,49 @@ def _shared(table: pa.Table) -> pa.Table:
     )
 
 
+def _count_shared(table: pa.Table) -> pa.Table:
+    """Number of shared shingles per class in one bucket."""
+    found = _shared(table)
+    sizes = np.diff(found.column("tokens").combine_chunks().offsets.to_numpy()).astype(np.int64)
+    return pa.table({"class": found.column("class"), "shared": pa.array(sizes)})
+
+
+def _postings(docs: DataFrame, text: str, total: int, low: bool) -> DataFrame:
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(parts, math.ceil(total / BUCKET_SHINGLES))
+    source = docs.select(F.col(text).alias("text"))
+    return source.mapInArrow(_pack(buckets, low), "bucket int, tokens binary, classes binary, runs binary").groupBy("bucket")
+
+
 def classes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, class, n) per row: ``class`` names the shingle set; sets are equal where it is."""
-    sets = docs.select(F.col(key).alias("doc"), shingles(F.col(text)).alias("s"))
-    return stored(sets.select("doc", F.xxhash64("s").alias("class"), F.size("s").cast("bigint").alias("n")), "set-classes")
+    source = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    kind = docs.schema[key].dataType.simpleString()
+    return stored(source.mapInArrow(_name, f"doc {kind}, class bigint, n bigint, low bigint"), "set-classes")
 
 
-def candidates(docs: DataFrame, classes: DataFrame, text: str) -> DataFrame:
-    """(class, n, tokens): classes with enough shared shingles, these by (number of classes, hash)."""
-    spark = docs.sparkSession
+def candidates(docs: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """(class, n, weight, tokens): classes with enough shared shingles, these by (number of classes, hash).
+
+    A class with a partner has at most a quarter of its shingles to itself, so not more than that in the lower half of
+    the hash range either. Half the index rules out nearly all classes; only the rest, one document each, enter the whole.
+    """
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(4 * parts, math.ceil(total / BLOCK_SHINGLES))
-    sets = docs.select(shingles(F.col(text)).alias("s")).select(F.xxhash64("s").alias("class"), "s")
-    blocks = sets.mapInArrow(_pack(buckets), "bucket int, tokens binary, classes binary, runs binary")
-    shared = blocks.groupBy("bucket").applyInArrow(_shared, "class bigint, tokens array<bigint>, dfs array<int>")
-    gathered = shared.groupBy("class").agg(
-        F.flatten(F.collect_list(F.arrays_zip("dfs", "tokens"))).alias("t")
-    )
-    sizes = classes.groupBy("class").agg(F.max("n").alias("n"))
-    kept = gathered.join(sizes, "class").where(100 * F.size("t") >= PERCENT * F.col("n"))
-    return stored(kept.select("class", "n", F.transform(F.sort_array("t"), lambda x: x["tokens"]).alias("tokens")), "candidates")
+    shared = _postings(docs, text, total // 2, True).applyInArrow(_count_shared, "class bigint, shared bigint")
+    shared = shared.groupBy("class").agg(F.sum("shared").alias("shared"))
+    first = classes.where("n > 0").groupBy("class").agg(F.min("doc").alias("doc"), F.max("n").alias("n"), F.max("low").alias("low"))
+    own = F.col("low") - F.coalesce("shared", F.lit(0))
+    left = first.join(shared, "class", "left").where(100 * own <= (100 - PERCENT) * F.col("n"))
+    left = stored(left.select("class", "n", F.col("doc").alias("first_doc")), "possible-classes")
+    total = left.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    few = meet(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), left, F.col("doc").eqNullSafe(F.col("first_doc")), "left_semi")
+    shared = _postings(few, "text", total, False).applyInArrow(_shared, "class bigint, tokens array<bigint>, dfs array<int>")
+    gathered = shared.groupBy("class").agg(F.flatten(F.collect_list(F.arrays_zip("dfs", "tokens"))).alias("t"))
+    kept = gathered.join(left.select("class", "n"), "class").where(100 * F.size("t") >= PERCENT * F.col("n"))
+    # A text that others were made from shares its shingles with most classes: the better one to ask a whole list.
+    weight = F.aggregate("t", F.lit(0).cast("bigint"), lambda acc, x: acc + x["dfs"])
+    tokens = F.transform(F.sort_array("t"), lambda x: x["tokens"])
+    return stored(kept.select("class", "n", weight.alias("weight"), tokens.alias("tokens")), "candidates")
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,27 +241,42 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield table(out)
 
 
-def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Binary probes of a query's shingles in the sorted shingles of its partner; pairs with the overlap are links."""
-    for batch in batches:
-        xs, ys, nx, ny, tx, ty = (batch.column(c) for c in ("x", "y", "nx", "ny", "tx", "ty"))
-        ok = []
-        for i in range(batch.num_rows):
-            a = np.sort(tx[i].values.to_numpy(zero_copy_only=False))
-            b = np.sort(ty[i].values.to_numpy(zero_copy_only=False))
-            if len(a) > len(b):
-                a, b = b, a
-            at = np.searchsorted(b, a)
-            overlap = int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
-            ok.append(100 * overlap >= PERCENT * (nx[i].as_py() + ny[i].as_py() - overlap))
-        mask = pa.array(ok, pa.bool_())
-        yield pa.RecordBatch.from_arrays([xs, ys], names=["x", "y"]).filter(mask)
+def _probe(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    """Binary probes of the shingles of one set in the sorted shingles of its partner; pairs with the overlap are links."""
+    offsets = sets.column("tokens").combine_chunks()
+    values = offsets.flatten().to_numpy(zero_copy_only=False)
+    cuts = np.append(0, np.cumsum(offsets.value_lengths().to_numpy(zero_copy_only=False)))
+    place = {c: i for i, c in enumerate(sets.column("class").to_pylist())}
+    n = sets.column("n").to_pylist()
+    sorted_sets: dict[int, np.ndarray] = {}
+
+    def of(i):
+        if i not in sorted_sets:
+            sorted_sets[i] = np.sort(values[cuts[i] : cuts[i + 1]])
+        return sorted_sets[i]
+
+    ok = []
+    for x, y in zip(pairs.column("x").to_pylist(), pairs.column("y").to_pylist(), strict=True):
+        i, j = place[x], place[y]
+        a, b = of(i), of(j)
+        at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+        overlap = int(np.count_nonzero(b[at] == a))
+        ok.append(100 * overlap >= PERCENT * (n[i] + n[j] - overlap))
+    return pairs.select(["x", "y"]).filter(pa.array(ok, pa.bool_()))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    side = lambda v: sets.select(F.col("class").alias(v), F.col("n").alias(f"n{v}"), F.col("tokens").alias(f"t{v}"))
-    both = pairs.join(side("y"), "y").join(side("x"), "x").select("x", "y", "nx", "ny", "tx", "ty")
-    return stored(both.mapInArrow(_probe, "x bigint, y bigint"), "links")
+    """The pairs that are links. Classes are dealt to groups and pairs to blocks of two groups; a set travels once to each
+    block that needs it, and a block holds about ``BLOCK_SETS`` sets at most."""
+    total = sets.count()
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k = max(math.ceil(math.sqrt(parts)), math.ceil(2 * total / BLOCK_SETS))
+    deal = lambda c: F.pmod(F.xxhash64(c), F.lit(k))
+    blocked = stored(pairs.select("x", "y", (deal("x") * k + deal("y")).alias("block")), "blocked-pairs")
+    needed = blocked.select(F.col("block").alias("at"), F.explode(F.array("x", "y")).alias("class")).distinct()
+    held = needed.join(sets.select("class", "n", "tokens"), "class")
+    found = blocked.groupBy("block").cogroup(held.groupBy("at")).applyInArrow(_probe, "x bigint, y bigint")
+    return stored(found, "links")
 
 
 def _near(a: Column, b: Column) -> Column:
@@ -228,61 +302,76 @@ def components(links: DataFrame) -> DataFrame:
         edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
 
 
+def _roots(links: DataFrame) -> DataFrame:
+    """(class, root) from links (x, y), one x for each y and all x before their y in one order: a forest, climbed by doubling steps."""
+    forest = stored(links.select(F.col("y").alias("class"), F.col("x").alias("root")), "forest")
+    while True:
+        up = forest.join(forest.select(F.col("class").alias("root"), F.col("root").alias("top")), "root", "left")
+        climbed = stored(up.select("class", F.coalesce("top", "root").alias("root"), F.col("top").isNotNull().alias("moved")), "forest")
+        forest = climbed.select("class", "root")
+        if not climbed.where("moved").limit(1).count():
+            return forest
+
+
+def _settle(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among the pairs, enough to connect what they connect: every class first asks the partner with which it shares most short lists, so that groups collapse; then what is left apart."""
+    best = stored(pairs.groupBy("y").agg(F.max_by("x", F.struct("n_short", "x")).alias("x")), "asked")
+    first = _verify(best, sets)
+    root = _roots(first)
+    r = lambda v: root.select(F.col("class").alias(v), F.col("root").alias(f"r{v}"))
+    rest = pairs.join(best, ["x", "y"], "left_anti").join(r("x"), "x", "left").join(r("y"), "y", "left")
+    rest = rest.where(F.coalesce("rx", "x") != F.coalesce("ry", "y"))
+    return first.unionByName(_verify(rest.select("x", "y"), sets))
+
+
 def links(sets: DataFrame) -> DataFrame:
     """(x, y) between classes: enough true links to connect all that are connected."""
-    spark = sets.sparkSession
     need = F.ceil(F.col("n") * PERCENT / 100).cast("int")
     short = F.slice("tokens", 1, F.size("tokens") - need + 1)
-    entries = stored(sets.select("class", "n", F.explode(short).alias("token")), "short-lists")
-    found = spark.createDataFrame([], "x bigint, y bigint")
-    root = None
-    while True:
-        if root is not None:
-            entries = entries.drop("root").join(root, "class", "left").withColumn("root", F.coalesce("root", "class"))
-        else:
-            entries = entries.withColumn("root", F.col("class"))
+    # ``after``: shingles of the class from this one on, in the order of the lists.
+    entries = sets.select("class", "n", "weight", F.col("class").alias("root"), F.size("tokens").alias("m"), F.posexplode(short).alias("i", "token"))
+    entries = stored(entries.withColumn("after", F.col("m") - F.col("i")).drop("m", "i"), "short-lists")
+    found = sets.sparkSession.createDataFrame([], "x bigint, y bigint")
+    for stars_left in range(STARS, -1, -1):
         per_root = entries.groupBy("token", "root").agg(F.count("*").alias("m"))
-        open_lists = per_root.groupBy("token").agg(F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("within"), F.count("*").alias("roots"))
-        open_lists = stored(open_lists.where("roots > 1").select("token", "size", ((F.col("size") * F.col("size") - F.col("within")) / 2).alias("pairs")), "open-lists")
-        left = open_lists.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum("size"), F.lit(0)).alias("entries")).first()
+        lists = per_root.groupBy("token").agg(
+            F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("within"), F.count("*").alias("roots")
+        )
+        pairs = ((F.col("size") * F.col("size") - F.col("within")) / 2).alias("pairs")
+        lists = stored(lists.where("roots > 1").select("token", "size", pairs), "open-lists")
+        left = lists.agg(F.sum("pairs").alias("pairs"), F.sum("size").alias("entries")).first()
         if not left["entries"]:
             return found
-        entries = stored(entries.join(open_lists.select("token", "size"), "token").select("class", "n", "token", "root", "size"), "open-entries")
-        last = left["pairs"] <= PAIRS_PER_ENTRY * left["entries"]
-        if last:
-            asking = entries
-        else:
-            asking = entries.groupBy("token").agg(F.min(F.struct("class", "n", "root")).alias("q")).select("token", "q.*")
-        asking = stored(asking.select("token", F.col("class").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx")), "queries")
-        met = entries.join(asking, "token").where((F.col("root") != F.col("rx")) & _near(F.col("n"), F.col("nx")))
-        if last:
-            met = met.where(F.col("x") < F.col("class"))
-        part = F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / SLICE))
-        lists = met.select("x", part.cast("bigint").alias("part"), "token", F.col("class").alias("y"))
-        merged = lists.repartition("x", "part").sortWithinPartitions("x", "part", "token", "y")
-        pairs = merged.mapInArrow(_merge, "x bigint, y bigint, n_short int")
-        # A hot list is cut into more slices than a short one, so a pair may come from two of them.
-        pairs = stored(pairs.groupBy("x", "y").agg(F.sum("n_short").alias("n_short")), "pairs")
-        # One query per partner first, that with most short lists in common; groups of copies collapse at once.
+        entries = stored(entries.join(lists.select("token", "size"), "token"), "open-entries")
+        last = not stars_left or left["pairs"] <= PAIRS_PER_ENTRY * left["entries"]
+        asking = entries.select("token", F.struct(F.col("weight"), F.col("class")).alias("q"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("after").alias("ax"))
         if not last:
-            best = pairs.groupBy("y").agg(F.max_by("x", F.struct("n_short", "x")).alias("x"))
-            found = found.unionByName(_verify(best, sets))
-            root = stored(components(found), "roots")
-            r = lambda v: root.select(F.col("class").alias(v), F.col("root").alias(f"r{v}"))
-            rest = pairs.join(stored(best, "asked"), ["x", "y"], "left_anti").join(r("x"), "x", "left").join(r("y"), "y", "left")
-            pairs = rest.where(F.coalesce("rx", "x") != F.coalesce("ry", "y")).select("x", "y")
-        found = found.unionByName(_verify(pairs.select("x", "y"), sets))
+            asking = asking.groupBy("token").agg(F.max(F.struct("q", "nx", "rx", "ax")).alias("top")).select("token", "top.*")
+            asking = stored(asking, "queries")
+        earlier = F.col("q") > F.struct(F.col("weight"), F.col("class"))
+        # The first shingle that two sets share comes early enough in both for the overlap that their sizes need.
+        overlap = F.ceil((F.col("n") + F.col("nx")) * PERCENT / (100 + PERCENT))
+        early = F.least("after", "ax") >= overlap
+        met = entries.join(asking, "token").where(earlier & (F.col("root") != F.col("rx")) & _near(F.col("n"), F.col("nx")) & early)
+        met = met.withColumn("x", F.col("q.class"))
+        part = F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / SLICE)).cast("bigint")
+        merged = met.select("x", part.alias("part"), "token", F.col("class").alias("y")).repartition("x", "part")
+        merged = merged.sortWithinPartitions("x", "part", "token", "y").mapInArrow(_merge, "x bigint, y bigint, n_short int")
+        # A hot list is cut into more slices than a short one, so a pair may come from two of them.
+        settled = _settle(stored(merged.groupBy("x", "y").agg(F.sum("n_short").alias("n_short")), "pairs"), sets)
+        found = found.unionByName(settled)
         if last:
             return found
-        root = stored(components(found), "roots")
         # The queries have met their whole lists.
-        entries = entries.join(asking.select("token", F.col("x").alias("class")), ["token", "class"], "left_anti").drop("size")
+        met = asking.select("token", F.col("q.class").alias("class"))
+        entries = entries.join(met, ["token", "class"], "left_anti").drop("size", "root")
+        entries = entries.join(stored(components(found), "roots"), "class", "left").withColumn("root", F.coalesce("root", "class"))
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable by links, itself included)."""
     classes = classes_of(docs, key, text)
-    root = components(links(candidates(docs, classes, text)))
+    root = components(links(candidates(docs, classes, key, text)))
     # Documents without shingles are classes of their own; a document's class and root may be one.
     placed = classes.join(root, "class", "left").select("doc", "n", F.coalesce("root", "class").alias("root"))
     first = stored(placed.where("n > 0").groupBy("root").agg(F.min("doc").alias("first")), "group-ids")
