@@ -124,7 +124,7 @@ def drop_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", coun
     """The rows of ``docs`` without the lines that go; the same columns. ``count`` names a column with the text's length."""
     gone_key, nos = free_name(docs, "gone_key"), free_name(docs, "nos")
     gone = stored(dropped(docs, key, text).select(F.col(key).alias(gone_key), F.col("nos").alias(nos)), "dropped-lines")
-    joined = docs.join(gone, F.col(key).eqNullSafe(F.col(gone_key)), "left")
+    joined = docs.join(gone.hint("merge"), F.col(key).eqNullSafe(F.col(gone_key)), "left")
     kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col(nos), i)), "\n")
     changed = F.col(nos).isNotNull() & F.col(text).isNotNull()
     new = F.when(changed, kept).otherwise(F.col(text))

@@ -82,6 +82,16 @@ def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _packed(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    """Rows of a number and packed arrays."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=names)
+
+
+def _unpacked(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
 def _pack(buckets: int, low: bool):
     """Blocks of postings: per bucket of the hash range its shingles, set by set, with classes and run lengths; of the
     lower half of the range alone if ``low``."""
@@ -89,6 +99,7 @@ def _pack(buckets: int, low: bool):
     def block(sets: list[np.ndarray]) -> pa.RecordBatch:
         sets = [s for s in sets if len(s)]
         names = np.array([_set_name(s) for s in sets], np.int64)
+        sizes = np.array([len(s) for s in sets], np.int32)
         if low:
             sets = [s[: np.searchsorted(s, HALF)] for s in sets]
         tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
@@ -102,12 +113,9 @@ def _pack(buckets: int, low: bool):
             own = owner[lo:hi]
             first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
             runs = np.diff(np.append(first, hi - lo)).astype(np.int32)
-            rows.append((int(b), tokens[lo:hi].tobytes(), names[own[first]].tobytes(), runs.tobytes()))
-        columns = list(zip(*rows, strict=True)) or [()] * 4
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-            names=["bucket", "tokens", "classes", "runs"],
-        )
+            own = own[first]
+            rows.append((int(b), tokens[lo:hi].tobytes(), names[own].tobytes(), sizes[own].tobytes(), runs.tobytes()))
+        return _packed(rows, ["bucket", "tokens", "classes", "sizes", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, n = [], 0
@@ -123,49 +131,79 @@ def _pack(buckets: int, low: bool):
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Shingles of one bucket that at least two classes hold, per class, with the number of classes."""
-    join = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    tokens = join("tokens", np.int64)
-    classes = np.repeat(join("classes", np.int64), join("runs", np.int32))
-    order = np.argsort(tokens)
-    tokens, classes = tokens[order], classes[order]
-    same = tokens[1:] == tokens[:-1]
-    several = np.append(same, False) | np.append(False, same)
-    tokens, classes = tokens[several], classes[several]
-    order = np.lexsort((classes, tokens))
-    tokens, classes = tokens[order], classes[order]
-    new = np.append(True, (tokens[1:] != tokens[:-1]) | (classes[1:] != classes[:-1]))[: len(tokens)]
-    tokens, classes = tokens[new], classes[new]
-    _, back, df = np.unique(tokens, return_inverse=True, return_counts=True)
-    df = df[back] if len(tokens) else np.zeros(0, np.int64)
-    keep = df >= 2
-    tokens, classes, df = tokens[keep], classes[keep], df[keep]
-    order = np.argsort(classes, kind="stable")
-    tokens, classes, df = tokens[order], classes[order], df[order]
-    first = np.flatnonzero(np.append(True, classes[1:] != classes[:-1]))[: len(classes)]
-    offsets = pa.array(np.append(first, len(classes)).astype(np.int32))
+def _shared(groups: int):
+    """One bucket to the shingles that at least two classes hold: a row for each group of classes, with the packed
+    (class, size of its set, shingle, number of classes)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        tokens = _unpacked(table, "tokens", np.uint64)
+        runs = _unpacked(table, "runs", np.int32)
+        classes = np.repeat(_unpacked(table, "classes", np.int64), runs)
+        sizes = np.repeat(_unpacked(table, "sizes", np.int32), runs)
+        order = np.argsort(tokens)
+        same = tokens[order][1:] == tokens[order][:-1]
+        order = order[np.append(same, False) | np.append(False, same)] if len(order) else order
+        tokens, classes, sizes = tokens[order], classes[order], sizes[order]
+        order = np.lexsort((classes, tokens))
+        tokens, classes, sizes = tokens[order], classes[order], sizes[order]
+        # Equal texts count as one class.
+        new = np.append(True, (tokens[1:] != tokens[:-1]) | (classes[1:] != classes[:-1]))[: len(tokens)]
+        tokens, classes, sizes = tokens[new], classes[new], sizes[new]
+        _, back, df = np.unique(tokens, return_inverse=True, return_counts=True)
+        df = df[back].astype(np.int32)
+        keep = df >= 2
+        group = (mix(classes[keep].view(np.uint64)) % np.uint64(groups)).astype(np.int32)
+        order = np.argsort(group, kind="stable")
+        columns = [x[keep][order] for x in (classes, sizes, tokens, df)]
+        found, starts = np.unique(group[order], return_index=True)
+        ends = np.append(starts[1:], len(order))
+        rows = [(int(g), *[x[lo:hi].tobytes() for x in columns]) for g, lo, hi in zip(found, starts, ends, strict=True)]
+        return pa.Table.from_batches([_packed(rows, ["bunch", "classes", "sizes", "tokens", "dfs"])])
+
+    return run
+
+
+def _gather(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """All shared shingles of one group of classes, by class, then number of classes, then hash; where each class starts."""
+    columns = [_unpacked(table, n, k) for n, k in (("classes", np.int64), ("sizes", np.int32), ("tokens", np.int64), ("dfs", np.int32))]
+    order = np.lexsort((columns[2], columns[3], columns[0]))
+    columns = [x[order] for x in columns]
+    first = np.flatnonzero(np.append(True, columns[0][1:] != columns[0][:-1]))[: len(order)]
+    return *columns, first
+
+
+def _whole_sets(table: pa.Table) -> pa.Table:
+    """The classes of one group that share enough shingles, with these."""
+    classes, sizes, tokens, dfs, first = _gather(table)
+    counts = np.diff(np.append(first, len(classes)))
+    keep = 100 * counts.astype(np.int64) >= PERCENT * sizes[first].astype(np.int64)
+    inside = np.repeat(keep, counts)
+    weight = np.add.reduceat(dfs.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    offsets = pa.array(np.append(0, np.cumsum(counts[keep])).astype(np.int32))
     return pa.table(
         {
-            "class": pa.array(classes[first]),
-            "tokens": pa.ListArray.from_arrays(offsets, pa.array(tokens)),
-            "dfs": pa.ListArray.from_arrays(offsets, pa.array(df.astype(np.int32))),
+            "class": pa.array(classes[first][keep]),
+            "n": pa.array(sizes[first][keep].astype(np.int64)),
+            "weight": pa.array(weight[keep]),
+            "tokens": pa.ListArray.from_arrays(offsets, pa.array(tokens[inside])),
         }
     )
 
 
 def _count_shared(table: pa.Table) -> pa.Table:
-    """Number of shared shingles per class in one bucket."""
-    found = _shared(table)
-    sizes = np.diff(found.column("tokens").combine_chunks().offsets.to_numpy()).astype(np.int64)
-    return pa.table({"class": found.column("class"), "shared": pa.array(sizes)})
+    """Number of shared shingles of the classes of one group."""
+    classes, _, _, _, first = _gather(table)
+    return pa.table({"class": pa.array(classes[first]), "shared": pa.array(np.diff(np.append(first, len(classes))).astype(np.int64))})
 
 
 def _postings(docs: DataFrame, text: str, total: int, low: bool) -> DataFrame:
+    """Shared shingles, packed and grouped by groups of classes."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, math.ceil(total / BUCKET_SHINGLES))
     source = docs.select(F.col(text).alias("text"))
-    return source.mapInArrow(_pack(buckets, low), "bucket int, tokens binary, classes binary, runs binary").groupBy("bucket")
+    blocks = source.mapInArrow(_pack(buckets, low), "bucket int, tokens binary, classes binary, sizes binary, runs binary")
+    shared = blocks.groupBy("bucket").applyInArrow(_shared(buckets), "bunch int, classes binary, sizes binary, tokens binary, dfs binary")
+    return shared.groupBy("bunch")
 
 
 def classes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -190,13 +228,9 @@ def candidates(docs: DataFrame, classes: DataFrame, key: str, text: str) -> Data
     left = stored(left.select("class", "n", F.col("doc").alias("first_doc")), "possible-classes")
     total = left.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     few = meet(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), left, F.col("doc").eqNullSafe(F.col("first_doc")), "left_semi")
-    shared = _postings(few, "text", total, False).applyInArrow(_shared, "class bigint, tokens array<bigint>, dfs array<int>")
-    gathered = shared.groupBy("class").agg(F.flatten(F.collect_list(F.arrays_zip("dfs", "tokens"))).alias("t"))
-    kept = gathered.join(left.select("class", "n"), "class").where(100 * F.size("t") >= PERCENT * F.col("n"))
-    # A text that others were made from shares its shingles with most classes: the better one to ask a whole list.
-    weight = F.aggregate("t", F.lit(0).cast("bigint"), lambda acc, x: acc + x["dfs"])
-    tokens = F.transform(F.sort_array("t"), lambda x: x["tokens"])
-    return stored(kept.select("class", "n", weight.alias("weight"), tokens.alias("tokens")), "candidates")
+    # A text that others were made from shares its shingles with most classes, which gives it weight.
+    sets = _postings(few, "text", total, False).applyInArrow(_whole_sets, "class bigint, n bigint, weight bigint, tokens array<bigint>")
+    return stored(sets, "candidates")
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,33 +329,30 @@ def components(links: DataFrame) -> DataFrame:
         before = (state["n"], state["h"])
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(stored(least, "least"), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.distinct(), "large-star")
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
 
 
-def _roots(links: DataFrame) -> DataFrame:
-    """(class, root) from links (x, y), one x for each y and all x before their y in one order: a forest, climbed by doubling steps."""
-    forest = stored(links.select(F.col("y").alias("class"), F.col("x").alias("root")), "forest")
-    while True:
-        up = forest.join(forest.select(F.col("class").alias("root"), F.col("root").alias("top")), "root", "left")
-        climbed = stored(up.select("class", F.coalesce("top", "root").alias("root"), F.col("top").isNotNull().alias("moved")), "forest")
-        forest = climbed.select("class", "root")
-        if not climbed.where("moved").limit(1).count():
-            return forest
+def _parents(links: DataFrame) -> DataFrame:
+    """(class, root) after two steps up the links (x, y), which have one x for each y: classes of one root are connected."""
+    up = links.select(F.col("y").alias("class"), F.col("x").alias("root"))
+    above = up.select(F.col("class").alias("root"), F.col("root").alias("top"))
+    return stored(up.join(above, "root", "left").select("class", F.coalesce("top", "root").alias("root")), "roots")
 
 
-def _settle(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links among the pairs, enough to connect what they connect: every class first asks the partner with which it shares most short lists, so that groups collapse; then what is left apart."""
+def _settle(pairs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links among the pairs, enough to connect what they connect, and the roots known by then: every class first asks
+    the partner with which it shares most short lists, so that groups collapse; then what is left apart."""
     best = stored(pairs.groupBy("y").agg(F.max_by("x", F.struct("n_short", "x")).alias("x")), "asked")
     first = _verify(best, sets)
-    root = _roots(first)
+    root = _parents(first)
     r = lambda v: root.select(F.col("class").alias(v), F.col("root").alias(f"r{v}"))
     rest = pairs.join(best, ["x", "y"], "left_anti").join(r("x"), "x", "left").join(r("y"), "y", "left")
     rest = rest.where(F.coalesce("rx", "x") != F.coalesce("ry", "y"))
-    return first.unionByName(_verify(rest.select("x", "y"), sets))
+    return first.unionByName(_verify(rest.select("x", "y"), sets)), root
 
 
 def links(sets: DataFrame) -> DataFrame:
@@ -358,14 +389,14 @@ def links(sets: DataFrame) -> DataFrame:
         merged = met.select("x", part.alias("part"), "token", F.col("class").alias("y")).repartition("x", "part")
         merged = merged.sortWithinPartitions("x", "part", "token", "y").mapInArrow(_merge, "x bigint, y bigint, n_short int")
         # A hot list is cut into more slices than a short one, so a pair may come from two of them.
-        settled = _settle(stored(merged.groupBy("x", "y").agg(F.sum("n_short").alias("n_short")), "pairs"), sets)
+        settled, root = _settle(stored(merged.groupBy("x", "y").agg(F.sum("n_short").alias("n_short")), "pairs"), sets)
         found = found.unionByName(settled)
         if last:
             return found
         # The queries have met their whole lists.
         met = asking.select("token", F.col("q.class").alias("class"))
         entries = entries.join(met, ["token", "class"], "left_anti").drop("size", "root")
-        entries = entries.join(stored(components(found), "roots"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+        entries = entries.join(root, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
