@@ -33,7 +33,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_="
 CANDIDATE = r"[A-Za-z0-9+/_=]{16,}"
 # The last character class stands for the start of a string.
 CODES = len(ALPHABET) + 1
-THRESHOLD = 0.35  # nats per character
+THRESHOLD = 0.1  # nats per character
 
 
 def matches(text: Column, pattern: str) -> Column:

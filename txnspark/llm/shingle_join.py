@@ -109,7 +109,7 @@ def _pack(buckets: int, low: bool):
         tokens, owner, bucket = tokens[order], owner[order], bucket[order]
         found, starts = np.unique(bucket, return_index=True)
         rows = []
-        for b, lo, hi in zip(found, starts, np.append(starts[1:], len(bucket)), strict=True):
+        for b, lo, hi in zip(found, starts, np.append(starts[1:], len(bucket))[: len(starts)], strict=True):
             own = owner[lo:hi]
             first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
             runs = np.diff(np.append(first, hi - lo)).astype(np.int32)
@@ -156,7 +156,7 @@ def _shared(groups: int):
         order = np.argsort(group, kind="stable")
         columns = [x[keep][order] for x in (classes, sizes, tokens, df)]
         found, starts = np.unique(group[order], return_index=True)
-        ends = np.append(starts[1:], len(order))
+        ends = np.append(starts[1:], len(order))[: len(starts)]
         rows = [(int(g), *[x[lo:hi].tobytes() for x in columns]) for g, lo, hi in zip(found, starts, ends, strict=True)]
         return pa.Table.from_batches([_packed(rows, ["bunch", "classes", "sizes", "tokens", "dfs"])])
 

@@ -76,7 +76,7 @@ def directory(f, size: int) -> dict[str, dict]:
     for _ in range(entries):
         if raw[p : p + 4] != b"PK\x01\x02":
             raise ValueError("damaged central directory")
-        flags, method, _, _, _, packed, plain, n, extra, comment, _, _, _, local = struct.unpack_from("<4H4L5H2L", raw, p + 8)[:14]
+        flags, method, _, _, _, packed, plain, n, extra, comment, _, _, _, local = struct.unpack_from("<4H3L5H2L", raw, p + 8)
         name = raw[p + 46 : p + 46 + n].decode("utf-8" if flags & 0x800 else "cp437")
         q, stop = p + 46 + n, p + 46 + n + extra
         while q + 4 <= stop:
