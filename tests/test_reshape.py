@@ -156,3 +156,22 @@ def test_single_value_and_dict(spark):
     assert values.get_single_value(df.where("col_1 > 9"), default=7) == 7
     got = values.get_results_as_dict(df.orderBy("col_1"))
     assert got == {"col_1": [1, 2, 3], "col_2": ["a", "b", "c"], "col_3": [True, False, None]}
+
+
+def test_latest_by_is_the_same_for_any_order_of_rows(spark):
+    from txnspark.operators import reshape
+
+    rows = [(1, 5, "x"), (1, 5, "y"), (2, None, "z")]
+    got = {frozenset(map(tuple, reshape.latest_by(spark.createDataFrame(r, "k int, o int, v string"), ["k"], "o").collect())) for r in (rows, rows[::-1])}
+    assert len(got) == 1 and (2, None, "z") in next(iter(got))
+
+
+def test_values_are_all_there_or_an_error(spark):
+    import pytest
+
+    from txnspark.operators import values
+
+    df = spark.range(50).selectExpr("id as v")
+    assert len(values.get_column_values(df, "v", max_records=50, bound=60)) == 50
+    with pytest.raises(ValueError, match="more than 20"):
+        values.get_column_values(df, "v", max_records=50, bound=20)

@@ -69,6 +69,15 @@ def test_incremental_load_is_idempotent(spark, table_name):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_incremental_load_takes_equal_and_late_times_once(spark, table_name):
+    schema = "id long, user_id long, timestamp timestamp_ntz"
+    first = [(1, 1, dt.datetime(2024, 1, 5, 12)), (2, 1, None)]
+    later = first + [(3, 1, dt.datetime(2024, 1, 5, 12)), (4, 2, dt.datetime(2024, 1, 4))]
+    for data in (first, later, later):
+        tables.load_increment(spark.createDataFrame(data, schema), table_name)
+    assert sorted(r["id"] for r in spark.table(table_name).collect()) == [1, 2, 3, 4]
+
+
 def test_append_copy_and_buckets(spark, table_name):
     df = spark.range(10).withColumnRenamed("id", "user_id")
     tables.append(df, table_name)

@@ -74,6 +74,17 @@ def test_rejects(spark, tmp_path):
     assert reasons == [("amount: minimum",), ("currency: pattern",), ("payload: json", "transaction_id: required")]
 
 
+def test_streams_that_share_a_reject_sink_keep_both(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    for i in (1, 2):
+        source = str(tmp_path / f"topic{i}")
+        write_topic(spark, source, [body(i)])
+        rules = C.required("transaction_id")
+        decoded = ingest.decode_json(topic(spark, source))
+        ingest.write_with_rejects(decoded, rules, good, bad, str(tmp_path / f"ckpt{i}"), once=True).awaitTermination()
+    assert sorted(r["transaction_id"] for r in spark.read.parquet(good).collect()) == ["t1", "t2"]
+
+
 def test_deduplication_within_watermark(spark, tmp_path):
     source, out, ckpt = (str(tmp_path / n) for n in ("topic", "out", "ckpt"))
     write_topic(spark, source, [body(i % 10) for i in range(30)])
@@ -119,3 +130,14 @@ def test_writer_triggers(spark, tmp_path):
         # Streams cannot be collected; the writer is the only way out.
         ingest.decode_json(topic(spark, source)).collect()
     assert ingest.lake_writer(topic(spark, source), str(tmp_path / "o"), str(tmp_path / "c"), parts=()) is not None
+
+
+def test_table_streams_from_a_file_and_from_part_files(spark, tmp_path):
+    from txnspark.catalog import registered
+
+    source = "/root/testdata/sf0.001"
+    for name in ("events", "orders"):
+        spark.read.parquet(f"{source}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for query in ("str_05_partitioned_lake", "str_10_11_topic_to_table"):
+        one, parts = (registered()[query](spark, where) for where in (source, str(tmp_path)))
+        assert one.count() > 0 and one.exceptAll(parts).count() == 0 and parts.exceptAll(one).count() == 0

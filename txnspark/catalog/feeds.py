@@ -203,7 +203,7 @@ def _(spark, sf):
 
 def event_stream(spark, sf):
     schema = table(spark, sf, "events").schema
-    return ingest.read_files(spark, sf, schema, name_filter="events.parquet")
+    return ingest.read_table(spark, sf, "events.parquet", schema)
 
 
 @query(
@@ -261,7 +261,7 @@ def _(spark, sf):
     """Keyed JSON messages into a table folder; every tenth is a tombstone and leaves no row."""
     target, checkpoint = scratch(spark, "topic"), scratch(spark, "checkpoint")
     schema = table(spark, sf, "orders").schema
-    orders = ingest.read_files(spark, sf, schema, name_filter="orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus")
+    orders = ingest.read_table(spark, sf, "orders.parquet", schema).select("o_orderkey", "o_custkey", "o_orderstatus")
     messages = feeds.to_messages(orders, "o_orderkey")
     messages = messages.withColumn("value", F.when(F.col("key").cast("bigint") % 10 != 0, F.col("value")))
     body = orders.schema

@@ -205,16 +205,17 @@ def _(spark, sf):
     "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)",
 )
 def _(spark, sf):
-    """``NOT IN`` keeps its meaning with NULLs: a NULL on the right empties the result.
+    """``NOT IN`` keeps its meaning with NULLs: a NULL on the right empties the result, an empty right side keeps all.
 
     The right side has no NULL here, which turns the null-aware join (one broadcast) into a plain anti join.
     """
     rich = table(spark, sf, "orders").where(F.col("o_totalprice") > 400000)
     rich = rich.select(F.col("o_custkey").alias("c_custkey"))
     has_null = rich.agg(F.coalesce(F.bool_or(F.col("c_custkey").isNull()), F.lit(False))).scalar()
+    empty = rich.agg(F.count("*") == 0).scalar()
     c = table(spark, sf, "customer")
     known = rich.where(F.col("c_custkey").isNotNull()).distinct()
-    return c.where(F.col("c_custkey").isNotNull() & ~has_null).join(known, "c_custkey", "left_anti").select("c_custkey", "c_name")
+    return c.where((F.col("c_custkey").isNotNull() & ~has_null) | empty).join(known, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
 # --- aggregates ----------------------------------------------------------------------------------------------------
@@ -376,7 +377,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Values fetched first (bounded), then one aggregate over the table."""
     orders = table(spark, sf, "orders")
-    found = values.get_results_as_dict(values.column_values(orders, "o_orderpriority", max_records=100))["value"]
+    found = values.get_results_as_dict(values.column_values(orders, "o_orderpriority"))["value"]
     return orders.groupBy("o_orderstatus").agg(*reshape.pivot_columns("o_orderpriority", sorted(found), slug=True))
 
 

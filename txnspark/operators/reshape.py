@@ -138,7 +138,7 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str | Column], order_by: S
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """AGG-08 as an aggregate: the row with the greatest ``order`` per key."""
+    """AGG-08 as an aggregate: the row with the greatest ``order`` per key, NULL being the lowest; ties go by a hash of the row."""
     rest = [c for c in df.columns if c not in keys]
-    top = F.max_by(F.struct(*rest), F.col(order)).alias("_top")
+    top = F.max_by(F.struct(*rest), F.struct(F.col(order), F.xxhash64(*rest))).alias("_top")
     return df.groupBy(*keys).agg(top).select(*keys, "_top.*").select(*df.columns)

@@ -31,19 +31,21 @@ def get_column_values(
     max_records: int | None = None,
     default: list | None = None,
     where: str | None = None,
+    bound: int | None = None,
 ) -> list:
     """AGG-10: the values as a list; ``default`` serves a missing relation or an empty result.
 
-    More than ``MAX_COLLECTED`` values raise an error rather than flood the driver.
+    ``max_records`` keeps the first so many. A list of more than ``bound`` values (``MAX_COLLECTED``) is an error,
+    never a shorter list.
     """
+    bound = MAX_COLLECTED if bound is None else bound
     if df is None:
         if default is None:
             raise ValueError("the relation does not exist and no default was given")
         return default
-    bound = MAX_COLLECTED if max_records is None else min(max_records, MAX_COLLECTED)
-    fetch = bound if max_records is not None else bound + 1
+    fetch = bound + 1 if max_records is None else min(max_records, bound + 1)
     rows = column_values(df, column, order_by, fetch, where).select("value").collect()
-    if max_records is None and len(rows) > bound:
+    if len(rows) > bound:
         raise ValueError(f"{column} has more than {bound} values; use column_values")
     return [r[0] for r in rows] or (default if default is not None else [])
 
@@ -54,9 +56,10 @@ def get_single_value(df: DataFrame, default: object = None) -> object:
     return default if row is None else row[0]
 
 
-def get_results_as_dict(df: DataFrame) -> dict[str, list]:
-    """AGG-12: columns of a small result as lists."""
-    rows = df.limit(MAX_COLLECTED + 1).collect()
-    if len(rows) > MAX_COLLECTED:
-        raise ValueError(f"more than {MAX_COLLECTED} rows")
+def get_results_as_dict(df: DataFrame, bound: int | None = None) -> dict[str, list]:
+    """AGG-12: columns of a small result as lists; more than ``bound`` (``MAX_COLLECTED``) rows are an error."""
+    bound = MAX_COLLECTED if bound is None else bound
+    rows = df.limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} rows")
     return {c: [r[i] for r in rows] for i, c in enumerate(df.columns)}

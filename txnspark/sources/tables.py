@@ -54,13 +54,30 @@ def newer_than(source: DataFrame, mark, ts: str = "timestamp") -> DataFrame:
     return source if mark is None else source.where(F.col(ts) > F.lit(mark).cast(source.schema[ts].dataType))
 
 
-def load_increment(source: DataFrame, table: str, ts: str = "timestamp", cluster: str = "user_id", day: str = "day") -> None:
-    """SRC-06, SRC-07: append the rows newer than the table's high-water mark, so that a second run adds nothing.
+def load_increment(
+    source: DataFrame,
+    table: str,
+    ts: str = "timestamp",
+    cluster: str = "user_id",
+    day: str = "day",
+    key: Sequence[str] | None = None,
+    lookback: str = "7 days",
+) -> None:
+    """SRC-06, SRC-07: append the rows that the table lacks, so that a second run adds nothing.
 
-    The reference computes the mark and ignores it; every run appends everything again.
+    Rows up to ``lookback`` before the table's high-water mark, and rows without a time, are looked up in the table by
+    ``key`` (all columns if not given): equal and late times are loaded once. The reference computes the mark and
+    ignores it; every run appends everything again.
     """
-    mark = high_water_mark(source.sparkSession, table, ts)
-    append_by_day(newer_than(source, mark, ts), table, ts, cluster, day)
+    spark = source.sparkSession
+    mark = high_water_mark(spark, table, ts)
+    if mark is not None:
+        since = F.lit(mark).cast(source.schema[ts].dataType) - F.expr(f"INTERVAL {lookback}")
+        ids = list(key or source.columns)
+        recent = F.col(ts).isNull() | (F.col(ts) >= since)
+        known = spark.table(table).where(recent).select(*[F.col(c).alias(f"_known_{c}") for c in ids])
+        source = source.where(recent).join(known, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in ids], "left_anti")
+    append_by_day(source, table, ts, cluster, day)
 
 
 def copy_table(spark: SparkSession, source: str, target: str, path: str | None = None) -> None:

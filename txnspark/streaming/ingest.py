@@ -6,6 +6,8 @@ rows may still sit in memory.
 
 from __future__ import annotations
 
+import hashlib
+
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,6 +80,15 @@ def read_files(
     return reader.load(path)
 
 
+def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
+    """STR-01 offline: one table of a folder as a stream, be it a single file or a folder of part files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(path).isDirectory():
+        return read_files(spark, f"{folder}/{name}", schema)
+    return read_files(spark, folder, schema, name_filter=name)
+
+
 def decode_json(messages: DataFrame, schema: T.StructType = S.TRANSACTION_MESSAGE) -> DataFrame:
     """STR-02, STR-07: JSON payloads as columns; text that does not parse is kept in ``_corrupt``.
 
@@ -174,17 +185,19 @@ def write_with_rejects(
 ) -> StreamingQuery:
     """STR-07, QC-26: valid rows and rejected rows (with the violated rules) to two folders.
 
-    Each micro-batch overwrites its own ``batch=<id>`` folder, so a batch that runs twice leaves one copy.
+    Each micro-batch overwrites its own ``batch=<stream>-<id>`` folder, so a batch that runs twice leaves one copy; the
+    stream's part comes from its checkpoint, so streams that share a target keep out of each other's folders.
     """
     checked = validate(df, rules)
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             good = batch.where(F.size("violations") == 0).drop("violations")
             bad = batch.where(F.size("violations") > 0)
-            good.write.mode("overwrite").parquet(f"{accepted}/batch={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
+            good.write.mode("overwrite").parquet(f"{accepted}/batch={stream}-{batch_id}")
+            bad.write.mode("overwrite").parquet(f"{rejected}/batch={stream}-{batch_id}")
         finally:
             batch.unpersist()
 
