@@ -38,27 +38,37 @@ _MARK = "\u0001"  # stands before a name until all words are lower case
 _SPACE = r"\x20\x09-\x0D"
 
 
-def template(text: Column) -> Column:
-    """Struct of two arrays of equal length: ``t`` canonical words, ``v`` the plain lower-case words."""
+def _marked(text: Column) -> Column:
+    """Lower-case words without outer punctuation, names with the mark before them."""
     # A capital inside a sentence follows a space that does not follow the end of a sentence.
     named = F.regexp_replace(F.coalesce(text, F.lit("")), r" (?<![.!?:;] )(\p{Lu}\p{Ll})", f" {_MARK}$1")
     bare = F.regexp_replace(named, rf"[^\p{{L}}\p{{M}}\p{{N}}{_SPACE}$%.,:/{_MARK}]+", "")
-    bare = F.lower(F.regexp_replace(bare, r"[.,:/]+(?![0-9])", ""))
+    return F.lower(F.regexp_replace(bare, r"[.,:/]+(?![0-9])", ""))
+
 
-    def both(m: Column) -> Column:
-        t = F.regexp_replace(m, rf"{_MARK}[^{_SPACE}]+", "<name>")
-        t = F.regexp_replace(t, rf"(?<![^{_SPACE}])[$]?[0-9][0-9.,:/]*%?(?![^{_SPACE}])", "<num>")
-        t = F.regexp_replace(t, rf"<num> (?:{'|'.join(u.replace('$', '[$]') for u in UNITS)})(?![^{_SPACE}])", "<num> <unit>")
-        return F.struct(words(t).alias("t"), words(F.regexp_replace(m, _MARK, "")).alias("v"))
+def _placeholders(m: Column) -> Column:
+    """Canonical words of a marked text."""
+    t = F.regexp_replace(m, rf"{_MARK}[^{_SPACE}]+", "<name>")
+    num = F.regexp_replace(t, rf"(?<![^{_SPACE}])[$]?[0-9][0-9.,:/]*%?(?![^{_SPACE}])", "<num>")
+    units = "|".join(u.replace("$", "[$]") for u in UNITS)
+    num = F.regexp_replace(num, rf"<num> (?:{units})(?![^{_SPACE}])", "<num> <unit>")
+    return words(F.when(m.rlike("[0-9]"), num).otherwise(t))
 
-    return let(bare, both)
+
+def template(text: Column) -> Column:
+    """Struct of two arrays of equal length: ``t`` canonical words, ``v`` the plain lower-case words."""
+    return let(_marked(text), lambda m: F.struct(_placeholders(m).alias("t"), words(F.regexp_replace(m, _MARK, "")).alias("v")))
 
 
 def _hashes(t: Column, length: int) -> Column:
-    starts = F.sequence(F.lit(1), F.size(t) - (length - 1))
-    return F.when(F.size(t) >= length, F.transform(starts, lambda i: F.xxhash64(F.slice(t, i, length)))).otherwise(
-        F.array().cast("array<bigint>")
-    )
+    """Hash of each window of canonical words, from the hashes of the words."""
+
+    def of(h: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(h) - (length - 1))
+        windows = F.transform(starts, lambda i: F.xxhash64(F.slice(h, i, length)))
+        return F.when(F.size(h) >= length, windows).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.transform(t, lambda x: F.xxhash64(x)), of)
 
 
 def _slots(t: Column, v: Column, start: Column, length: int) -> Column:
@@ -97,7 +107,7 @@ def contaminated(
     items = stored(index(benchmark), "benchmark-windows")
     lengths = [r["length"] for r in items.select("length").distinct().collect()]  # at most eight values
     source = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    templates = source.select("doc", template(F.col("text"))["t"].alias("t"))
+    templates = source.select("doc", let(_marked(F.col("text")), _placeholders).alias("t"))
     found = templates.select(
         "doc", F.explode(F.flatten(F.array(*[_hashes(F.col("t"), n) for n in lengths or [WINDOW]]))).alias("h")
     )
