@@ -102,6 +102,9 @@ def test_json_scalar(spark):
     got = df.select(*[X.json_scalar("j", f"$.{k}") for k in "abce"]).collect()
     assert tuple(got[0]) == ("1", None, None, "x")
     assert tuple(got[1]) == (None,) * 4
+    odd = spark.createDataFrame([('{"a":"[Acme] Shop","b":"{x}","c":" [","d":{"e":1},"f":"[1]"}',)], "j string")
+    got = odd.select(*[X.json_scalar("j", f"$.{k}") for k in "abcdf"]).first()
+    assert tuple(got) == ("[Acme] Shop", "{x}", " [", None, "[1]")
 
 
 def test_dates(spark):

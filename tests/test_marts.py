@@ -65,6 +65,8 @@ def test_stage_indicators(spark):
         [("GDP", "n", 1.5, dt.date(2024, 1, 1), "US"), ("X", None, None, None, None)],
         "indicator_id indicator_name value date country",
     )
+    odd = envelopes(spark, {"indicator_id": "[A] b", "indicator_name": {"d": 1}, "value": [1], "country": "{x}"})
+    same(staging.stage_indicators(odd).drop("value", "date"), [("[A] b", None, "{x}")])
 
 
 def test_dim_date(spark):
@@ -190,6 +192,11 @@ def test_write_marts(spark, warehouse):
         assert spark.table("fact_transactions").count() == 3
         assert spark.table("ml_features").count() == marts.ml_features.count() == 3
         assert marts.dim_users.count() == 2
+    # The views read the stored tables: a row added to one shows.
+    series = spark.table("fact_economic_indicators")
+    again = series.where(F.col("indicator") == cards.UNEMPLOYMENT)
+    spark.createDataFrame(again.collect(), series.schema).write.insertInto("fact_economic_indicators")
+    assert spark.table("fraud_analysis_view").count() > 3
 
 
 def test_dashboards(spark):

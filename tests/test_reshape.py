@@ -79,6 +79,13 @@ def test_union_relations(spark):
     assert rows(got.groupBy("_dbt_source_relation").count()) == [("t1", 3), ("t2", 2)]
 
 
+def test_union_relations_compares_names_without_case(spark):
+    a, b = spark.sql("select 1 as ID, 'x' as name"), spark.sql("select 2 as id, 'y' as Name, 3 as n")
+    got = reshape.union_relations({"a": a, "b": b}, source_column_name=None, column_override={"id": "bigint"})
+    same(got, [(1, "x", None), (2, "y", 3)], "ID name n")
+    assert got.schema["ID"].dataType.simpleString() == "bigint"
+
+
 def test_union_relations_options(spark):
     t = _tables(spark)
     got = reshape.union_relations(t, exclude=["NAME"], source_column_name=None, where="id > 1", column_override={"id": "string"})

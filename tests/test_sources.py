@@ -153,3 +153,12 @@ def test_messages(spark):
     got = feeds.to_messages(df, "key").first()
     assert got["key"] == "USD_EUR" and bytes(got["value"]).decode() == '{"base_currency":"USD","rate":0.9}'
     assert feeds.to_messages(df, feeds.DELIVERY_KEYS["exchange_rates"]).first()["key"] == "USD"
+
+
+def test_latest_observation_does_not_depend_on_row_order(spark):
+    data = [("a", "2024-01-02", "x"), ("a", "2024-01-02", "y"), ("a", "2024-01-01", "z"), ("b", None, "w")]
+    got = [
+        sorted(map(tuple, feeds.latest_observations(spark.createDataFrame(d, "series_id string, date string, value string")).collect()), key=repr)
+        for d in (data, data[::-1])
+    ]
+    assert got[0] == got[1] and [r[0] for r in got[0]] == ["a", "b"] and got[0][1] == ("b", None, "w")

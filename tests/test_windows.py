@@ -9,9 +9,10 @@ from collections import Counter
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import bag, rows
-from txnspark.operators.windows import adjacent_pairs, fit_slice_seconds, lag_by_slice, rolling_count, rolling_rows
+from txnspark.operators.windows import adjacent_pairs, fit_slice_seconds, hot_keys, lag_by_slice, rolling_count, rolling_rows
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -49,11 +50,16 @@ def test_rolling_count_matches_range_frame(frame, duck, slices):
     assert got == want
 
 
-# All keys cut, only the key with a third of the rows cut, no key cut.
-@pytest.mark.parametrize(("seconds", "hot_rows"), [(900, 0), (86400 * 3, 0), (3600, 300), (3600, 10_000)])
-def test_rolling_rows_matches_rows_frame(frame, duck, seconds, hot_rows):
+def _hot(df, more_than):
+    return None if more_than is None else hot_keys(df, ["k"], more_than)
+
+
+# All keys cut, only the key with a third of the rows cut, no key hot enough, plain windows.
+@pytest.mark.parametrize(("seconds", "more_than"), [(900, 0), (86400 * 3, 0), (3600, 300), (3600, 10_000), (900, None)])
+def test_rolling_rows_matches_rows_frame(frame, duck, seconds, more_than):
     df, data = frame
-    rolled = rolling_rows(df, ["k"], ["ts", "id"], "v", {"c1": 1, "c3": 3}, {"a7": 7}, seconds, hot_rows=hot_rows)
+    hot = _hot(df, more_than)
+    rolled = rolling_rows(df, ["k"], ["ts", "id"], "v", {"c1": 1, "c3": 3}, {"a7": 7}, hot, seconds)
     got = rows(rolled.select("id", "c1", "c3", "a7"))
     want = _duck(
         duck,
@@ -67,10 +73,30 @@ def test_rolling_rows_matches_rows_frame(frame, duck, seconds, hot_rows):
     assert got == want
 
 
-@pytest.mark.parametrize(("seconds", "hot_rows"), [(900, 0), (86400, 300), (86400, 10_000)])
-def test_lag_matches_plain_lag(frame, duck, seconds, hot_rows):
+def test_sliced_averages_of_doubles_equal_plain_ones(spark, frame):
+    df = frame[0].withColumn("v", F.col("v").cast("double") / 3)
+    args = (["k"], ["ts", "id"], "v", {}, {"a7": 7})
+    plain = rolling_rows(df, *args).select("id", "a7")
+    sliced = rolling_rows(df, *args, hot_keys(df, ["k"], 0), 900).select("id", "a7")
+    assert sorted(map(tuple, sliced.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_no_job_runs_while_frames_are_built(spark, frame):
+    df = frame[0]
+    spark.sparkContext.setJobGroup("frames", "frames")
+    try:
+        rolling_rows(df, ["k"], ["ts", "id"], "v", {"c": 1}, {"a": 7}, hot_keys(df, ["k"], 0))
+        lag_by_slice(df, ["k"], ["ts", "id"], "v", "p", hot_keys(df, ["k"], 0))
+        rolling_count(df, ["k"], "ts", 86400, "c")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("frames")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize(("seconds", "more_than"), [(900, 0), (86400, 300), (86400, 10_000), (900, None)])
+def test_lag_matches_plain_lag(frame, duck, seconds, more_than):
     df, data = frame
-    got = rows(lag_by_slice(df, ["k"], ["ts", "id"], "v", "p", seconds, hot_rows).select("id", "p"))
+    got = rows(lag_by_slice(df, ["k"], ["ts", "id"], "v", "p", _hot(df, more_than), seconds).select("id", "p"))
     assert got == _duck(
         duck, data, "select id, lag(v) over (partition by k order by ts nulls first, id) from t"
     )

@@ -89,7 +89,7 @@ def analysis(spark, sf):
 
 
 def stream_analysis(spark, sf):
-    indicators = cards.fact_economic_indicators(B.with_change(B.stream_indicators(spark, sf)), slice_days=30)
+    indicators = cards.fact_economic_indicators(B.with_change(B.stream_indicators(spark, sf)))
     named = indicators.withColumn(
         "indicator_name", F.when(F.col("indicator") == "error", "unemployment_rate").otherwise(F.col("indicator"))
     )
@@ -295,13 +295,11 @@ def _(spark, sf):
       count(*) OVER (w ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS transaction_count_last_24h,
       CAST(sum(s.amount) OVER (w ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS DOUBLE)
         / count(*) OVER (w ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS avg_amount_last_7d,
-      count(*) OVER (PARTITION BY a.user_id ORDER BY transaction_timestamp_utc
+      count(*) OVER (PARTITION BY a.user_id ORDER BY a.transaction_timestamp_utc
         RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS transaction_count_24h_range,
       a.is_fraud
     FROM stream_analysis a JOIN staged s USING (transaction_id)
-    WINDOW w AS (PARTITION BY a.user_id ORDER BY a.transaction_timestamp_utc, a.transaction_id)""".replace(
-        "s.transaction_timestamp_utc", "a.transaction_timestamp_utc"
-    ).replace("ORDER BY transaction_timestamp_utc\n", "ORDER BY a.transaction_timestamp_utc\n"),
+    WINDOW w AS (PARTITION BY a.user_id ORDER BY a.transaction_timestamp_utc, a.transaction_id)""",
 )
 def _(spark, sf):
     return star.ml_features_view(stream_analysis(spark, sf), with_ranges=True, transactions=B.staged(spark, sf))

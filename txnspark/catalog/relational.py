@@ -419,7 +419,8 @@ def _cents(spark, sf):
     "FROM events",
 )
 def _(spark, sf):
-    out = W.rolling_rows(_cents(spark, sf), ["user_id"], ["ts", "event_id"], "value", {"n": 1}, {}, hot_rows=60)
+    e = _cents(spark, sf)
+    out = W.rolling_rows(e, ["user_id"], ["ts", "event_id"], "value", {"n": 1}, {}, W.hot_keys(e, ["user_id"], 60))
     return out.select("event_id", "n")
 
 
@@ -429,7 +430,8 @@ def _(spark, sf):
     WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)""",
 )
 def _(spark, sf):
-    out = W.rolling_rows(_cents(spark, sf), ["user_id"], ["ts", "event_id"], "value", {}, {"mean": 7}, hot_rows=60)
+    e = _cents(spark, sf)
+    out = W.rolling_rows(e, ["user_id"], ["ts", "event_id"], "value", {}, {"mean": 7}, W.hot_keys(e, ["user_id"], 60))
     return out.select("event_id", "mean")
 
 
@@ -450,7 +452,8 @@ def _(spark, sf):
 def _(spark, sf):
     """Five types share all rows, so each holds a fifth; types above the bound are spread over slices of a day."""
     e = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
-    return W.lag_by_slice(e, ["event_type"], ["ts", "event_id"], "value", "previous", W.DAY, 1000).select("event_id", "previous")
+    hot = W.hot_keys(e, ["event_type"], 1000)
+    return W.lag_by_slice(e, ["event_type"], ["ts", "event_id"], "value", "previous", hot, W.DAY).select("event_id", "previous")
 
 
 @query(

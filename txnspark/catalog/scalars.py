@@ -13,11 +13,18 @@ table = B.table
 
 @query(
     "fn_01_json_scalar",
-    "SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS missing FROM events",
+    "SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS missing, "
+    "'[' || event_type || '] Shop' AS bracketed, CAST(NULL AS VARCHAR) AS nested FROM events",
 )
 def _(spark, sf):
+    """Text that starts with a bracket is a scalar, an object is not."""
+    wrapped = F.concat(F.lit('{"t":"['), "event_type", F.lit('] Shop","o":'), "props", F.lit("}"))
     return table(spark, sf, "events").select(
-        "event_id", X.json_scalar("props", "$.k").alias("k"), X.json_scalar("props", "$.none").alias("missing")
+        "event_id",
+        X.json_scalar("props", "$.k").alias("k"),
+        X.json_scalar("props", "$.none").alias("missing"),
+        X.json_scalar(wrapped, "$.t").alias("bracketed"),
+        X.json_scalar(wrapped, "$.o").alias("nested"),
     )
 
 

@@ -18,8 +18,14 @@ def _col(c: Column | str) -> Column:
 
 def json_scalar(json: Column | str, path: str) -> Column:
     """FN-01: text of a scalar in a JSON string; NULL for an object or array."""
-    text = F.get_json_object(_col(json), path)
-    return F.when(~text.rlike(r"^\s*[\[{]"), text)
+    json = _col(json)
+    return scalar_only(F.get_json_object(json, path), json, path)
+
+
+def scalar_only(text: Column, json: Column, path: str) -> Column:
+    """``text`` found at ``path``, NULL if an object or array is there. Only text with a leading bracket asks for its type."""
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), path, "variant"))
+    return F.when(~text.rlike(r"^\s*[\[{]"), text).when(kind == "STRING", text)
 
 
 def surrogate_key(*fields: Column | str, empty_for_null: bool = False) -> Column:

@@ -95,7 +95,7 @@ def union_relations(
     source_column_name: str | None = SOURCE_COLUMN,
     where: str | None = None,
 ) -> DataFrame:
-    """SET-02: UNION ALL of named frames over the superset of their columns in first-seen order.
+    """SET-02: UNION ALL of named frames over the superset of their columns in first-seen order; names compare without case.
 
     A column has the type it had where it was first seen, or the overriding type; a frame that lacks it adds NULLs.
     ``where`` filters every branch before the union, so it reaches each scan.
@@ -103,24 +103,25 @@ def union_relations(
     if include and exclude:
         raise ValueError("give either include or exclude, not both")
     included, excluded = {c.lower() for c in include}, {c.lower() for c in exclude}
-    override = dict(column_override or {})
+    override = {c.lower(): t for c, t in (column_override or {}).items()}
 
     def wanted(name: str) -> bool:
         return name.lower() in included if included else name.lower() not in excluded
 
-    types: dict[str, T.DataType | str] = {}
+    types: dict[str, tuple[str, T.DataType | str]] = {}
     for frame in relations.values():
         for field in frame.schema.fields:
             if wanted(field.name):
-                types.setdefault(field.name, override.get(field.name, field.dataType))
+                key = field.name.lower()
+                types.setdefault(key, (field.name, override.get(key, field.dataType)))
     if not types:
         raise ValueError(f"no columns to union for {', '.join(relations)}")
 
     def branch(name: str, frame: DataFrame) -> DataFrame:
-        present = set(frame.columns)
+        present = {c.lower() for c in frame.columns}
         source = [F.lit(name).alias(source_column_name)] if source_column_name else []
         cells = [
-            (F.col(f"`{c}`") if c in present else F.lit(None)).cast(t).alias(c) for c, t in types.items()
+            (F.col(f"`{c}`") if key in present else F.lit(None)).cast(t).alias(c) for key, (c, t) in types.items()
         ]
         return (frame.where(where) if where else frame).select(*source, *cells)
 

@@ -3,7 +3,8 @@
 ``Window.partitionBy(key)`` sorts a whole key in one task. The operators below cut keys into time slices, work per
 (key, slice) and carry a small, bounded state from slice to slice:
 
-* ``with_carry`` cuts the hot keys and brings the last k earlier rows to each of their slices (lag and ROWS frames);
+* ``with_carry`` cuts the keys the caller names as hot and brings the last k earlier rows to each of their slices (lag
+  and ROWS frames); without such keys lag and ROWS frames are plain windows;
 * ``rolling_count`` adds up an interval frame from per-slice totals plus arrivals and expiries inside a slice;
 * ``adjacent_pairs`` compares neighbours of a global order through range partitions and their edges.
 
@@ -18,12 +19,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnspark.operators.joins import localise
-
 HOUR = 3600
 DAY = 24 * HOUR
-# A key with more rows than this is cut into slices.
-HOT_ROWS = 1_000_000
 
 
 def micros(ts: Column | str) -> Column:
@@ -52,11 +49,10 @@ def fit_slice_seconds(
         seconds = max(1, seconds // -(-hottest // target_rows))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, None when there are none. At most rows / ``hot_rows`` keys qualify."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = localise(counted.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(keys)], F.lit(True).alias("_hot")))
-    return None if hot.isEmpty() else hot
+def hot_keys(df: DataFrame, keys: Sequence[str], more_than: int) -> DataFrame:
+    """Keys with more than ``more_than`` rows: at most rows / ``more_than`` of them, for the ``hot`` argument below. Lazy;
+    a stored result spares the count and lets Spark see that it is small."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than).select(*keys)
 
 
 def with_carry(
@@ -65,26 +61,22 @@ def with_carry(
     order: Sequence[str],
     values: Sequence[str],
     rows: int,
+    hot: DataFrame,
     slice_seconds: int = HOUR,
     source: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, WindowSpec]:
     """Rows with the state of the earlier slices, and the window that orders a slice.
 
-    Keys with at most ``hot_rows`` rows are one slice each; only hot keys are cut by time. A slice of a hot key starts
+    Keys in ``hot`` (distinct rows of ``keys``) are cut by time, any other key is one slice. A slice of a hot key starts
     with a header row (``_kind`` 0) whose ``_carry`` holds structs of ``values`` for at most ``rows`` rows that precede
     the slice, oldest first. The rows get ``_carry`` from their header and ``_rn``, their number inside the slice.
     Headers ride along in the shuffle the window needs anyway; callers drop them at the end with ``without_headers``.
-    ``order[0]`` must be the time column; further columns break ties. Hot keys and state are computed from ``source``:
-    a frame with the same rows that is cheaper to produce than ``df`` (without its joins, say).
+    ``order[0]`` must be the time column; further columns break ties. The state is computed from ``source``: a frame
+    with the same rows that is cheaper to produce than ``df`` (without its joins, say).
     """
     base = df if source is None else source
     none = F.array().cast(T.ArrayType(T.StructType([df.schema[v] for v in values])))
-    hot = hot_keys(base, keys, hot_rows)
-    if hot is None:
-        in_order = Window.partitionBy(*keys).orderBy(*order)
-        plain = df.withColumns({"_slice": F.lit(None).cast("bigint"), "_kind": F.lit(1), "_carry": none})
-        return plain.withColumn("_rn", F.row_number().over(in_order)), in_order
+    hot = hot.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(keys)], F.lit(True).alias("_hot"))
 
     def mark(frame: DataFrame, how: str) -> DataFrame:
         same = F.lit(True)
@@ -129,11 +121,13 @@ def lag_by_slice(
     order: Sequence[str],
     value: str,
     out: str,
+    hot: DataFrame | None = None,
     slice_seconds: int = 30 * DAY,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """WIN-04: previous value of a column per key, in the given order."""
-    carried, in_order = with_carry(df, keys, order, [value], 1, slice_seconds, hot_rows=hot_rows)
+    """WIN-04: previous value of a column per key, in the given order; keys in ``hot`` are worked on in time slices."""
+    if hot is None:
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
+    carried, in_order = with_carry(df, keys, order, [value], 1, hot, slice_seconds)
     before = F.try_element_at("_carry", F.lit(-1))[value]
     previous = F.when(F.col("_rn") > 1, F.lag(value).over(in_order)).otherwise(before)
     return without_headers(carried.withColumn(out, previous))
@@ -146,29 +140,40 @@ def rolling_rows(
     value: str,
     counts: dict[str, int],
     averages: dict[str, int],
+    hot: DataFrame | None = None,
     slice_seconds: int = HOUR,
     source: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """WIN-01, WIN-02: COUNT(*) and AVG(value) over ``ROWS n PRECEDING .. CURRENT ROW``.
 
-    ``counts`` and ``averages`` map an output column to its n.
+    ``counts`` and ``averages`` map an output column to its n. Keys in ``hot`` are worked on in time slices, with the
+    same results to the last bit: a frame's values are added oldest first either way.
     """
+    if hot is None:
+        in_order = Window.partitionBy(*keys).orderBy(*order)
+        result = df
+        for out, n in counts.items():
+            result = result.withColumn(out, F.count(F.lit(1)).over(in_order.rowsBetween(-n, 0)))
+        for out, n in averages.items():
+            frame = in_order.rowsBetween(-n, 0)
+            total, known = F.sum(value).over(frame), F.count(value).over(frame)
+            result = result.withColumn(out, F.try_divide(total.cast("double"), known.cast("double")))
+        return result
+
     rows = max([*counts.values(), *averages.values()])
-    result, in_order = with_carry(df, keys, order, [value], rows, slice_seconds, source, hot_rows)
+    result, in_order = with_carry(df, keys, order, [value], rows, hot, slice_seconds, source)
     kind = df.schema[value].dataType
     for out, n in counts.items():
         result = result.withColumn(out, F.least(F.col("_rn") + F.size("_carry"), F.lit(n + 1)).cast("bigint"))
     for out, n in averages.items():
         # A header inside the frame has no value and does not count.
-        frame = in_order.rowsBetween(-n, 0)
+        own = F.collect_list(value).over(in_order.rowsBetween(-n, 0))
         missing = F.greatest(F.lit(n + 1) - F.col("_rn"), F.lit(0))
         before = F.slice("_carry", F.greatest(F.size("_carry") - missing + 1, F.lit(1)), missing)
         before = F.filter(F.transform(before, lambda x: x[value]), lambda x: x.isNotNull())
-        own = F.coalesce(F.sum(value).over(frame), F.lit(0)).cast(kind)
-        total = F.aggregate(before, own, lambda a, x: (a + x).cast(kind))
-        known = F.count(value).over(frame) + F.size(before)
-        result = result.withColumn(out, F.try_divide(total.cast("double"), known.cast("double")))
+        result = result.withColumn(out, F.concat(before, own))
+        total = F.aggregate(out, F.lit(0).cast(kind), lambda a, x: (a + x).cast(kind))
+        result = result.withColumn(out, F.try_divide(total.cast("double"), F.size(out).cast("double")))
     return without_headers(result)
 
 

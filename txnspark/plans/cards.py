@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from txnspark.functions.dates import months_between_whole
 from txnspark.functions.geo import RADIUS_METRES, point_distance_m
 from txnspark.functions.scalar import safe_divide
-from txnspark.operators.joins import localise
 from txnspark.operators.windows import DAY, lag_by_slice, rolling_count
 from txnspark.sources.feeds import indicator_name
 from txnspark.sources.tables import materialise
@@ -133,12 +132,14 @@ def fact_transactions(
     )
 
 
-def fact_economic_indicators(indicators: DataFrame, slice_days: int = 365) -> DataFrame:
+def fact_economic_indicators(
+    indicators: DataFrame, hot: DataFrame | None = None, slice_days: int = 365
+) -> DataFrame:
     """FCT-04: indicator rows with name, previous value and relative change (NULL on a zero base).
 
-    Series are cut into slices of ``slice_days``, so that a series with many rows does not meet in one task.
+    Series in ``hot`` (indicator) are cut into slices of ``slice_days``, so that their rows do not meet in one task.
     """
-    lagged = lag_by_slice(indicators, ["indicator"], ["date"], "value", "previous_value", slice_days * DAY)
+    lagged = lag_by_slice(indicators, ["indicator"], ["date"], "value", "previous_value", hot, slice_days * DAY)
     previous = F.col("previous_value")
     return lagged.select(
         "indicator",
@@ -165,12 +166,10 @@ def fraud_analysis(
     ``transactions`` are the raw rows behind facts that are not stored: the counts then read two of their columns
     instead of running the facts' joins again.
     """
-    e = localise(
-        indicators.where(F.col("indicator") == unemployment).select(
-            F.col("date").alias("_day"),
-            F.col("value").alias("unemployment_rate"),
-            F.col("change_rate").alias("unemployment_change_rate"),
-        )
+    e = indicators.where(F.col("indicator") == unemployment).select(
+        F.col("date").alias("_day"),
+        F.col("value").alias("unemployment_rate"),
+        F.col("change_rate").alias("unemployment_change_rate"),
     )
     fl = labels.select("transaction_id", "is_fraud")
     source = None

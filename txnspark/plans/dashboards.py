@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnspark.operators.windows import DAY, lag_by_slice, previous_day_change
+from txnspark.operators.windows import lag_by_slice, previous_day_change
 from txnspark.plans.staging import last_days
 
 
@@ -56,7 +56,7 @@ def fraud_dashboard(
 def economic_dashboard(indicators: DataFrame, as_of: Column | None = None, days: int = 90) -> DataFrame:
     """DASH-03: indicator values with change in percent. The filter comes first, so the first row has no previous value."""
     recent = last_days(indicators, "date", days, as_of)
-    lagged = lag_by_slice(recent, ["indicator_name"], ["date"], "value", "previous_value", 30 * DAY)
+    lagged = lag_by_slice(recent, ["indicator_name"], ["date"], "value", "previous_value")
     return lagged.select(
         "date",
         "indicator_name",

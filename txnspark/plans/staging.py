@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from txnspark import schemas as S
 from txnspark.functions.dates import local_wall_clock
+from txnspark.functions.scalar import scalar_only
 
 LOCAL_ZONE = "Africa/Cairo"
 NUMERIC = "decimal(38,9)"
@@ -17,18 +18,18 @@ def _texts(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _scalar(text: Column) -> Column:
+def _scalar(name: str) -> Column:
     # A field that holds an object or array is malformed; from_json hands out its JSON text.
-    return F.when(~(text.startswith("{") | text.startswith("[")), text)
+    return scalar_only(F.col(name), F.col("record_content"), f"$.{name}")
 
 
 def _parse_body(raw: DataFrame, names: list[str], *others: Column) -> DataFrame:
-    """One text column per field of the JSON body.
+    """One text column per field of the JSON body, and the body.
 
     The one-element ``inline`` is a barrier: filters on the fields stay above it. Pushed below, each of them would
     parse the document again.
     """
-    return raw.select(F.inline(F.array(F.from_json("record_content", _texts(names)))), *others)
+    return raw.select(F.inline(F.array(F.from_json("record_content", _texts(names)))), "record_content", *others)
 
 
 def parse_transactions(raw: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
     parsed = _parse_body(raw, S.TRANSACTION_MESSAGE.fieldNames(), created)
 
     def field(name: str, kind: str | None = None) -> Column:
-        text = _scalar(F.col(name))
+        text = _scalar(name)
         return (text.try_cast(kind) if kind else text).alias(name)
 
     return parsed.select(
@@ -112,15 +113,12 @@ def stage_indicators(raw: DataFrame) -> DataFrame:
     names = ["indicator_id", "indicator_name", "value", "date", "country"]
     parsed = _parse_body(raw, names)
 
-    def text(name: str) -> Column:
-        return _scalar(F.col(name))
-
     return parsed.select(
-        text("indicator_id").alias("indicator_id"),
-        text("indicator_name").alias("indicator_name"),
-        text("value").try_cast("double").alias("value"),
-        text("date").try_cast("date").alias("date"),
-        text("country").alias("country"),
+        _scalar("indicator_id").alias("indicator_id"),
+        _scalar("indicator_name").alias("indicator_name"),
+        _scalar("value").try_cast("double").alias("value"),
+        _scalar("date").try_cast("date").alias("date"),
+        _scalar("country").alias("country"),
     )
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from txnspark.functions.scalar import surrogate_key
 from txnspark.operators.generators import date_spine, date_spine_over
-from txnspark.operators.joins import localise
 from txnspark.operators.windows import DAY, HOUR, rolling_count, rolling_rows
 
 # Span of the date dimension, end excluded.
@@ -67,15 +66,14 @@ def fct_transactions(
 ) -> DataFrame:
     """FCT-01: transactions with the keys found in the dimensions.
 
-    Each dimension is reduced to its join key first, so a merchant with several names does not multiply facts. The
-    calendar becomes a local relation when it is small. No side is broadcast by hint: Spark broadcasts a dimension
-    whose size it knows to be small and splits hot keys otherwise.
+    Each dimension is reduced to its join key first, so a merchant with several names does not multiply facts. No side is
+    broadcast by hint: Spark broadcasts a dimension whose size it knows to be small and splits hot keys otherwise.
     """
     t = staged.select(
         "transaction_id", "user_id", "amount", "currency", "merchant_id", "timestamp",
         "location_country", "location_city", "latitude", "longitude",
     ).alias("t")
-    d = localise(dates.select("date_id", "full_date")).alias("d")
+    d = dates.select("date_id", "full_date").alias("d")
     u = users.select(F.col("user_id").alias("user_key")).distinct().alias("u")
     m = merchants.select(F.col("merchant_id").alias("merchant_key")).distinct().alias("m")
     place = ["country", "city", "latitude", "longitude"]
@@ -138,12 +136,10 @@ def fraud_analysis_view(
         _optional(merchants, "risk_level", "string").alias("merchant_risk_level"),
         _optional(merchants, "risk_score", "double").alias("merchant_risk_score"),
     )
-    e = localise(
-        indicators.where(F.col("indicator_name") == unemployment).select(
-            F.col("date").alias("transaction_date_utc"),
-            F.col("value").alias("unemployment_rate"),
-            _optional(indicators, "change_rate", "double").alias("unemployment_change_rate"),
-        )
+    e = indicators.where(F.col("indicator_name") == unemployment).select(
+        F.col("date").alias("transaction_date_utc"),
+        F.col("value").alias("unemployment_rate"),
+        _optional(indicators, "change_rate", "double").alias("unemployment_change_rate"),
     )
     return (
         t.join(u, "user_id", "left")
@@ -181,9 +177,10 @@ def ml_features_view(
     analysis: DataFrame,
     with_ranges: bool = False,
     transactions: DataFrame | None = None,
+    hot: DataFrame | None = None,
     slice_seconds: int = HOUR,
 ) -> DataFrame:
-    """VIEW-03: model features.
+    """VIEW-03: model features. Users in ``hot`` (user_id) have their ROWS frames computed in time slices.
 
     ``transactions`` are the staged rows behind an analysis view that is not stored: the frames then read four of their
     columns instead of running the view's joins again. The columns named ``last_24h`` and ``last_7d`` hold the reference's ROWS frames (2 and 8 rows); ``with_ranges``
@@ -201,6 +198,7 @@ def ml_features_view(
         "amount",
         counts={"transaction_count_last_24h": 1},
         averages={"avg_amount_last_7d": 7},
+        hot=hot,
         slice_seconds=slice_seconds,
         source=source,
     )

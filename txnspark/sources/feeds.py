@@ -34,9 +34,10 @@ def exchange_rates(snapshots: DataFrame, as_of: Column | None = None) -> DataFra
 
 
 def latest_observations(observations: DataFrame) -> DataFrame:
-    """SRC-14: newest observation per series; a partial aggregate, so a long series costs one row per task."""
+    """SRC-14: newest observation per series; a partial aggregate, so a long series costs one row per task. Equal dates
+    go by a hash of the row; a missing date is the oldest."""
     rest = [c for c in observations.columns if c != "series_id"]
-    top = F.max_by(F.struct(*rest), F.col("date")).alias("_top")
+    top = F.max_by(F.struct(*rest), F.struct("date", F.xxhash64(*rest))).alias("_top")
     return observations.groupBy("series_id").agg(top).select("series_id", "_top.*")
 
 
