@@ -3,8 +3,10 @@
 A text becomes a sequence of canonical words: lower case without outer punctuation, numbers, units after a number and
 names (capitalised inside a sentence) replaced by typed placeholders that remember the replaced word. Windows of
 eight canonical words are joined by hash to the windows of all benchmark items. A question whose numbers and names were
-changed still meets its item; the slots then decide: within one item and document a value of the item must always
-stand for the same value of the document and the other way round.
+changed still meets its item; the slots then decide: within one item and one place of the document a value of the item
+must always stand for the same value of the document and the other way round. A document may hold an item several times
+with other values, so the slots are judged on the whole text, on each alignment (place in the text minus place in the
+item), and on alignments at most ``NEAR`` words apart, and one consistent judgement is enough.
 
 A document is contaminated by an item if consistent windows cover at least ``COVERAGE`` of the item's windows. Windows
 with fewer than half ordinary words say too little and are not used, unless an item has no others. The windows of the
@@ -25,6 +27,7 @@ from txnspark.llm.common import free_name, let, meet, stored, words
 
 WINDOW = 8
 COVERAGE = 0.5
+NEAR = 4  # words put in or left out between two pieces of one occurrence
 
 # Units that follow a number.
 UNITS = (
@@ -100,6 +103,20 @@ def index(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Da
     return ranked.withColumn("n_windows", F.count("*").over(by_item)).drop("plain", "some")
 
 
+def _occurrences(met: DataFrame) -> DataFrame:
+    """The matched windows once per group in which their slots are judged: (kind, at) names the whole text, an alignment
+    or a run of near alignments."""
+    ids = ["doc", "item", "part"]
+    along = Window.partitionBy(*ids).orderBy("shift")
+    shifted = met.withColumn("shift", F.col("q") - F.col("p"))
+    apart = F.coalesce(F.col("shift") - F.lag("shift").over(along) > NEAR, F.lit(True))
+    opened = shifted.withColumn("opens", F.when(apart, F.col("shift")))
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    near = opened.withColumn("run", F.last("opens", ignorenulls=True).over(so_far)).drop("opens")
+    kinds = [F.struct(F.lit(k).alias("kind"), at.alias("at")) for k, at in enumerate((F.lit(0), F.col("shift"), F.col("run")))]
+    return near.withColumn("group", F.explode(F.array(*kinds))).select(*met.columns, "shift", "group.*")
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", coverage: float = COVERAGE
 ) -> DataFrame:
@@ -128,8 +145,8 @@ def contaminated(
     placed = c.select("doc", F.explode(F.flatten(F.array(*map(windows, lengths or [WINDOW])))).alias("w")).select("doc", "w.*")
     same_pair = [F.col("doc").eqNullSafe(F.col("doc_")), F.col("item").eqNullSafe(F.col("item_")), F.col("part") == F.col("part_")]
     met = meet(placed, items, "h", "inner").join(pairs.toDF("doc_", "item_", "part_"), same_pair, "left_semi")
-    met = stored(met.select("doc", "item", "part", "p", "q", "slots", "said", "n_windows"), "matched-windows")
-    ids = ["doc", "item", "part"]
+    met = stored(_occurrences(met.select("doc", "item", "part", "p", "q", "slots", "said", "n_windows")), "matched-windows")
+    ids = ["doc", "item", "part", "kind", "at"]
     slots = met.select(*ids, "p", "q", F.explode(F.filter(
         F.arrays_zip("slots", "said"), lambda z: z["slots"].isNotNull())).alias("z"))
     slots = slots.select(*ids, "p", "q", F.col("z.slots").alias("asked"), F.col("z.said").alias("said"))
