@@ -8,8 +8,11 @@ must always stand for the same value of the document and the other way round. A
 with other values, so the slots are judged on the whole text, on each alignment (place in the text minus place in the
 item), and on alignments at most ``NEAR`` words apart, and one consistent judgement is enough.
 
-A document is contaminated by an item if consistent windows cover at least ``COVERAGE`` of the item's windows. Windows
-with fewer than half ordinary words say too little and are not used, unless an item has no others. The windows of the
+A document is contaminated by an item if consistent windows are at least ``COVERAGE`` of the item's windows; or if they
+cover at least ``COVERAGE`` of the item's words and ``RUN`` words or more, as in a copy with a few edited words, each of
+which breaks eight windows; or if they cover ``RUN`` words in a row, in place, however long the item is. Windows with
+fewer than half ordinary words say too little and are not used, unless an item has no others; such an item is only
+found by the share of its windows. The windows of the
 benchmark are counted first: a small number is broadcast, of more, the windows of the documents meet them
 in a shuffle join.
 
@@ -27,6 +30,7 @@ from txnspark.llm.common import free_name, let, meet, stored, words
 
 WINDOW = 8
 COVERAGE = 0.5
+RUN = 13  # words in a row that are a quotation in themselves
 NEAR = 4  # words put in or left out between two pieces of one occurrence
 
 # Units that follow a number.
@@ -83,7 +87,8 @@ def _slots(t: Column, v: Column, start: Column, length: int) -> Column:
 
 
 def index(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """(item, part, length, h, p, slots, n_windows): the windows of all items; ``part`` tells texts of one id apart."""
+    """(item, part, length, h, p, slots, some, n_windows, n_covered): the windows of all items; ``part`` tells texts of one
+    id apart, ``some`` whether the item has windows with enough ordinary words, ``n_covered`` counts the words in windows."""
     parts = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).distinct()
     parts = parts.select("item", F.xxhash64("text").alias("part"), template(F.col("text")).alias("c"))
     t, v = F.col("c.t"), F.col("c.v")
@@ -100,7 +105,10 @@ def index(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Da
     plain = F.size(F.filter("slots", lambda s: s.isNull())) * 2 >= F.col("length")
     by_item = Window.partitionBy("item", "part")
     ranked = out.withColumn("plain", plain).withColumn("some", F.max("plain").over(by_item)).where(F.col("plain") | ~F.col("some"))
-    return ranked.withColumn("n_windows", F.count("*").over(by_item)).drop("plain", "some")
+    gap = F.lead("p").over(by_item.orderBy("p")) - F.col("p")
+    ranked = ranked.withColumn("adds", F.least(F.coalesce(gap, "length"), "length"))
+    ranked = ranked.withColumn("n_windows", F.count("*").over(by_item)).withColumn("n_covered", F.sum("adds").over(by_item))
+    return ranked.drop("plain", "adds")
 
 
 def _occurrences(met: DataFrame) -> DataFrame:
@@ -128,9 +136,11 @@ def contaminated(
     found = templates.select(
         "doc", F.explode(F.flatten(F.array(*[_hashes(F.col("t"), n) for n in lengths or [WINDOW]]))).alias("h")
     )
-    by_hash = items.select("h", "item", "part", "p", "n_windows")
+    by_hash = items.select("h", "item", "part", "p", "some", "n_windows")
     hits = meet(found, by_hash, "h", "inner")
-    enough = F.countDistinct("p") >= coverage * F.first("n_windows")
+    # What covers RUN words has two windows that far apart.
+    spread = F.first("some") & (F.max("p") - F.min("p") + WINDOW >= RUN)
+    enough = (F.countDistinct("p") >= coverage * F.first("n_windows")) | spread
     pairs = stored(hits.groupBy("doc", "item", "part").agg(enough.alias("ok")).where("ok").drop("ok"), "candidate-pairs")
     # The few candidates again, now with places and slots.
     chosen = pairs.select(F.col("doc").alias("chosen")).distinct()
@@ -145,7 +155,7 @@ def contaminated(
     placed = c.select("doc", F.explode(F.flatten(F.array(*map(windows, lengths or [WINDOW])))).alias("w")).select("doc", "w.*")
     same_pair = [F.col("doc").eqNullSafe(F.col("doc_")), F.col("item").eqNullSafe(F.col("item_")), F.col("part") == F.col("part_")]
     met = meet(placed, items, "h", "inner").join(pairs.toDF("doc_", "item_", "part_"), same_pair, "left_semi")
-    met = stored(_occurrences(met.select("doc", "item", "part", "p", "q", "slots", "said", "n_windows")), "matched-windows")
+    met = stored(_occurrences(met.select("doc", "item", "part", "length", "p", "q", "slots", "said", "some", "n_windows", "n_covered")), "matched-windows")
     ids = ["doc", "item", "part", "kind", "at"]
     slots = met.select(*ids, "p", "q", F.explode(F.filter(
         F.arrays_zip("slots", "said"), lambda z: z["slots"].isNotNull())).alias("z"))
@@ -159,12 +169,27 @@ def contaminated(
     eq = lambda a, b, names: [F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in names]
     torn = slots.alias("s").join(wrong.alias("w"), eq("s", "w", [*ids, "asked", "said"]), "left_semi").select(*ids, "p", "q").distinct()
     whole = met.alias("m").join(torn.alias("t"), eq("m", "t", [*ids, "p", "q"]), "left_anti")
+    # Windows of one alignment that touch are words in a row.
+    row = Window.partitionBy(*ids, "shift").orderBy("p")
+    behind = F.col("p") - F.lag("p").over(row)
+    broken = F.coalesce(behind > F.col("length"), F.lit(True)).cast("int")
+    rows = whole.withColumn("broken", broken).withColumn("nth", F.sum("broken").over(row.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.groupBy(*ids, "shift", "nth").agg(
+        F.collect_set("p").alias("ps"), (F.max("p") - F.min("p") + F.first("length")).alias("in_row"),
+        *[F.first(c).alias(c) for c in ("length", "some", "n_windows", "n_covered")],
+    )
+    judged = rows.groupBy(*ids).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("ps")))).alias("ps"), F.max("in_row").alias("in_row"),
+        *[F.first(c).alias(c) for c in ("length", "some", "n_windows", "n_covered")],
+    )
+    adds = F.transform("ps", lambda p, i: F.least(F.coalesce(F.get("ps", i + 1) - p, "length"), "length"))
+    covered = F.aggregate(adds, F.lit(0), lambda n, x: n + x)
+    edited = (covered >= RUN) & (covered >= coverage * F.col("n_covered"))
+    whole_enough = F.size("ps") >= coverage * F.col("n_windows")
     return (
-        whole.groupBy(*ids)
-        .agg(F.countDistinct("p").alias("n_windows"), F.first("n_windows").alias("item_windows"))
-        .where(F.col("n_windows") >= coverage * F.col("item_windows"))
+        judged.where(whole_enough | (F.col("some") & (edited | (F.col("in_row") >= RUN))))
         .groupBy(F.col("doc").alias(key), F.col("item").alias("item_id"))
-        .agg(F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"))
+        .agg(F.max(F.size("ps")).cast("bigint").alias("n_windows"), F.max("n_windows").alias("item_windows"))
     )
 
 
