@@ -51,6 +51,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def body_hash(text: Column) -> Column:
+    """Tells texts of one id apart, and texts without an id."""
+    return F.xxhash64(F.coalesce(text, F.lit("\0")))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """New path in the folder that all executors share."""
     return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")

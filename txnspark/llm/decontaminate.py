@@ -17,8 +17,9 @@ benchmark are counted first: a small number is broadcast, of more, the windows o
 in a shuffle join.
 
 Defined results: NULL and empty texts have no windows; an item of fewer than eight words is one window of that length; an
-item without words contaminates nothing; repeated items and documents count as one per id; NULL ids match as an id of
-their own; empty tables give no pairs; extra columns are not used.
+item without words contaminates nothing; repeated items count as one per id; texts that share an id, NULL included, are
+judged and dropped each by itself, and an id is listed with the most windows that one of them holds; empty tables give no
+pairs; extra columns are not used.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnspark.llm.common import free_name, let, meet, stored, words
+from txnspark.llm.common import body_hash, free_name, let, meet, stored, words
 
 WINDOW = 8
 COVERAGE = 0.5
@@ -114,7 +115,7 @@ def index(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Da
 def _occurrences(met: DataFrame) -> DataFrame:
     """The matched windows once per group in which their slots are judged: (kind, at) names the whole text, an alignment
     or a run of near alignments."""
-    ids = ["doc", "item", "part"]
+    ids = ["doc", "body", "item", "part"]
     along = Window.partitionBy(*ids).orderBy("shift")
     shifted = met.withColumn("shift", F.col("q") - F.col("p"))
     apart = F.coalesce(F.col("shift") - F.lag("shift").over(along) > NEAR, F.lit(True))
@@ -125,38 +126,36 @@ def _occurrences(met: DataFrame) -> DataFrame:
     return near.withColumn("group", F.explode(F.array(*kinds))).select(*met.columns, "shift", "group.*")
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", coverage: float = COVERAGE
-) -> DataFrame:
-    """(key, item_id, n_windows, item_windows): pairs of document and item with enough consistent windows."""
+def _found(docs: DataFrame, benchmark: DataFrame, key: str, text: str, coverage: float) -> DataFrame:
+    """(doc, body, item, n_windows, item_windows): pairs of text and item part with enough consistent windows."""
     items = stored(index(benchmark), "benchmark-windows")
     lengths = [r["length"] for r in items.select("length").distinct().collect()]  # at most eight values
-    source = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    templates = source.select("doc", let(_marked(F.col("text")), _placeholders).alias("t"))
+    source = docs.select(F.col(key).alias("doc"), body_hash(F.col(text)).alias("body"), F.col(text).alias("text"))
+    templates = source.select("doc", "body", let(_marked(F.col("text")), _placeholders).alias("t"))
     found = templates.select(
-        "doc", F.explode(F.flatten(F.array(*[_hashes(F.col("t"), n) for n in lengths or [WINDOW]]))).alias("h")
+        "doc", "body", F.explode(F.flatten(F.array(*[_hashes(F.col("t"), n) for n in lengths or [WINDOW]]))).alias("h")
     )
     by_hash = items.select("h", "item", "part", "p", "some", "n_windows")
     hits = meet(found, by_hash, "h", "inner")
     # What covers RUN words has two windows that far apart.
     spread = F.first("some") & (F.max("p") - F.min("p") + WINDOW >= RUN)
     enough = (F.countDistinct("p") >= coverage * F.first("n_windows")) | spread
-    pairs = stored(hits.groupBy("doc", "item", "part").agg(enough.alias("ok")).where("ok").drop("ok"), "candidate-pairs")
+    pairs = stored(hits.groupBy("doc", "body", "item", "part").agg(enough.alias("ok")).where("ok").drop("ok"), "candidate-pairs")
     # The few candidates again, now with places and slots.
-    chosen = pairs.select(F.col("doc").alias("chosen")).distinct()
+    chosen = pairs.select(F.col("doc").alias("chosen"), F.col("body").alias("chosen_body")).distinct()
     chosen = stored(chosen, "candidates")
-    again = meet(source, chosen, F.col("doc").eqNullSafe(F.col("chosen")), "left_semi")
-    c = again.select("doc", template(F.col("text")).alias("c"))
+    again = meet(source, chosen, F.col("doc").eqNullSafe(F.col("chosen")) & (F.col("body") == F.col("chosen_body")), "left_semi")
+    c = again.select("doc", "body", template(F.col("text")).alias("c"))
     t, v = F.col("c.t"), F.col("c.v")
 
     def windows(n: int) -> Column:
         return F.transform(_hashes(t, n), lambda h, i: F.struct(h.alias("h"), i.alias("q"), _slots(t, v, i + 1, n).alias("said")))
 
-    placed = c.select("doc", F.explode(F.flatten(F.array(*map(windows, lengths or [WINDOW])))).alias("w")).select("doc", "w.*")
-    same_pair = [F.col("doc").eqNullSafe(F.col("doc_")), F.col("item").eqNullSafe(F.col("item_")), F.col("part") == F.col("part_")]
-    met = meet(placed, items, "h", "inner").join(pairs.toDF("doc_", "item_", "part_"), same_pair, "left_semi")
-    met = stored(_occurrences(met.select("doc", "item", "part", "length", "p", "q", "slots", "said", "some", "n_windows", "n_covered")), "matched-windows")
-    ids = ["doc", "item", "part", "kind", "at"]
+    placed = c.select("doc", "body", F.explode(F.flatten(F.array(*map(windows, lengths or [WINDOW])))).alias("w")).select("doc", "body", "w.*")
+    same_pair = [F.col("doc").eqNullSafe(F.col("doc_")), F.col("item").eqNullSafe(F.col("item_")), F.col("part") == F.col("part_"), F.col("body") == F.col("body_")]
+    met = meet(placed, items, "h", "inner").join(pairs.toDF("doc_", "body_", "item_", "part_"), same_pair, "left_semi")
+    met = stored(_occurrences(met.select("doc", "body", "item", "part", "length", "p", "q", "slots", "said", "some", "n_windows", "n_covered")), "matched-windows")
+    ids = ["doc", "body", "item", "part", "kind", "at"]
     slots = met.select(*ids, "p", "q", F.explode(F.filter(
         F.arrays_zip("slots", "said"), lambda z: z["slots"].isNotNull())).alias("z"))
     slots = slots.select(*ids, "p", "q", F.col("z.slots").alias("asked"), F.col("z.said").alias("said"))
@@ -188,13 +187,21 @@ def contaminated(
     whole_enough = F.size("ps") >= coverage * F.col("n_windows")
     return (
         judged.where(whole_enough | (F.col("some") & (edited | (F.col("in_row") >= RUN))))
-        .groupBy(F.col("doc").alias(key), F.col("item").alias("item_id"))
-        .agg(F.max(F.size("ps")).cast("bigint").alias("n_windows"), F.max("n_windows").alias("item_windows"))
+        .select("doc", "body", "item", F.size("ps").cast("bigint").alias("n_windows"), F.col("n_windows").alias("item_windows"))
     )
 
 
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", coverage: float = COVERAGE
+) -> DataFrame:
+    """(key, item_id, n_windows, item_windows): pairs of document and item with enough consistent windows."""
+    found = _found(docs, benchmark, key, text, coverage).groupBy(F.col("doc").alias(key), F.col("item").alias("item_id"))
+    return found.agg(F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"))
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those that hold a benchmark item; the same columns."""
-    name = free_name(docs, "contaminated")
-    ids = stored(contaminated(docs, benchmark, key, text).select(F.col(key).alias(name)).distinct(), "contaminated")
-    return meet(docs, ids, F.col(key).eqNullSafe(F.col(name)), "left_anti")
+    name, body = free_name(docs, "contaminated"), free_name(docs, "contaminated_body")
+    found = _found(docs, benchmark, key, text, COVERAGE)
+    ids = stored(found.select(F.col("doc").alias(name), F.col("body").alias(body)).distinct(), "contaminated")
+    return meet(docs, ids, F.col(key).eqNullSafe(F.col(name)) & (body_hash(F.col(text)) == F.col(body)), "left_anti")

@@ -11,7 +11,7 @@ Counts are combined before every shuffle, so a line that a third of all document
 
 Defined results: lines are parts between line feeds; lines of fewer than five words carry no template and stay; NULL text
 stays NULL, an empty one empty; a document that loses all lines stays with the empty text; rows of one id are one
-document, NULL being an id after all others; a table without rows gives none; other columns pass through, of any name.
+document, NULL being an id after all others, but each text loses its own lines only; a table without rows gives none; other columns pass through, of any name.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnspark.llm.common import free_name, meet, stored, worker_code
+from txnspark.llm.common import body_hash, free_name, meet, stored, worker_code
 
 worker_code(__name__)
 
@@ -53,7 +53,7 @@ def _leaf(words: list[bytes]) -> int:
 
 
 def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, text) to (doc, no, leaf, line_h) of the lines with enough words."""
+    """Rows (doc, body, text) to (doc, body, no, leaf, line_h) of the lines with enough words."""
     for batch in batches:
         rows, owner = [], []
         for i, text in enumerate(batch.column("text").cast(pa.binary())):
@@ -63,8 +63,8 @@ def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     owner.append(i)
         columns = list(zip(*rows, strict=True)) or [()] * 3
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc").take(pa.array(owner, pa.int64())), pa.array(columns[0], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
-            names=["doc", "no", "leaf", "line_h"],
+            [*[batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", "body")], pa.array(columns[0], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
+            names=["doc", "body", "no", "leaf", "line_h"],
         )
 
 
@@ -108,23 +108,24 @@ def templates(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
 
 
 def dropped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, nos): numbers of the lines that go, per document that loses any."""
-    source = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    """(doc, body, nos): numbers of the lines that go, per text that loses any."""
+    source = docs.select(F.col(key).alias("doc"), body_hash(F.col(text)).alias("body"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    found = stored(source.mapInArrow(_hash_lines, f"doc {kind}, no int, leaf bigint, line_h bigint"), "line-hashes")
+    found = stored(source.mapInArrow(_hash_lines, f"doc {kind}, body bigint, no int, leaf bigint, line_h bigint"), "line-hashes")
     names = stored(templates(docs, found, text), "templates")
-    keyed = meet(found, names, ["leaf", "line_h"], "left").select("doc", "no", F.coalesce("template", "line_h").alias("template"))
+    keyed = meet(found, names, ["leaf", "line_h"], "left").select("doc", "body", "no", F.coalesce("template", "line_h").alias("template"))
     recurring = keyed.groupBy("template").agg(F.min("doc").alias("first"), _several().alias("several")).where("several")
     recurring = stored(recurring.select("template", "first"), "recurring-templates")
     gone = meet(keyed, recurring, "template").where(~F.col("doc").eqNullSafe(F.col("first")))
-    return gone.groupBy(F.col("doc").alias(key)).agg(F.collect_set("no").alias("nos"))
+    return gone.groupBy("doc", "body").agg(F.collect_set("no").alias("nos"))
 
 
 def drop_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", count: str | None = None) -> DataFrame:
     """The rows of ``docs`` without the lines that go; the same columns. ``count`` names a column with the text's length."""
-    gone_key, nos = free_name(docs, "gone_key"), free_name(docs, "nos")
-    gone = stored(dropped(docs, key, text).select(F.col(key).alias(gone_key), F.col("nos").alias(nos)), "dropped-lines")
-    joined = docs.join(gone.hint("merge"), F.col(key).eqNullSafe(F.col(gone_key)), "left")
+    gone_key, gone_body, nos = free_name(docs, "gone_key"), free_name(docs, "gone_body"), free_name(docs, "nos")
+    gone = stored(dropped(docs, key, text).toDF(gone_key, gone_body, nos), "dropped-lines")
+    same = F.col(key).eqNullSafe(F.col(gone_key)) & (body_hash(F.col(text)) == F.col(gone_body))
+    joined = docs.join(gone.hint("merge"), same, "left")
     kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col(nos), i)), "\n")
     changed = F.col(nos).isNotNull() & F.col(text).isNotNull()
     new = F.when(changed, kept).otherwise(F.col(text))

@@ -14,7 +14,7 @@ Exact, by T-occurrence search. A set of n shingles must share T = ceil(0.75 n) w
 
 Defined results: without words (NULL, empty, white space) the set is empty and links with nothing; one to four words are
 one shingle; rows of one id are one document for the component, each with its own n_shingles, NULL being an id after
-all others; a table without rows gives none; extra columns are not used. Shingles and sets are known by 64-bit hashes.
+all others; ``keep_one`` tells texts of one id apart; a table without rows gives none; extra columns are not used. Shingles and sets are known by 64-bit hashes.
 The entries of one list, eight bytes a class, are read by one task.
 """
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnspark.llm.common import meet, stored, worker_code
+from txnspark.llm.common import body_hash, free_name, meet, stored, worker_code
 from txnspark.llm.word_hashes import mix, slices
 
 worker_code(__name__)
@@ -73,12 +73,13 @@ HALF = np.uint64(1 << 63)
 
 
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, text) to (doc, class, n, low); ``low`` is the number of shingles in the lower half of the hash range."""
+    """Rows (doc, body, text) to (doc, body, class, n, low); ``low`` is the number of shingles in the lower half of the hash range."""
     for batch in batches:
         found = [(_set_name(s), len(s), int(np.searchsorted(s, HALF))) for s in shingle_sets(batch.column("text"))]
         names, sizes, low = zip(*found, strict=True) if found else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), *[pa.array(x, pa.int64()) for x in (names, sizes, low)]], names=["doc", "class", "n", "low"]
+            [batch.column("doc"), batch.column("body"), *[pa.array(x, pa.int64()) for x in (names, sizes, low)]],
+            names=["doc", "body", "class", "n", "low"],
         )
 
 
@@ -207,10 +208,10 @@ def _postings(docs: DataFrame, text: str, total: int, low: bool) -> DataFrame:
 
 
 def classes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, class, n) per row: ``class`` names the shingle set; sets are equal where it is."""
-    source = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    """(doc, body, class, n) per row: ``class`` names the shingle set; sets are equal where it is."""
+    source = docs.select(F.col(key).alias("doc"), body_hash(F.col(text)).alias("body"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    return stored(source.mapInArrow(_name, f"doc {kind}, class bigint, n bigint, low bigint"), "set-classes")
+    return stored(source.mapInArrow(_name, f"doc {kind}, body bigint, class bigint, n bigint, low bigint"), "set-classes")
 
 
 def candidates(docs: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
@@ -399,12 +400,17 @@ def links(sets: DataFrame) -> DataFrame:
         entries = entries.join(root, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, n_shingles, component_id (smallest key reachable by links, itself included)."""
+def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, body, n, root) per row: rows of one root are connected."""
     classes = classes_of(docs, key, text)
     root = components(links(candidates(docs, classes, key, text)))
     # Documents without shingles are classes of their own; a document's class and root may be one.
-    placed = classes.join(root, "class", "left").select("doc", "n", F.coalesce("root", "class").alias("root"))
+    return classes.join(root, "class", "left").select("doc", "body", "n", F.coalesce("root", "class").alias("root"))
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: key, n_shingles, component_id (smallest key reachable by links, itself included)."""
+    placed = _placed(docs, key, text)
     first = stored(placed.where("n > 0").groupBy("root").agg(F.min("doc").alias("first")), "group-ids")
     return placed.join(first, "root", "left").select(
         F.col("doc").alias(key),
@@ -414,6 +420,23 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of the smallest key of each group; the same columns."""
-    out = stored(groups(docs, key, text).where(~F.col("component_id").eqNullSafe(F.col(key))).select(F.col(key).alias("_gone")).distinct(), "group-members")
-    return meet(docs, out, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of each group, of the smallest key (NULL after all others) and then of the smallest hash of the text; rows
+    without shingles stay. The same columns."""
+    placed = stored(_placed(docs, key, text).where("n > 0"), "grouped-texts")
+    me = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "body")
+    first = stored(placed.groupBy("root").agg(F.min(me).alias("first")), "first-texts")
+    gone_key, gone_body = free_name(docs, "gone_key"), free_name(docs, "gone_body")
+    named = [F.col("doc").alias(gone_key), F.col("body").alias(gone_body)]
+    same = F.col(key).eqNullSafe(F.col(gone_key)) & (body_hash(F.col(text)) == F.col(gone_body))
+    gone = stored(placed.join(first, "root").where(me != F.col("first")).select(*named).distinct(), "group-members")
+    kept = meet(docs, gone, same, "left_anti")
+    # Equal texts of one id, or without one, are one row too.
+    again = stored(placed.groupBy("doc", "body").agg(F.count("*").alias("rows")).where("rows > 1").select(*named), "repeated-texts")
+    if again.isEmpty():
+        return kept
+    row, body = free_name(docs, "row"), free_name(docs, "body")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    least = F.xxhash64(*[F.coalesce(c.cast("string"), F.lit("\0")) for c in columns])
+    one = meet(kept, again, same, "left_semi").groupBy(key, body_hash(F.col(text)).alias(body))
+    one = one.agg(F.min_by(F.struct(*columns), least).alias(row)).select(f"{row}.*")
+    return meet(kept, again, same, "left_anti").union(one)
