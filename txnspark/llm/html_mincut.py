@@ -38,6 +38,11 @@ ODDS_LIMIT = 4.0
 
 # Element names of HTML by what they do here.
 SKIPPED = set("head script style noscript template svg math iframe object canvas audio video select textarea button datalist".split())
+# Elements whose content is plain text up to their literal end tag.
+RAW = set("script style textarea title iframe xmp noembed noframes".split())
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag in RAW}
+# What may stand in a head; anything else ends it.
+HEAD = set("html head base basefont bgsound link meta title style script noscript noframes template".split())
 BOILERPLATE = set("nav footer aside form menu dialog".split())
 CONTENT = {"article", "main"}
 INLINE = set(
@@ -83,11 +88,26 @@ def _claim(tag: str, attributes: str, above: str) -> str:
     return claimed
 
 
+BODY = re.compile(r"<body\b", re.I)
+FORM_END = re.compile(r"</form(?=[\s>])", re.I)
+LANDMARK = re.compile(r"<(?:article|main)\b", re.I)
+
+
+def _form(page: str, start: int) -> tuple[int, bool]:
+    """End of the form that opens before ``start``, and whether it wraps the page: it holds an article or main element, or
+    more than half of the body. Such a form claims nothing."""
+    end = m.start() if (m := FORM_END.search(page, start)) else len(page)
+    body = m.start() if (m := BODY.search(page, 0, start)) else 0
+    return end, 2 * (end - start) > len(page) - body or bool(LANDMARK.search(page, start, end))
+
+
 def blocks(page: str) -> list[tuple[str, str, tuple[int, ...], str, int]]:
     """Text blocks in page order: (text, element, path of element numbers, zone, characters inside links)."""
     out: list = []
     stack: list[tuple[str, int, str]] = []  # element, number, zone
     number, skip, link = 0, None, False
+    in_head = False  # whether the skipped element stands in the head
+    pos, form_end = 0, 0
     parts: list[str] = []
     linked = 0
 
@@ -101,10 +121,13 @@ def blocks(page: str) -> list[tuple[str, str, tuple[int, ...], str, int]]:
             parts.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.match(page, pos):
+        pos = m.end()
         tag = m[2]
         if tag is None:
             piece = m[0]
+            if skip == "head" and (piece[0] != "<" or piece == "<") and piece.strip():
+                skip = None  # text ends the head
             if skip is None and (piece[0] != "<" or piece == "<"):
                 parts.append(piece)
                 if link:
@@ -113,8 +136,19 @@ def blocks(page: str) -> list[tuple[str, str, tuple[int, ...], str, int]]:
         tag, closing = tag.lower(), m[1]
         if skip is not None:
             if closing and tag == skip:
-                skip = None
-            continue
+                skip, in_head = "head" if in_head else None, False
+                continue
+            if not closing and tag in RAW and not m[3].endswith("/"):
+                if raw := RAW_END[tag].search(page, pos):
+                    pos = raw.end()
+                elif tag != "title":
+                    pos = len(page)
+                continue
+            if skip != "head" or closing or tag in HEAD:
+                if skip == "head" and not closing and tag in SKIPPED and tag != "head" and not m[3].endswith("/"):
+                    skip, in_head = tag, True
+                continue
+            skip = None  # an element of the body ends the head
         if tag == "a":
             link = not closing
         if tag in INLINE:
@@ -136,12 +170,18 @@ def blocks(page: str) -> list[tuple[str, str, tuple[int, ...], str, int]]:
         if attributes.endswith("/") and tag not in ("p", "div"):
             continue
         if tag in SKIPPED:
-            skip = tag
+            if tag in RAW:
+                pos = raw.end() if (raw := RAW_END[tag].search(page, pos)) else len(page)
+            else:
+                skip = tag
             continue
         while stack and stack[-1][0] in CLOSES.get(tag, ()):
             stack.pop()
         number += 1
-        stack.append((tag, number, _claim(tag, attributes, stack[-1][2] if stack else "none")))
+        plain_form = False
+        if tag == "form" and pos > form_end:  # forms do not nest
+            form_end, plain_form = _form(page, pos)
+        stack.append((tag, number, _claim("div" if plain_form else tag, attributes, stack[-1][2] if stack else "none")))
     flush()
     return out
 
