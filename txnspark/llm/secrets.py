@@ -10,7 +10,8 @@ Spark's functions return matches but no places: the pieces between matches (``sp
 (``regexp_extract_all``) alternate, so running sums of their lengths are the places, in code points.
 
 Defined results: NULL and empty texts have no spans; a table without rows gives none and a model without counts, which adds nothing;
-repeated rows are scanned each; other columns are not used by ``scan``.
+a table without any base match has random strings of the prior model, all characters alike (add-one smoothing of no
+counts), and one without ordinary strings has them so; repeated rows are scanned each; other columns are not used by ``scan``.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnspark.llm.common import let
+from txnspark.llm.common import body_hash, let, stored
 
 # The patterns of the base kinds, in listed order.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -112,14 +113,18 @@ SAMPLE_DOCUMENTS = 4000
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCUMENTS) -> list[float] | None:
-    """Log-likelihood ratio of each transition, random against ordinary, add-one smoothed; None without both samples.
+    """Log-likelihood ratio of each transition, random against ordinary, add-one smoothed; None without any sample.
 
-    The labelled strings come from at most ``sample`` documents, those with the smallest hash of their key, so the bound
-    does not depend on the input; counts of at most 2 x 67 x 67 transitions reach the driver.
+    The labelled strings come from at most ``sample`` documents with a base match and as many without, those with the smallest hash
+    of their key, so rare secrets are found and the bound does not depend on the input; counts of at most 2 x 67 x 67 transitions reach the driver.
     """
     order = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
-    chosen = docs.select(order.alias("chosen")).distinct().orderBy("chosen").limit(sample)
-    texts = docs.select(order.alias("chosen"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "chosen")
+    body = F.coalesce(F.col(text), F.lit(""))
+    me = [order.alias("chosen"), body_hash(F.col(text)).alias("body")]
+    keys = stored(docs.select(*me, (F.size(base_spans(body)) > 0).alias("labelled")).distinct(), "sample-keys")
+    first = lambda rows: rows.select("chosen", "body").orderBy("chosen", "body").limit(sample)
+    chosen = first(keys.where("labelled")).unionByName(first(keys.where("not labelled")))
+    texts = docs.select(*me, body.alias("text")).join(F.broadcast(chosen), ["chosen", "body"])
     secret = F.transform(
         base_spans(F.col("text")),
         lambda s: F.when(s["kind"] == 0, F.regexp_extract(s["value"], ASSIGN, 2)).otherwise(s["value"]),
@@ -136,7 +141,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
     )
     by = {(r["label"], r["pair"]): r["count"] for r in counts}
     rows = {(label, a): sum(by.get((label, a * CODES + b), 0) for b in range(CODES)) for label in (0, 1) for a in range(CODES)}
-    if not any(rows[1, a] for a in range(CODES)) or not any(rows[0, a] for a in range(CODES)):
+    if not by:
         return None
 
     def log_p(label: int, a: int, b: int) -> float:
