@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txnspark import bindings as B
 from txnspark.catalog.registry import Query
-from txnspark.llm import chat, decontaminate, html_mincut, line_dedup, mixing, prefix_trie, quality_rules, secrets, shared_search, shingle_join, subword_lm, zip_warc
+from txnspark.llm import chat, decontaminate, html_mincut, line_dedup, mixing, prefix_trie, quality_rules, secrets, shared_search, shingle_join, subword_lm, suffix_dedup, zip_warc
 from txnspark.llm import oracles as O
 
 _QUERIES: dict[str, Query] = {}
@@ -101,6 +101,11 @@ def _(spark, sf):
     return html_mincut.extract(pages, html_mincut.train(pages))
 
 
+@query("op11_suffix_array_dedup")
+def _(spark, sf):
+    return suffix_dedup.dedup(table(spark, sf, "documents")).drop("spans")
+
+
 @query("op12_ranked_search", O.RANKED_SEARCH)
 def _(spark, sf):
     return shared_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
