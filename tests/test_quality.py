@@ -292,3 +292,25 @@ def test_other_contracts(spark):
     )
     assert C.split_valid(ind, C.indicator_rules())[0].count() == 1
     assert [r["failures"] for r in Q.run_checks(ind, C.indicator_expectations()).collect()] == [1, 1, 1]
+
+
+def test_checks_read_the_frame_once_per_kind(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", 2.0), (1, "b", -1.0), (None, "c", None), (3, None, 5.0)], "id int, s string, v double").write.parquet(path)
+    df = spark.read.parquet(path)
+    checks = [
+        Q.Check("unique", Q.unique_rule("id"), "error"),
+        Q.Check("combination", Q.unique_combination_rule(["id", "s"])),
+        Q.Check("values", Q.values_rule("s", ["a"])),
+        Q.Check("forbidden", Q.forbidden_rule("s", ["b", "x"]), where="v > 0"),
+        Q.Check("positive", Q.range_rule("v", min_value=0), "error", error_if="> 1", warn_if="between 1 and 5"),
+        Q.Check("not null", Q.not_null_rule("id"), where="v IS NULL"),
+        Q.Check("length", Q.length_rule("s", 1)),
+        Q.Check("other", lambda d: Q.at_least_one(d, "v", ["s"])),
+    ]
+    got = Q.run_checks(df, checks)
+    found = {r["check"]: (r["failures"], r["status"]) for r in got.collect()}
+    assert found == {c.name: tuple(c.outcome(df).select("failures", "status").first()) for c in checks}
+    assert found["unique"] == (1, "error") and found["positive"] == (1, "warn") and found["values"] == (2, "warn") and found["forbidden"] == (0, "pass")
+    plan = Q.run_checks(df, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3  # rows, keys and the one of another kind

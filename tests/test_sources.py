@@ -56,26 +56,57 @@ def table_name(spark):
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+SCHEMA = "id long, user_id long, timestamp timestamp_ntz"
+
+
 def test_incremental_load_is_idempotent(spark, table_name):
     data = [(i, i % 3, dt.datetime(2024, 1, 1 + i // 4)) for i in range(12)]
-    df = spark.createDataFrame(data, "id long, user_id long, timestamp timestamp_ntz")
+    df = spark.createDataFrame(data, SCHEMA)
     assert tables.high_water_mark(spark, table_name) is None
-    tables.load_increment(df.where("id < 8"), table_name)
+    assert tables.load_increment(df.where("id < 8"), table_name, key=["id"]) == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
     assert tables.high_water_mark(spark, table_name) == dt.datetime(2024, 1, 2)
-    tables.load_increment(df, table_name)
-    tables.load_increment(df, table_name)
+    assert tables.load_increment(df, table_name, key=["id"]) == [dt.date(2024, 1, 3)]
+    assert tables.load_increment(df, table_name, key=["id"]) == []
     assert rows(spark.table(table_name).groupBy("day").count()) == [(dt.date(2024, 1, d), 4) for d in (1, 2, 3)]
     plan = spark.table(table_name).where("day = date'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
-def test_incremental_load_takes_equal_and_late_times_once(spark, table_name):
-    schema = "id long, user_id long, timestamp timestamp_ntz"
+@pytest.mark.parametrize("key", [["id"], None])
+def test_incremental_load_takes_equal_and_late_times_once(spark, table_name, key):
     first = [(1, 1, dt.datetime(2024, 1, 5, 12)), (2, 1, None)]
-    later = first + [(3, 1, dt.datetime(2024, 1, 5, 12)), (4, 2, dt.datetime(2024, 1, 4))]
-    for data in (first, later, later):
-        tables.load_increment(spark.createDataFrame(data, schema), table_name)
-    assert sorted(r["id"] for r in spark.table(table_name).collect()) == [1, 2, 3, 4]
+    # Equal times, late by a day, and late by years.
+    later = first + [(3, 1, dt.datetime(2024, 1, 5, 12)), (4, 2, dt.datetime(2024, 1, 4)), (5, 2, dt.datetime(2019, 7, 1)), (6, None, None)]
+    for data in (first, later, later[::-1]):
+        tables.load_increment(spark.createDataFrame(data + data[:1], SCHEMA), table_name, key=key)
+    assert sorted(r["id"] for r in spark.table(table_name).collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_incremental_load_rewrites_touched_days_alone(spark, table_name, tmp_path):
+    path = str(tmp_path / "loaded")
+    data = [(i, i, dt.datetime(2024, 1, 1 + i)) for i in range(5)]
+    tables.load_increment(spark.createDataFrame(data, SCHEMA), table_name, key=["id"], path=path)
+    before = {d.name: sorted(f.name for f in d.iterdir()) for d in (tmp_path / "loaded").glob("day=*")}
+    changed = [(2, 77, dt.datetime(2024, 1, 3)), (9, 9, dt.datetime(2024, 1, 3)), (3, 3, dt.datetime(2024, 1, 4))]
+    assert tables.load_increment(spark.createDataFrame(changed, SCHEMA), table_name, key=["id"]) == [dt.date(2024, 1, 3)]
+    after = {d.name: sorted(f.name for f in d.iterdir()) for d in (tmp_path / "loaded").glob("day=*")}
+    assert [d for d in before if before[d] != after[d]] == ["day=2024-01-03"]
+    got = sorted((r["id"], r["user_id"]) for r in spark.table(table_name).collect())
+    assert got == [(0, 0), (1, 1), (2, 77), (3, 3), (4, 4), (9, 9)]
+    # Of several rows of a key the newest counts.
+    twice = [(4, 50, dt.datetime(2024, 1, 5, 1)), (4, 51, dt.datetime(2024, 1, 5, 2))]
+    tables.load_increment(spark.createDataFrame(twice, SCHEMA), table_name, key=["id"])
+    assert spark.table(table_name).where("id = 4").first()["user_id"] == 51
+
+
+def test_incremental_load_of_keys_that_move(spark, table_name):
+    data = [(1, 1, dt.datetime(2024, 1, 1)), (2, 2, dt.datetime(2024, 1, 2)), (3, 3, dt.datetime(2024, 1, 2)), (4, 4, None)]
+    tables.load_increment(spark.createDataFrame(data, SCHEMA), table_name, key=["id"])
+    moved = [(1, 1, dt.datetime(2024, 1, 2)), (4, 4, dt.datetime(2024, 1, 9))]
+    days = tables.load_increment(spark.createDataFrame(moved, SCHEMA), table_name, key=["id"], keys_move=True)
+    assert set(days) == {dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 9), None}
+    got = sorted((r["id"], str(r["day"])) for r in spark.table(table_name).collect())
+    assert got == [(1, "2024-01-02"), (2, "2024-01-02"), (3, "2024-01-02"), (4, "2024-01-09")]
 
 
 def test_append_copy_and_buckets(spark, table_name):

@@ -128,3 +128,27 @@ def test_slice_width_fits_the_hottest_key(frame):
     hottest = max(slices.values())
     assert 1 <= width < 86400 and hottest <= 20
     assert fit_slice_seconds(df, ["k"], "ts") == 3600
+
+
+def test_adjacent_pairs_move_the_rows_once(spark, frame):
+    """One exchange of rows; what else crosses the network has been aggregated to a row per bucket."""
+    import re
+
+    df, _ = frame
+    plan = adjacent_pairs(df.select("k", "ts", "id"), ["k", "ts", "id"], lambda n: n.isNotNull())._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in plan.splitlines() if line.strip()]
+    wide = [
+        i for i, line in enumerate(lines)
+        if re.search(r"(?<!Broadcast)Exchange (hash|range|Single)", line) and not re.search("partial_|Window|Aggregate", " ".join(lines[i + 1 : i + 3]))
+    ]
+    assert len(wide) == 1, plan
+
+
+def test_adjacent_pairs_of_copies(spark):
+    """A value that fills buckets by itself is counted, and its copies still follow each other."""
+    data = [(5,)] * 900 + [(i,) for i in range(40)] + [(None,)] * 300
+    df = spark.createDataFrame(data, "v int").repartition(7)
+    pairs = adjacent_pairs(df, ["v"], lambda n: n.isNotNull())
+    got = Counter((r["v"], r["_next"]["v"]) for r in pairs.collect())
+    order = sorted((v for (v,) in data), key=lambda v: (v is not None, v or 0))
+    assert got == Counter(zip(order, order[1:], strict=False))

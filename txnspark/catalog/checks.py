@@ -297,12 +297,10 @@ def _(spark, sf):
     return Q.run_checks(
         table(spark, sf, "orders"),
         [
-            Q.Check("price range", lambda d: Q.accepted_range(d, "o_totalprice", max_value=400000), "error"),
-            Q.Check("unique key", lambda d: Q.unique(d, "o_orderkey"), "error"),
-            Q.Check("statuses", lambda d: Q.accepted_values(d, "o_orderstatus", ["F", "O"]), where="o_custkey > 10"),
-            Q.Check(
-                "tolerated", lambda d: Q.accepted_range(d, "o_totalprice", min_value=20000), "error", error_if="> 1000000000"
-            ),
+            Q.Check("price range", Q.range_rule("o_totalprice", max_value=400000), "error"),
+            Q.Check("unique key", Q.unique_rule("o_orderkey"), "error"),
+            Q.Check("statuses", Q.values_rule("o_orderstatus", ["F", "O"]), where="o_custkey > 10"),
+            Q.Check("tolerated", Q.range_rule("o_totalprice", min_value=20000), "error", error_if="> 1000000000"),
         ],
     )
 
@@ -339,6 +337,56 @@ def _(spark, sf):
     return Q.run_checks(m, C.transaction_expectations(now, "transaction_timestamp_utc"))
 
 
+@query(
+    "qc_27_indicator_expectations",
+    ctes(B.RAW_INDICATORS)
+    + """, feed AS (SELECT CASE WHEN day(date) % 6 = 0 THEN NULL WHEN day(date) % 7 = 0 THEN 0 ELSE 1 END AS value,
+      CASE WHEN day(date) % 5 = 0 THEN 'usa' ELSE 'US' END AS country,
+      CASE WHEN indicator = 'GDP' THEN 'quarterly' WHEN indicator = 'UNRATE' THEN 'weekly' ELSE 'monthly' END AS frequency FROM raw_indicators),
+    counted AS (
+      SELECT 'value is a number' AS "check", count(*) FILTER (value IS NULL) AS failures FROM feed
+      UNION ALL SELECT 'country code', count(*) FILTER (country = 'usa') FROM feed
+      UNION ALL SELECT 'frequency enum', count(DISTINCT frequency) FILTER (frequency = 'weekly') FROM feed)
+    SELECT "check", failures, 'warn' AS severity, CASE WHEN failures = 0 THEN 'pass' ELSE 'warn' END AS status FROM counted""",
+)
+def _(spark, sf):
+    """The indicator feed with planted faults: no value on every sixth day, a wrong country on every fifth, one frequency."""
+    raw = B.raw_indicators(spark, sf)
+    day = F.dayofmonth("date")
+    feed = raw.select(
+        F.when(day % 6 != 0, F.when(day % 7 == 0, 0.0).otherwise(1.0)).alias("value"),
+        F.when(day % 5 == 0, "usa").otherwise("US").alias("country"),
+        F.when(F.col("indicator") == "GDP", "quarterly").when(F.col("indicator") == "UNRATE", "weekly").otherwise("monthly").alias("frequency"),
+    )
+    return Q.run_checks(feed, C.indicator_expectations())
+
+
+@query(
+    "qc_27_exchange_rate_expectations",
+    """WITH feed AS (
+      SELECT count(*) / CAST(8 AS DOUBLE) - 1 AS rate, upper(left(event_type, 3)) AS code, CAST(ts AS DATE) AS day
+      FROM events GROUP BY event_type, CAST(ts AS DATE)),
+    counted AS (
+      SELECT 'rate >= 0' AS "check", count(*) FILTER (rate < 0) AS failures FROM feed
+      UNION ALL SELECT 'base currency code', 0
+      UNION ALL SELECT 'target currency code', count(*) FILTER (day(day) % 4 = 0) FROM feed
+      UNION ALL SELECT 'timestamp not older than 24 h', count(*) FILTER (day < (SELECT max(day) - 1 FROM feed)) FROM feed)
+    SELECT "check", failures, 'warn' AS severity, CASE WHEN failures = 0 THEN 'pass' ELSE 'warn' END AS status FROM counted""",
+)
+def _(spark, sf):
+    """Daily event counts as rates, with planted faults: lower-case codes on every fourth day, rates below zero, old days."""
+    daily = table(spark, sf, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    code = F.upper(F.left("event_type", F.lit(3)))
+    feed = daily.select(
+        (F.col("n") / F.lit(8.0) - 1).alias("rate"),
+        F.lit("USD").alias("base_currency"),
+        F.when(F.dayofmonth("day") % 4 == 0, F.lower(code)).otherwise(code).alias("target_currency"),
+        F.date_format("day", "yyyy-MM-dd'T'00:00:00'+00:00'").alias("api_timestamp_iso_utc"),
+    )
+    now = B.newest(feed, "api_timestamp_iso_utc").cast("timestamp")
+    return Q.run_checks(feed, C.exchange_rate_expectations(now))
+
+
 @query(
     "qc_28_grouped_checks",
     """SELECT 'recency' AS "check", count(*) AS failures FROM (SELECT user_id FROM events GROUP BY 1

@@ -11,6 +11,7 @@ from txnspark import bindings as B
 from txnspark import schemas as S
 from txnspark.catalog.registry import ctes, query
 from txnspark.operators import contracts as C
+from txnspark.operators import values
 from txnspark.session import ensure_checkpoint_dir
 from txnspark.sources import feeds, files, tables
 from txnspark.streaming import ingest
@@ -75,19 +76,21 @@ def _(spark, sf):
 
 @query(
     "src_06_07_incremental_load",
-    "SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1",
+    """SELECT event_id, user_id, event_type, value, ts, CAST(ts AS DATE) AS day, CAST(0 AS INTEGER) AS days_of_third_run FROM events""",
 )
 def _(spark, sf):
-    """Three loads into a day-partitioned, user-clustered folder: half, all, all again. The mark keeps rows single."""
-    target = scratch(spark, "incremental")
-    e = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    middle = e.agg(F.expr("timestampadd(DAY, 15, min(ts))").cast("timestamp_ntz")).first()[0]
-    for run, increment in enumerate((e.where(F.col("ts") <= F.lit(middle)), e, e)):
-        mark = spark.read.parquet(target).agg(F.max("ts")).first()[0] if run else None
-        laid_out = tables.lay_out_by_day(tables.newer_than(increment, mark, "ts"), "ts", "user_id", "day", salt=2)
-        laid_out.write.mode("append").partitionBy("day").parquet(target)
-    loaded = spark.read.parquet(target)
-    return loaded.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
+    """Three loads into a day-partitioned, user-clustered table: half of the events with provisional values, all of them
+    (late, equal and changed rows on every day), and all again, which finds nothing to write."""
+    name, target = f"loaded_{uuid.uuid4().hex}", scratch(spark, "incremental")
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    half = e.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0).withColumn("value", F.lit(-1.0).cast(e.schema["value"].dataType))
+    try:
+        for increment in (half, e, e):
+            days = tables.load_increment(increment, name, "ts", "user_id", key=["event_id"], path=target)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    loaded = spark.read.schema(e.withColumn("day", F.to_date("ts")).schema).parquet(target)
+    return loaded.withColumn("days_of_third_run", F.lit(len(days)))
 
 
 @query(
@@ -111,17 +114,17 @@ def _(spark, sf):
 
 @query(
     "src_16_union_by_prefix",
-    "SELECT o_orderstatus AS status, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P'",
+    "SELECT o_orderstatus AS status, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus IS DISTINCT FROM 'P'",
 )
 def _(spark, sf):
-    """One external table per order status; those found by prefix, all but one pattern, are united."""
+    """One external table per order status found in the data; those found by prefix, all but one pattern, are united."""
     prefix = f"orders_{uuid.uuid4().hex}_"
-    orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
-    names = [f"{prefix}{s}" for s in "fop"]
+    orders = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status"), "o_orderkey", "o_totalprice")
+    statuses = values.get_column_values(orders, "status", bound=100)
+    names = {f"{prefix}{'none' if s is None else s.lower()}": s for s in statuses}
     try:
-        for name in names:
-            part = orders.where(F.lower("o_orderstatus") == name[-1]).withColumnRenamed("o_orderstatus", "status")
-            tables.append(part, name, scratch(spark, "status"))
+        for name, status in names.items():
+            tables.append(orders.where(F.col("status").eqNullSafe(F.lit(status))), name, scratch(spark, "status"))
         found = tables.relations_by_prefix(spark, "default", prefix.upper(), exclude="%_p")
         return tables.union_tables(spark, found, source_column_name=None)
     finally:
@@ -214,7 +217,7 @@ def _(spark, sf):
     """File stream to a year/month/day/hour lake, exactly once; the event time stands for the arrival time."""
     lake, checkpoint = scratch(spark, "lake"), scratch(spark, "checkpoint")
     stamped = ingest.stamp_received(event_stream(spark, sf).withColumn("received_at", F.col("ts")))
-    parted = ingest.with_arrival_parts(stamped).repartition("day")
+    parted = ingest.with_arrival_parts(stamped)
     ingest.write_lake(parted, lake, checkpoint, once=True).awaitTermination()
     read = spark.read.option("basePath", lake).parquet(lake)
     two = {"day": "arrival_day", "hour": "arrival_hour"}
@@ -222,28 +225,62 @@ def _(spark, sf):
     return read.select("event_id", "user_id", "event_type", *padded)
 
 
-@query("str_02_07_decoded_messages", "SELECT CAST(event_id AS VARCHAR) AS transaction_id, user_id, value AS amount FROM events WHERE event_id % 9 <> 0")
+@query(
+    "str_02_07_decoded_messages",
+    """SELECT CAST(event_id AS VARCHAR) AS transaction_id, CASE WHEN event_id % 9 <> 0 THEN user_id END AS user_id,
+      CASE WHEN event_id % 9 <> 0 THEN value END AS amount, event_id % 9 = 0 AS rejected FROM events WHERE event_id % 9 <> 0
+    UNION ALL SELECT NULL, NULL, NULL, true FROM events WHERE event_id % 9 = 0""",
+)
 def _(spark, sf):
     """JSON payloads decoded on a stream; every ninth payload is cut short and goes to the rejects."""
-    good, bad, checkpoint = (scratch(spark, n) for n in ("accepted", "rejected", "checkpoint"))
+    target, checkpoint = scratch(spark, "decoded"), scratch(spark, "checkpoint")
     body = F.to_json(F.struct(F.col("event_id").cast("string").alias("transaction_id"), "user_id", F.col("value").alias("amount")))
     payload = F.when(F.col("event_id") % 9 == 0, F.left(body, F.lit(12))).otherwise(body)
     messages = event_stream(spark, sf).select(payload.cast("binary").alias("value"))
     decoded = ingest.decode_json(messages)
     rules = [C.Rule("payload: json", F.col("_corrupt").isNull()), *C.required("transaction_id", "user_id", "amount")]
-    ingest.write_with_rejects(decoded, rules, good, bad, checkpoint, once=True).awaitTermination()
-    return spark.read.parquet(good).select("transaction_id", F.col("user_id").cast("bigint").alias("user_id"), "amount")
+    ingest.write_with_rejects(decoded, rules, target, checkpoint, once=True).awaitTermination()
+    sides = []
+    for rejected in (False, True):
+        rows = ingest.committed(spark, target, decoded.schema, rejected)
+        columns = ["transaction_id", F.col("user_id").cast("bigint").alias("user_id"), "amount"]
+        sides.append(rows.select(*columns, F.lit(rejected).alias("rejected")))
+    return sides[0].unionByName(sides[1])
 
 
-@query("str_08_deduplicated", "SELECT event_id, user_id, ts AS event_time FROM events")
+@query("str_04_bounded_batches", "SELECT c_custkey, c_name, c_nationkey, true AS within_bound FROM customer")
+def _(spark, sf):
+    """Messages flushed in batches of at most a hundred, as the progress events and the manifests tell."""
+    topic, target, checkpoint = (scratch(spark, n) for n in ("topic", "flushed", "checkpoint"))
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    ingest.land(customers, topic)
+    stream = ingest.read_bounded(spark, topic, customers.schema)
+    query = ingest.write_with_rejects(stream, C.required("c_custkey"), target, checkpoint, once=True)
+    query.awaitTermination()
+    flushed = ingest.manifests(spark, target).agg(F.max(F.col("accepted") + F.col("rejected")).alias("n"), F.count("*").alias("batches"))
+    sound = (F.col("n") <= ingest.TRANSACTION_BATCH) & F.lit(ingest.batch_rows(query) <= ingest.TRANSACTION_BATCH)
+    return ingest.committed(spark, target, customers.schema).crossJoin(flushed.select(sound.alias("within_bound")))
+
+
+@query("str_08_deduplicated", "SELECT event_id, user_id, ts AS event_time, true AS state_bounded FROM events")
 def _(spark, sf):
-    """Every event arrives twice; one copy per id survives. The watermark spans the data, whose file order is arbitrary."""
-    lake, checkpoint = scratch(spark, "dedup"), scratch(spark, "checkpoint")
-    twice = event_stream(spark, sf).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    keyed = ingest.event_time(twice.select("event_id", "user_id", "ts"), "ts").drop("ts")
-    once = ingest.deduplicate_stream(keyed, ["event_id"], delay="400 days")
-    ingest.lake_writer(once, lake, checkpoint, parts=(), once=True).start().awaitTermination()
-    return spark.read.schema(keyed.schema).parquet(lake)
+    """Every event arrives twice or three times, in order of time but for two days; one copy per id survives, and the state
+    never holds more ids than the delay and a batch span, here half of the month."""
+    topic, lake, checkpoint = (scratch(spark, n) for n in ("topic", "dedup", "checkpoint"))
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    date = F.unix_date(F.to_date("ts"))
+    step = F.floor(date / 2)
+    counts = events.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy("step").collect()  # one row per two days
+    for row in counts:  # one landing per two days, with copies of the first day before
+        landed, late = events.where(step == row["step"]), events.where((step == row["step"] - 1) & (date % 2 == 0))
+        landed.unionByName(landed).unionByName(late).write.mode("append").parquet(topic)
+    stream = ingest.read_files(spark, topic, events.schema, max_files_per_trigger=8)
+    keyed = ingest.event_time(stream, "ts").drop("ts")
+    once = ingest.deduplicate_stream(keyed, ["event_id"], delay="4 days")
+    query = ingest.lake_writer(once, lake, checkpoint, parts=(), once=True).start()
+    query.awaitTermination()
+    bounded = 0 < ingest.state_rows(query) <= 8 * max(r["n"] for r in counts)
+    return spark.read.schema(keyed.schema).parquet(lake).withColumn("state_bounded", F.lit(bounded))
 
 
 @query("str_09_fresh_only", "SELECT event_id, ts FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 48 HOUR FROM events)")

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import fields
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnspark import bindings as B
 from txnspark.catalog.registry import ctes, query
 from txnspark.plans import cards, dashboards, staging, star
+from txnspark.session import scratch_path
 
 # --- oracle fragments ----------------------------------------------------------------------------------------------
 
@@ -231,21 +237,29 @@ def _(spark, sf):
 @query(
     "fct_01_transactions",
     ctes(B.STAGED)
-    + """SELECT t.transaction_id, t.transaction_date_utc AS date_key, t.user_id AS user_key, t.merchant_id AS merchant_key,
-      t.location_country AS location_key, CAST(t.amount AS DOUBLE) AS amount, t.currency
-    FROM staged t""",
+    + """, d AS (SELECT DISTINCT transaction_date_utc FROM staged WHERE transaction_date_utc <= (SELECT max(transaction_date_utc) - 3 FROM staged)),
+    u AS (SELECT DISTINCT user_id FROM staged WHERE user_id % 10 <> 0),
+    m AS (SELECT DISTINCT merchant_id FROM staged WHERE user_id % 3 = 0),
+    l AS (SELECT DISTINCT location_country, location_city, latitude, longitude FROM staged WHERE user_id % 4 = 0)
+    SELECT t.transaction_id, d.transaction_date_utc AS date_key, u.user_id AS user_key, m.merchant_id AS merchant_key,
+      l.location_country AS location_key, CAST(t.amount AS DOUBLE) AS amount, t.currency
+    FROM staged t LEFT JOIN d ON t.transaction_date_utc = d.transaction_date_utc LEFT JOIN u ON t.user_id = u.user_id
+      LEFT JOIN m ON t.merchant_id = m.merchant_id
+      LEFT JOIN l ON t.location_country = l.location_country AND t.location_city = l.location_city
+        AND t.latitude = l.latitude AND t.longitude = l.longitude""",
 )
 def _(spark, sf):
+    """Keys are those found in the dimensions; each dimension lacks some of the rows that the facts refer to."""
     staged = B.staged(spark, sf)
     bounds = staged.agg(
-        F.min("transaction_date_utc").alias("lo"), F.date_add(F.max("transaction_date_utc"), 1).alias("hi")
+        F.min("transaction_date_utc").alias("lo"), F.date_sub(F.max("transaction_date_utc"), 2).alias("hi")
     )
     return star.fct_transactions(
         staged,
         star.dim_date_over(bounds, "lo", "hi"),
-        star.dim_users(staged),
-        star.dim_merchants(staged),
-        star.dim_location(staged),
+        star.dim_users(staged.where("user_id % 10 <> 0")),
+        star.dim_merchants(staged.where("user_id % 3 = 0")),
+        star.dim_location(staged.where("user_id % 4 = 0")),
     )
 
 
@@ -270,6 +284,42 @@ def _(spark, sf):
     return series(spark, sf)
 
 
+@query(
+    "pipe_01_published_marts",
+    FACTS
+    + """, m AS (SELECT DISTINCT t.merchant_id, merchant_city, merchant_state, zip FROM raw_transactions t JOIN merchants m ON t.merchant_id = m.merchant_id
+      WHERE merchant_city IS NOT NULL AND merchant_state IS NOT NULL),
+    early AS (SELECT count(*) AS n FROM facts WHERE transaction_id % 2 = 0)
+    SELECT 'dim_cards' AS mart, (SELECT count(*) FROM raw_cards) AS n, CAST(NULL AS BIGINT) AS n_seen_before
+    UNION ALL SELECT 'dim_merchants', (SELECT count(*) FROM m), NULL
+    UNION ALL SELECT 'dim_users', (SELECT count(*) FROM raw_users), NULL
+    UNION ALL SELECT 'fact_economic_indicators', (SELECT count(*) FROM series), NULL
+    UNION ALL SELECT 'fact_transactions', (SELECT count(*) FROM facts), (SELECT n FROM early)
+    UNION ALL SELECT 'fraud_analysis_view', (SELECT count(*) FROM analysis), (SELECT n FROM early)
+    UNION ALL SELECT 'ml_features', (SELECT count(*) FROM analysis), (SELECT n FROM early)""",
+)
+def _(spark, sf):
+    """All marts published twice, from half of the transactions and from all; readers opened before the second version
+    go on with the first, whoever asks by name gets the second."""
+    database, root = f"marts_{uuid.uuid4().hex}", scratch_path(spark, "marts")
+    raw = B.raw_transactions(spark, sf).join(B.merchants(spark, sf), "merchant_id", "left")
+    rest = [B.raw_cards(spark, sf), B.raw_users(spark, sf), B.merchants(spark, sf), B.raw_indicators(spark, sf), B.fraud_labels(spark, sf)]
+    now = B.newest(B.table(spark, sf, "orders"), "o_orderdate")
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        before = cards.write_marts(raw.where("id % 2 = 0"), *rest, now, database, root)
+        after = cards.write_marts(raw, *rest, now, database, root)
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    count, growing = F.count(F.lit(1)), ("fact_transactions", "fraud_analysis_view", "ml_features")
+    out = []
+    for f in fields(after):
+        seen = getattr(before, f.name).agg(count) if f.name in growing else None
+        known = seen.scalar() if seen is not None else F.lit(None).cast("bigint")
+        out.append(getattr(after, f.name).agg(F.lit(f.name).alias("mart"), count.alias("n")).withColumn("n_seen_before", known))
+    return reduce(DataFrame.unionByName, out)
+
+
 # --- views ---------------------------------------------------------------------------------------------------------
 
 

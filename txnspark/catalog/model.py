@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from functools import reduce
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnspark import bindings as B
 from txnspark.catalog import marts
 from txnspark.catalog.registry import query
-from txnspark.ml import fraud
+from txnspark.ml import balance, curves, fraud
 from txnspark.plans import cards
+from txnspark.session import scratch_path
 
 DAYS = 90
 
@@ -80,29 +84,163 @@ def _(spark, sf):
     return grown.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
 
 
-def small_model(spark, sf):
-    """A small forest on the recent features (the full candidates are for a cluster)."""
+def assembled(df, features):
+    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
+
+
+@query(
+    "ml_04_candidates",
+    """WITH t AS (SELECT o_orderpriority = '1-URGENT' AS f FROM orders),
+    c AS (SELECT count(*) AS n, count(*) FILTER (f) AS p FROM t)
+    SELECT 'rf' AS candidate, 'balanced' AS strategy, n, p AS positives, CAST(n AS DOUBLE) AS weight FROM c
+    UNION ALL SELECT 'gb', 'smote', 2 * (n - p), n - p, CAST(2 * (n - p) AS DOUBLE) FROM c
+    UNION ALL SELECT 'weighted_gb', 'positive', n, p, CAST(n + 9 * p AS DOUBLE) FROM c""",
+)
+def _(spark, sf):
+    """What each candidate is fitted on: its balancing of the same rows."""
+    data = assembled(balanced_source(spark, sf), ["amount", "current_age"])
+    out = []
+    for name, estimator in fraud.candidates().items():
+        rows = balance.balance(data, estimator.strategy)
+        weight = F.col("weight") if "weight" in rows.columns else F.lit(1.0)
+        out.append(rows.agg(
+            F.lit(name).alias("candidate"), F.lit(estimator.strategy).alias("strategy"), F.count("*").alias("n"),
+            F.count_if(F.col("label") == 1).alias("positives"), F.round(F.sum(weight), 6).alias("weight"),
+        ))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(
+    "ml_05_folds",
+    """WITH t AS (SELECT o_orderkey, o_orderpriority = '1-URGENT' AS f,
+      CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 5 AS fold FROM orders),
+    k AS (SELECT CAST(unnest(range(5)) AS INTEGER) AS fold),
+    c AS (SELECT k.fold, count(*) FILTER (t.fold = k.fold) AS held_out, count(*) FILTER (t.fold = k.fold AND f) AS held_out_positives,
+      count(*) FILTER (t.fold <> k.fold) AS training, count(*) FILTER (t.fold <> k.fold AND f) AS positives FROM k, t GROUP BY 1)
+    SELECT fold, held_out, held_out_positives, training, round(training / CAST(2 * positives AS DOUBLE), 9) AS positive_weight,
+      2 * (training - positives) AS oversampled FROM c""",
+)
+def _(spark, sf):
+    """Per fold: the rows held out, as they are, and the balanced training rows, by weights and by synthetic rows."""
+    data = fraud.with_folds(assembled(balanced_source(spark, sf), ["amount", "current_age"]))
+    out = []
+    for fold in range(fraud.FOLDS):
+        held_out, training = data.where(F.col("fold") == fold), data.where(F.col("fold") != fold)
+        weighted, grown = balance.balance(training, "balanced"), balance.balance(training, "smote")
+        sizes = held_out.agg(F.lit(fold).alias("fold"), F.count("*").alias("held_out"), F.count_if(F.col("label") == 1).alias("held_out_positives"))
+        weight = F.round(F.max(F.when(F.col("label") == 1, F.col("weight"))), 9).alias("positive_weight")
+        sizes = sizes.crossJoin(weighted.agg(F.count("*").alias("training"), weight))
+        out.append(sizes.crossJoin(grown.agg(F.count("*").alias("oversampled"))))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(
+    "ml_06_feature_importances",
+    """SELECT feature, rank, decides FROM (SELECT count(*) AS n FROM orders) o,
+    (VALUES ('amount', 1, true), ('current_age', 2, false)) f(feature, rank, decides) WHERE n > 0""",
+)
+def _(spark, sf):
+    """The full forest on a label that one feature decides: that feature has nearly all importance."""
+    data = balanced_source(spark, sf).withColumn("label", (F.col("amount") > 150000).cast("double"))
+    model = fraud.fit(data, fraud.candidates()["rf"], "rf", ["amount", "current_age"], ["amount"])
+    rows = [(n, i, w > 0.9) for i, (n, w) in enumerate(model.importances(), 1)]
+    return spark.createDataFrame(rows, "feature string, rank int, decides boolean")
+
+
+RULE = "CASE WHEN o_totalprice > 250000 OR o_custkey % 7 = 0 THEN 1 ELSE 0 END"
+
+
+@query(
+    "ml_07_classification_report",
+    f"""WITH t AS (SELECT CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS DOUBLE) AS label, CAST({RULE} AS DOUBLE) AS p FROM orders),
+    c AS (SELECT CAST(unnest([0, 1]) AS DOUBLE) AS class),
+    n AS (SELECT class, count(*) FILTER (label = class) AS support, count(*) FILTER (p = class) AS predicted,
+      count(*) FILTER (label = class AND p = class) AS hit FROM c, t GROUP BY 1)
+    SELECT class, hit / CAST(predicted AS DOUBLE) AS precision, hit / CAST(support AS DOUBLE) AS recall,
+      CAST(2 AS DOUBLE) * hit / (predicted + support) AS f1, support FROM n""",
+)
+def _(spark, sf):
+    """Report of a fixed rule's predictions over all orders."""
+    o = B.table(spark, sf, "orders")
+    label = (F.col("o_orderpriority") == "1-URGENT").cast("double").alias("label")
+    return fraud.classification_report(o.select(label, F.expr(RULE).cast("double").alias("prediction")))
+
+
+# Scores with ties, and rows without a score.
+SCORED = """SELECT CASE WHEN o_orderkey % 11 <> 0 THEN CAST(floor(o_totalprice / 500) AS DOUBLE) END AS score,
+    CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS DOUBLE) AS label FROM orders"""
+CURVE = f"""WITH t AS ({SCORED}), p AS (SELECT sum(label) AS total FROM t),
+    c AS (SELECT score AS threshold, sum(label) AS hits, count(*) AS n FROM t WHERE score IS NOT NULL GROUP BY 1),
+    curve AS (SELECT threshold, CAST(sum(hits) OVER w AS BIGINT) AS true_positives, CAST(sum(n) OVER w AS BIGINT) AS predicted,
+      sum(hits) OVER w / sum(n) OVER w AS precision, sum(hits) OVER w / total AS recall FROM c, p WINDOW w AS (ORDER BY threshold DESC)) """
+
+
+def scored_orders(spark, sf):
+    o = B.table(spark, sf, "orders")
+    score = F.when(F.col("o_orderkey") % 11 != 0, F.floor(F.col("o_totalprice") / 500).cast("double"))
+    return o.select(score.alias("score"), (F.col("o_orderpriority") == "1-URGENT").cast("double").alias("label"))
+
+
+@query("ml_07_precision_recall_curve", CURVE + "SELECT * FROM curve")
+def _(spark, sf):
+    return curves.precision_recall_curve(scored_orders(spark, sf)).drop("_bucket")
+
+
+@query(
+    "ml_07_pr_auc",
+    CURVE
+    + """SELECT round(sum((recall - r) * (precision + p) / 2), 9) AS pr_auc FROM (SELECT recall, precision,
+      coalesce(lag(recall) OVER w, 0) AS r, coalesce(lag(precision) OVER w, 1) AS p FROM curve WINDOW w AS (ORDER BY threshold DESC))""",
+)
+def _(spark, sf):
+    return curves.area(curves.precision_recall_curve(scored_orders(spark, sf))).select(F.round("pr_auc", 9).alias("pr_auc"))
+
+
+def held_out_model(spark, sf):
+    """The full forest fitted on the first 60 of the last 90 days, and the rows of the last 30."""
     data = fraud.numeric(recent_features(spark, sf))
-    forest = RandomForestClassifier(
-        numTrees=10, maxDepth=5, weightCol="balanced_weight", featuresCol="features", labelCol="label", seed=fraud.SEED
-    )
-    return fraud.fit(data, forest, "rf"), data
+    boundary = F.date_sub(B.newest(B.table(spark, sf, "orders"), "o_orderdate").cast("date"), 30)
+    early, late = fraud.split_by_time(data, "transaction_date", boundary)
+    return fraud.fit(early, fraud.candidates()["rf"], "rf"), late
 
 
-@query("ml_06_feature_importances")
+LATE = "SELECT * FROM analysis WHERE transaction_date >= (SELECT CAST(max(o_orderdate) AS DATE) - 30 FROM orders)"
+
+
+@query(
+    "ml_07_held_out_report",
+    marts.FACTS + f"SELECT CAST(CASE WHEN is_fraud THEN 1 ELSE 0 END AS DOUBLE) AS class, count(*) AS support, true AS sound FROM ({LATE}) GROUP BY 1",
+)
 def _(spark, sf):
-    model, _ = small_model(spark, sf)
-    return spark.createDataFrame(model.importances(), "feature string, importance double").orderBy(F.desc("importance")).limit(5)
+    """Report on a time hold-out; what the trees find is theirs, the support and the bounds of the shares are not."""
+    model, late = held_out_model(spark, sf)
+    report = fraud.classification_report(model.pipeline.transform(late))
+    shares = [F.coalesce(F.col(c), F.lit(0.0)) for c in ("precision", "recall", "f1")]
+    sound = reduce(Column.__and__, [s.between(0, 1) for s in shares])
+    return report.where("support > 0").select("class", "support", sound.alias("sound"))
 
 
-@query("ml_07_classification_report")
+@query(
+    "ml_08_saved_model",
+    marts.FACTS + f"SELECT transaction_id, 'rf' AS model_used, true AS same FROM ({LATE})",
+)
 def _(spark, sf):
-    model, data = small_model(spark, sf)
-    return fraud.classification_report(model.pipeline.transform(data))
+    """Scores of a model that was saved and loaded again equal those of the fitted one."""
+    model, late = held_out_model(spark, sf)
+    late, path = late.drop("label"), scratch_path(spark, "model")
+    model.save(path)
+    kept = fraud.score(model, late).select("transaction_id", F.col("fraud_probability").alias("kept"))
+    again = fraud.score(fraud.TrainedModel.load(path), late)
+    return again.join(kept, "transaction_id").select("transaction_id", "model_used", (F.col("fraud_probability") == F.col("kept")).alias("same"))
 
 
-@query("ml_09_scores")
+@query(
+    "ml_09_scores",
+    """SELECT o_orderkey AS transaction_id, p AS fraud_probability, p > 0.5 AS is_fraud, abs(p - 0.5) * 2 AS confidence
+    FROM (SELECT o_orderkey, (o_orderkey % 1000) / CAST(1000 AS DOUBLE) AS p FROM orders)""",
+)
 def _(spark, sf):
-    model, _ = small_model(spark, sf)
-    scored = fraud.score(model, recent_features(spark, sf))
-    return scored.select("transaction_id", "fraud_probability", "is_fraud", "confidence", "model_used")
+    """The arithmetic of a score on a column of probabilities."""
+    o = B.table(spark, sf, "orders")
+    p = (F.col("o_orderkey") % 1000) / F.lit(1000.0)
+    return o.select(F.col("o_orderkey").alias("transaction_id"), *[c.alias(n) for n, c in fraud.verdict(p).items()])

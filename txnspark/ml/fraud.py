@@ -7,13 +7,15 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnspark.ml.curves import area, precision_recall_curve
+from txnspark.ml.neighbours import nearest, spreads
 from txnspark.plans.staging import last_days
 
 # Features of the model, the scaled ones, and the parameters of the candidates.
@@ -109,62 +111,45 @@ def smote(
     key: str = "transaction_id",
     neighbours: int = SMOTE_NEIGHBOURS,
     seed: int = SEED,
-    group_rows: int = 10_000,
 ) -> DataFrame:
     """ML-03: oversampling of the positives to the number of negatives, by interpolation between near positives.
 
-    Near means close on a random projection of the standardised features: positives are cut into groups of about
-    ``group_rows`` along that line (dense stretches are salted), sorted, and each synthetic row lies between a row and
-    one of its next ``neighbours`` in the group. This is linear work; no pairs are formed. All choices come from
-    hashes of ``key`` and ``seed``, so a recomputed task yields the same rows.
+    Each synthetic row lies between a positive and one of its ``neighbours`` nearest positives, found by
+    locality-sensitive hashing in linear work (``neighbours.nearest``). All choices come from hashes of ``key`` and
+    ``seed``, so a recomputed task yields the same rows. Fewer than two positives cannot be interpolated and are an error.
     """
     columns = [key, *features, label]
     base = df.select(*columns)
     counts = base.agg(F.count(F.when(F.col(label) == 1, 1)).alias("p"), F.count(F.when(F.col(label) != 1, 1)).alias("n")).first()
     positives, negatives = counts["p"], counts["n"]
     missing = negatives - positives
-    if positives < 2 or missing <= 0:
+    if missing <= 0:
         return base.withColumn("synthetic", F.lit(False))
+    if positives < 2:
+        raise ValueError(f"{positives} positives: interpolation needs two")
 
     def uniform(*parts: Column) -> Column:
         return F.pmod(F.xxhash64(*parts, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     minority = base.where(F.col(label) == 1)
-    spread = minority.agg(*[F.stddev_samp(c).alias(c) for c in features]).first()
-    line = F.lit(0.0)
-    for i, c in enumerate(features):
-        # Fixed direction with alternating signs; constant columns do not contribute.
-        weight = ((seed * 31 + i * 17) % 13 + 1) / 13.0 * (-1 if i % 2 else 1)
-        if spread[c]:
-            line = line + F.col(c) * F.lit(weight / spread[c])
-    placed = minority.withColumn("_line", line)
-    ends = placed.agg(F.min("_line").alias("lo"), F.max("_line").alias("hi")).first()
-    stretches = max(1, positives // group_rows)
-    width = (ends["hi"] - ends["lo"]) / stretches or 1.0
-    placed = placed.withColumn("_stretch", F.floor((F.col("_line") - F.lit(ends["lo"])) / F.lit(width)))
-    # One row per stretch: at most positives / group_rows + 1 rows.
-    dense = placed.groupBy("_stretch").agg(F.ceil(F.count(F.lit(1)) / F.lit(group_rows)).alias("_salts"))
-    salted = placed.join(dense, "_stretch").withColumn("_salt", F.pmod(F.xxhash64(key, F.lit(seed)), F.col("_salts")))
-
-    along = Window.partitionBy("_stretch", "_salt").orderBy("_line", key)
-    row = F.struct(*features)
-    ahead = F.array(*[F.lead(row, j).over(along) for j in range(1, neighbours + 1)])
-    behind = F.array(*[F.lag(row, j).over(along) for j in range(1, neighbours + 1)])
-    # Rows at the end of a group look back; a lone row is its own neighbour.
-    near = F.filter(F.concat(ahead, behind), lambda x: x.isNotNull())
-    ready = salted.withColumn("_near", F.when(F.size(near) > 0, F.slice(near, 1, neighbours)).otherwise(F.array(row)))
-
+    deviation = spreads(minority, features)
+    near = nearest(minority, features, key, neighbours, seed=seed)
     each, rest = divmod(missing, positives)
     extra = F.when(_lowest(minority, key, seed + 1, rest), 1).otherwise(0) if rest else F.lit(0)
-    copies = ready.withColumn("_copies", F.lit(each) + extra).where(F.col("_copies") > 0)
+    copies = minority.withColumn("_copies", F.lit(each) + extra).where(F.col("_copies") > 0).join(near, key, "left")
     copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    pick = F.floor(uniform(F.col(key), F.col("_copy"), F.lit("pick")) * F.size("_near")).cast("int")
+    pick = F.floor(uniform(F.col(key), F.col("_copy"), F.lit("pick")) * F.size("near")).cast("int")
     gap = uniform(F.col(key), F.col("_copy"), F.lit("gap"))
-    chosen = copies.withColumn("_to", F.element_at("_near", pick + 1)).withColumn("_gap", gap)
-    synthetic = chosen.select(
-        key, *[(F.col(c) + F.col("_gap") * (F.col("_to")[c] - F.col(c))).alias(c) for c in features], label,
-        F.lit(True).alias("synthetic"),
-    )
+    # A row without neighbours is its own.
+    chosen = copies.withColumn("_to", F.when(F.size("near") > 0, F.get("near", pick)["x"])).withColumn("_gap", gap)
+
+    def between(i: int, c: str) -> Column:
+        if deviation[c] is None:
+            return F.col(c)
+        to = F.coalesce(F.get("_to", F.lit(i)) * F.lit(deviation[c]), F.col(c))
+        return F.col(c) + F.col("_gap") * (to - F.col(c))
+
+    synthetic = chosen.select(key, *[between(i, c).alias(c) for i, c in enumerate(features)], label, F.lit(True).alias("synthetic"))
     return base.withColumn("synthetic", F.lit(False)).unionByName(synthetic)
 
 
@@ -183,28 +168,24 @@ def feature_order(features: Sequence[str] = FEATURES, scaled: Sequence[str] = SC
     return [*scaled, *[c for c in features if c not in scaled]]
 
 
-def candidates(trees: int = TREES, depth: int = FOREST_DEPTH, seed: int = SEED) -> dict[str, tuple[Estimator, str]]:
-    """ML-04: estimators with the name of their weight column.
+def candidates(trees: int = TREES, depth: int = FOREST_DEPTH, seed: int = SEED) -> dict[str, Estimator]:
+    """ML-04: estimators, each with the balancing of its training rows.
 
     The third candidate of the reference is another boosting library; here it is boosting with positives weighted up.
     """
+    from txnspark.ml.balance import Balanced
+
     shared = {"featuresCol": "features", "labelCol": "label", "seed": seed}
-    return {
-        "rf": (
-            RandomForestClassifier(numTrees=trees, maxDepth=depth, weightCol="balanced_weight", **shared),
-            "balanced_weight",
-        ),
-        "gb": (GBTClassifier(maxIter=trees, stepSize=LEARNING_RATE, maxDepth=3, **shared), ""),
-        "weighted_gb": (
-            GBTClassifier(maxIter=trees, stepSize=0.3, maxDepth=6, weightCol="positive_weight", **shared),
-            "positive_weight",
-        ),
-    }
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, weightCol="weight", **shared)
+    boosting = GBTClassifier(maxIter=trees, stepSize=LEARNING_RATE, maxDepth=3, **shared)
+    weighted = GBTClassifier(maxIter=trees, stepSize=0.3, maxDepth=6, weightCol="weight", **shared)
+    return {"rf": Balanced(forest, "balanced"), "gb": Balanced(boosting, "smote"), "weighted_gb": Balanced(weighted, "positive")}
 
 
-def with_folds(df: DataFrame, folds: int = FOLDS, key: str = "transaction_id", seed: int = SEED) -> DataFrame:
-    """ML-05: fold number from a hash of the key, so the shares of the label are equal up to chance in every fold."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int"))
+def with_folds(df: DataFrame, folds: int = FOLDS, key: str = "transaction_id") -> DataFrame:
+    """ML-05: fold number from a digest of the key, so the shares of the label are equal up to chance in every fold."""
+    digits = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn("fold", (digits % folds).cast("int"))
 
 
 def with_weights(df: DataFrame) -> DataFrame:
@@ -225,25 +206,31 @@ class TrainedModel:
     name: str
     pipeline: PipelineModel
     scores: dict[str, tuple[float, float]] = field(default_factory=dict)
+    features: Sequence[str] = tuple(FEATURES)
+    scaled: Sequence[str] = tuple(SCALED)
 
     def importances(self) -> list[tuple[str, float]]:
         """ML-06, SORT-05: features by importance, greatest first."""
         model = self.pipeline.stages[-1]
         weights = model.featureImportances.toArray().tolist()
-        return sorted(zip(feature_order(), weights), key=lambda x: (-x[1], x[0]))
+        return sorted(zip(feature_order(self.features, self.scaled), weights), key=lambda x: (-x[1], x[0]))
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        spark = _session()
-        rows = [(self.name, n, m, s) for n, (m, s) in self.scores.items()] or [(self.name, self.name, None, None)]
-        meta = spark.createDataFrame(rows, "best_model string, candidate string, mean_f1 double, std_f1 double")
+        features, scaled = list(self.features), list(self.scaled)
+        rows = [(self.name, n, m, s, features, scaled) for n, (m, s) in self.scores.items()]
+        meta = _session().createDataFrame(rows or [(self.name, self.name, None, None, features, scaled)], _METADATA)
         meta.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
 
     @staticmethod
     def load(path: str) -> TrainedModel:
-        rows = _session().read.json(f"{path}/metadata", "best_model string, candidate string, mean_f1 double, std_f1 double").collect()
+        rows = _session().read.json(f"{path}/metadata", _METADATA).collect()
         scores = {r["candidate"]: (r["mean_f1"], r["std_f1"]) for r in rows if r["mean_f1"] is not None}
-        return TrainedModel(rows[0]["best_model"], PipelineModel.load(f"{path}/pipeline"), scores)
+        first = rows[0]
+        return TrainedModel(first["best_model"], PipelineModel.load(f"{path}/pipeline"), scores, tuple(first["features"]), tuple(first["scaled"]))
+
+
+_METADATA = "best_model string, candidate string, mean_f1 double, std_f1 double, features array<string>, scaled array<string>"
 
 
 def _session():
@@ -253,15 +240,15 @@ def _session():
 
 
 def cross_validate(
-    df: DataFrame, models: dict[str, tuple[Estimator, str]] | None = None, folds: int = FOLDS, parallelism: int = 2
+    df: DataFrame, models: dict[str, Estimator] | None = None, folds: int = FOLDS, parallelism: int = 2
 ) -> dict[str, tuple[float, float]]:
     """ML-05: mean and deviation of the F1 score per candidate.
 
-    Scaling and weights belong to the training rows; the held-out fold has neither synthetic nor reweighted rows.
+    Scaling and balancing are fitted with the training rows; the held-out fold has neither synthetic nor weighted rows.
     """
-    data = with_folds(with_weights(df), folds)
+    data = with_folds(df, folds)
     scores = {}
-    for name, (estimator, _) in (models or candidates()).items():
+    for name, estimator in (models or candidates()).items():
         validator = CrossValidator(
             estimator=Pipeline(stages=[*stages(), estimator]),
             estimatorParamMaps=ParamGridBuilder().build(),
@@ -275,31 +262,40 @@ def cross_validate(
     return scores
 
 
-def fit(df: DataFrame, estimator: Estimator, name: str = "model") -> TrainedModel:
-    """ML-06: pipeline of scaling and one estimator, fitted on weighted rows."""
-    return TrainedModel(name, Pipeline(stages=[*stages(), estimator]).fit(with_weights(df)))
+def fit(
+    df: DataFrame, estimator: Estimator, name: str = "model", features: Sequence[str] = FEATURES, scaled: Sequence[str] = SCALED
+) -> TrainedModel:
+    """ML-06: pipeline of scaling and one estimator, which balances its rows itself (``balance.Balanced``)."""
+    pipeline = Pipeline(stages=[*stages(features, scaled), estimator])
+    return TrainedModel(name, pipeline.fit(df), features=tuple(features), scaled=tuple(scaled))
 
 
-def train(df: DataFrame, models: dict[str, tuple[Estimator, str]] | None = None, folds: int = FOLDS) -> TrainedModel:
+def train(df: DataFrame, models: dict[str, Estimator] | None = None, folds: int = FOLDS) -> TrainedModel:
     """ML-04 .. ML-06: compare the candidates, refit the best on all rows. ``df`` comes from ``numeric``."""
     models = models or candidates()
     scores = cross_validate(df, models, folds)
     best = max(scores, key=lambda n: scores[n][0])
-    model = fit(df, models[best][0], best)
+    model = fit(df, models[best], best)
     model.scores = scores
     return model
 
 
+def verdict(probability: Column) -> dict[str, Column]:
+    """ML-09: probability, flag and confidence of a scored row."""
+    return {
+        "fraud_probability": probability,
+        "is_fraud": probability > 0.5,
+        "confidence": F.abs(probability - 0.5) * 2,
+    }
+
+
 def score(model: TrainedModel, df: DataFrame) -> DataFrame:
     """ML-09: probability, flag, confidence, model name and top features for batch or streaming rows."""
     top = [F.struct(F.lit(n).alias("feature"), F.lit(float(w)).alias("importance")) for n, w in model.importances()[:5]]
-    p = vector_to_array("probability")[1]
     kept = [c for c in df.columns if c not in FEATURES and c != "is_fraud"]
     return model.pipeline.transform(numeric(df)).select(
         *kept,
-        p.alias("fraud_probability"),
-        (p > 0.5).alias("is_fraud"),
-        (F.abs(p - 0.5) * 2).alias("confidence"),
+        *[c.alias(n) for n, c in verdict(vector_to_array("probability")[1]).items()],
         F.lit(model.name).alias("model_used"),
         F.array(*top).alias("top_features"),
     )
@@ -332,10 +328,9 @@ def classification_report(predictions: DataFrame, label: str = "label", predicti
 
 
 def pr_auc(predictions: DataFrame) -> float:
-    """ML-07: area under the precision-recall curve."""
-    return BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderPR"
-    ).evaluate(predictions)
+    """ML-07: area under the exact precision-recall curve of the probabilities."""
+    scored = predictions.select(vector_to_array("probability")[1].alias("score"), "label")
+    return area(precision_recall_curve(scored)).first()["pr_auc"]
 
 
 def split_by_time(df: DataFrame, ts: str, boundary: Column) -> tuple[DataFrame, DataFrame]:

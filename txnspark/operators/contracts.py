@@ -123,39 +123,30 @@ def transaction_expectations(as_of: Column | None = None, ts: str = "timestamp")
     """QC-27 for transactions: unique id, positive amount, 48 h, enumerations."""
     now = F.current_timestamp() if as_of is None else as_of
     return [
-        Q.Check("transaction_id unique", lambda d: Q.unique(d, "transaction_id")),
-        Q.Check("amount > 0", lambda d: Q.accepted_range(d, "amount", min_value=0, inclusive=False)),
-        Q.Check(
-            "timestamp within 48 h",
-            lambda d: d.where(F.col(ts).cast("timestamp") < now - F.expr("INTERVAL 48 HOUR")),
-        ),
-        Q.Check("merchant_category enum", lambda d: Q.accepted_values(d, "merchant_category", S.MERCHANT_CATEGORIES)),
-        Q.Check("card_type enum", lambda d: Q.accepted_values(d, "card_type", S.CARD_TYPES)),
+        Q.Check("transaction_id unique", Q.unique_rule("transaction_id")),
+        Q.Check("amount > 0", Q.range_rule("amount", min_value=0, inclusive=False)),
+        Q.Check("timestamp within 48 h", Q.RowRule(F.col(ts).cast("timestamp") < now - F.expr("INTERVAL 48 HOUR"))),
+        Q.Check("merchant_category enum", Q.values_rule("merchant_category", S.MERCHANT_CATEGORIES)),
+        Q.Check("card_type enum", Q.values_rule("card_type", S.CARD_TYPES)),
     ]
 
 
 def indicator_expectations() -> list[Q.Check]:
     """QC-27 for indicators: numeric value, two-letter country, known frequency."""
     return [
-        Q.Check("value is a number", lambda d: d.where(F.col("value").isNull() | F.isnan(F.col("value").cast("double")))),
-        Q.Check("country code", lambda d: Q.expression_is_true(d, f"rlike '{S.COUNTRY_PATTERN}'", "country")),
-        Q.Check("frequency enum", lambda d: Q.accepted_values(d, "frequency", S.FREQUENCIES)),
+        Q.Check("value is a number", Q.RowRule(F.col("value").isNull() | F.isnan(F.col("value").cast("double")))),
+        Q.Check("country code", Q.true_rule(f"rlike '{S.COUNTRY_PATTERN}'", "country")),
+        Q.Check("frequency enum", Q.values_rule("frequency", S.FREQUENCIES)),
     ]
 
 
 def exchange_rate_expectations(as_of: Column | None = None) -> list[Q.Check]:
     """QC-27 for exchange rates: rate >= 0, three-letter codes, ISO timestamps not older than 24 h."""
     now = F.current_timestamp() if as_of is None else as_of
-
-    def stale(d: DataFrame) -> DataFrame:
-        at = F.try_to_timestamp(F.col("api_timestamp_iso_utc"))
-        return d.where(at.isNull() | (at < now - F.expr("INTERVAL 24 HOUR")))
-
+    at = F.try_to_timestamp(F.col("api_timestamp_iso_utc"))
     return [
-        Q.Check("rate >= 0", lambda d: Q.accepted_range(d, "rate", min_value=0)),
-        Q.Check("base currency code", lambda d: Q.expression_is_true(d, f"rlike '{S.CURRENCY_PATTERN}'", "base_currency")),
-        Q.Check(
-            "target currency code", lambda d: Q.expression_is_true(d, f"rlike '{S.CURRENCY_PATTERN}'", "target_currency")
-        ),
-        Q.Check("timestamp not older than 24 h", stale),
+        Q.Check("rate >= 0", Q.range_rule("rate", min_value=0)),
+        Q.Check("base currency code", Q.true_rule(f"rlike '{S.CURRENCY_PATTERN}'", "base_currency")),
+        Q.Check("target currency code", Q.true_rule(f"rlike '{S.CURRENCY_PATTERN}'", "target_currency")),
+        Q.Check("timestamp not older than 24 h", Q.RowRule(at.isNull() | (at < now - F.expr("INTERVAL 24 HOUR")))),
     ]

@@ -15,31 +15,106 @@ from pyspark.sql import functions as F
 
 from txnspark.functions.dates import add_interval
 from txnspark.functions.scalar import slugify
-from txnspark.operators.windows import adjacent_pairs
+from txnspark.operators.windows import adjacent_pairs, repeat
 
 
 def _expr(c: str | Column) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
-# --- row rules -----------------------------------------------------------------------------------------------------
+# --- rules ---------------------------------------------------------------------------------------------------------
 
 
-def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None, inclusive: bool = True) -> DataFrame:
-    """QC-01: rows outside the range."""
+@dataclass(frozen=True)
+class RowRule:
+    """A check of single rows: those with ``violated`` fail it (NULL passes)."""
+
+    violated: Column
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.where(self.violated)
+
+
+@dataclass(frozen=True)
+class KeyRule:
+    """A check of key values: those that more than ``more_than`` of the ``counted`` rows hold fail it. NULLs are equal."""
+
+    keys: tuple[str, ...]
+    counted: Column
+    more_than: int
+    columns: tuple[str, ...]  # names of the keys, and of the count if wanted, in the violations
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        named = [_expr(k).alias(n) for k, n in zip(self.keys, self.columns, strict=False)]
+        grouped = df.where(self.counted).groupBy(*named).agg(F.count(F.lit(1)).alias("_n"))
+        held = grouped.where(F.col("_n") > self.more_than)
+        return held.select(*[F.col(n) for n in self.columns[: len(self.keys)]], *[F.col("_n").alias(n) for n in self.columns[len(self.keys) :]])
+
+
+def range_rule(column: str, min_value=None, max_value=None, inclusive: bool = True) -> RowRule:
+    """Outside the range."""
     c = _expr(column)
     bad = F.lit(False)
     if min_value is not None:
         bad = bad | (c < _literal(min_value) if inclusive else c <= _literal(min_value))
     if max_value is not None:
         bad = bad | (c > _literal(max_value) if inclusive else c >= _literal(max_value))
-    return df.where(bad)
+    return RowRule(bad)
+
+
+def true_rule(expression: str, column: str | None = None) -> RowRule:
+    """Fails a SQL condition; with a column the text is the rest of the condition."""
+    return RowRule(~F.expr(f"{column} {expression}" if column else expression))
+
+
+def not_null_rule(column: str) -> RowRule:
+    """Without a value."""
+    return RowRule(_expr(column).isNull())
+
+
+def length_rule(column: str, value: int) -> RowRule:
+    """Text of another length."""
+    return RowRule(F.length(_expr(column)) != value)
+
+
+def equal_rule(actual: str, expected: str, null_safe: bool = False) -> RowRule:
+    """Two columns differ; with ``null_safe`` NULL equals only NULL."""
+    a, b = F.col(actual), F.col(expected)
+    return RowRule(~a.eqNullSafe(b) if null_safe else a != b)
+
+
+def values_rule(column: str, values: Sequence) -> KeyRule:
+    """Values outside the list."""
+    return KeyRule((column,), ~_expr(column).isin(*values), 0, ("value_field", "n_records"))
+
+
+def forbidden_rule(column: str, values: Sequence) -> KeyRule:
+    """Values on the list."""
+    return KeyRule((column,), _expr(column).isin(*values), 0, ("value_field",))
+
+
+def unique_rule(column: str) -> KeyRule:
+    """Non-null values that occur more than once."""
+    return KeyRule((column,), _expr(column).isNotNull(), 1, ("unique_field", "n_records"))
+
+
+def unique_combination_rule(columns: Sequence[str]) -> KeyRule:
+    """Combinations that occur more than once; NULLs are equal."""
+    return KeyRule(tuple(columns), F.lit(True), 1, tuple(columns))
 
 
 def _literal(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
+# --- row rules -----------------------------------------------------------------------------------------------------
+
+
+def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None, inclusive: bool = True) -> DataFrame:
+    """QC-01: rows outside the range."""
+    return range_rule(column, min_value, max_value, inclusive)(df)
+
+
 def values_between(df: DataFrame, column: str, min_value=None, max_value=None, strictly: bool = False) -> DataFrame:
     """QC-21: rows outside a one- or two-sided range."""
     return accepted_range(df, column, min_value, max_value, inclusive=not strictly)
@@ -47,17 +122,17 @@ def values_between(df: DataFrame, column: str, min_value=None, max_value=None, s
 
 def value_lengths_equal(df: DataFrame, column: str, value: int) -> DataFrame:
     """QC-22: rows whose text has another length."""
-    return df.where(F.length(_expr(column)) != value)
+    return length_rule(column, value)(df)
 
 
 def expression_is_true(df: DataFrame, expression: str, column: str | None = None) -> DataFrame:
     """QC-06: rows that fail a SQL condition; with a column the text is the rest of the condition."""
-    return df.where(~F.expr(f"{column} {expression}" if column else expression))
+    return true_rule(expression, column)(df)
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
     """QC-18: rows without a value."""
-    return df.where(_expr(column).isNull())
+    return not_null_rule(column)(df)
 
 
 def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True) -> DataFrame:
@@ -68,8 +143,7 @@ def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True) -
 
 def assert_equal(df: DataFrame, actual: str, expected: str, null_safe: bool = False) -> DataFrame:
     """QC-23: rows in which two columns differ; with ``null_safe`` NULL equals only NULL."""
-    a, b = F.col(actual), F.col(expected)
-    return df.where(~a.eqNullSafe(b) if null_safe else a != b)
+    return equal_rule(actual, expected, null_safe)(df)
 
 
 # --- value sets ----------------------------------------------------------------------------------------------------
@@ -77,32 +151,22 @@ def assert_equal(df: DataFrame, actual: str, expected: str, null_safe: bool = Fa
 
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """QC-19: distinct values (with their count) outside the list."""
-    c = _expr(column)
-    return (
-        df.where(~c.isin(*values)).groupBy(c.alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))
-    )
+    return values_rule(column, values)(df)
 
 
 def not_accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """QC-09: distinct values that are on the forbidden list."""
-    c = _expr(column)
-    return df.where(c.isin(*values)).select(c.alias("value_field")).distinct()
+    return forbidden_rule(column, values)(df)
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     """QC-17: non-null values that occur more than once."""
-    c = _expr(column)
-    return (
-        df.where(c.isNotNull())
-        .groupBy(c.alias("unique_field"))
-        .agg(F.count(F.lit(1)).alias("n_records"))
-        .where(F.col("n_records") > 1)
-    )
+    return unique_rule(column)(df)
 
 
 def unique_combination_of_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """QC-16: combinations that occur more than once; NULLs are equal."""
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    return unique_combination_rule(columns)(df)
 
 
 # --- aggregates ----------------------------------------------------------------------------------------------------
@@ -173,15 +237,7 @@ def relationships_where(
     parent = to.where(to_condition).select(_expr(field_).alias("id")).where(F.col("id").isNotNull()).distinct()
     counted = child.groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
     orphans = counted.join(parent, "id", "left_anti")
-    return _repeat(orphans, "_n").select("id", F.lit(None).cast(parent.schema["id"].dataType).alias("right_id"))
-
-
-def _repeat(df: DataFrame, times: str) -> DataFrame:
-    """Write every row ``times`` times, in blocks so that no array is longer than 10 000."""
-    block = F.lit(10_000)
-    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(times) - 1) / block))))
-    size = F.least(F.col(times) - F.col("_block") * block, block)
-    return blocks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), size.cast("bigint")))).drop("_block", "_i")
+    return repeat(orphans, "_n").select("id", F.lit(None).cast(parent.schema["id"].dataType).alias("right_id"))
 
 
 def cardinality_equality(df: DataFrame, column: str, to: DataFrame, field_: str) -> DataFrame:
@@ -275,12 +331,7 @@ def mutually_exclusive_ranges(
 
     keys = ["partition_by_col"] if partition_by else []
     parts = [_expr(partition_by).alias("partition_by_col")] if partition_by else []
-    # Equal ranges are counted first, so that neither a hot partition nor a hot range meets in one task.
-    ranges = (
-        df.select(*parts, _expr(lower).alias("lower_bound"), _expr(upper).alias("upper_bound"))
-        .groupBy(*keys, "lower_bound", "upper_bound")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    ranges = df.select(*parts, _expr(lower).alias("lower_bound"), _expr(upper).alias("upper_bound"))
     lo, hi, nxt = F.col("lower_bound"), F.col("upper_bound"), F.col("_next")
     sound = F.coalesce(lo <= hi if zero_length_range_allowed else lo < hi, F.lit(False))
 
@@ -308,14 +359,11 @@ def mutually_exclusive_ranges(
         return F.when(~is_last(following), following["lower_bound"])
 
     broken = adjacent_pairs(
-        ranges.drop("_n"),
+        ranges,
         [*keys, "lower_bound", "upper_bound"],
         lambda following: ~(sound & follows_rule(next_lower(following), is_last(following))),
     )
-    # All but the last copy of a range are followed by an equal one.
-    copies = ranges.where((F.col("_n") > 1) & ~(sound & follows_rule(lo, F.lit(False))))
-    repeated = _repeat(copies.withColumn("_n", F.col("_n") - 1), "_n")
-    return report(broken, next_lower(nxt), is_last(nxt)).unionByName(report(repeated, lo, F.lit(False)))
+    return report(broken, next_lower(nxt), is_last(nxt))
 
 
 def sequential_values(
@@ -325,12 +373,8 @@ def sequential_values(
     part: str | None = None,
     group_by: Sequence[str] = (),
 ) -> DataFrame:
-    """QC-15: values that are not their predecessor plus ``interval`` (date parts when ``part`` is given).
-
-    Equal values are counted first, so that neither a hot group nor a hot value meets in one task.
-    """
-    previous = f"previous_{slugify(column)}"
-    values = df.where(F.col(column).isNotNull()).groupBy(*group_by, column).agg(F.count(F.lit(1)).alias("_n"))
+    """QC-15: values that are not their predecessor plus ``interval`` (date parts when ``part`` is given)."""
+    values = df.where(F.col(column).isNotNull()).select(*group_by, column)
 
     def breaks(earlier: Column, later: Column) -> Column:
         if part:
@@ -344,19 +388,13 @@ def sequential_values(
         return same
 
     jumps = adjacent_pairs(
-        values.select(*group_by, column),
-        [*group_by, column],
-        lambda nxt: same_group(nxt) & breaks(F.col(column), nxt[column]),
-    ).select(
+        values, [*group_by, column], lambda nxt: same_group(nxt) & breaks(F.col(column), nxt[column])
+    )
+    return jumps.select(
         *[F.col("_next")[g].alias(g) for g in group_by],
         F.col("_next")[column].alias(column),
-        F.col(column).alias(previous),
+        F.col(column).alias(f"previous_{slugify(column)}"),
     )
-    copies = values.where(F.col("_n") > 1).where(breaks(F.col(column), F.col(column)))
-    repeats = _repeat(copies.withColumn("_n", F.col("_n") - 1), "_n").select(
-        *group_by, column, F.col(column).alias(previous)
-    )
-    return jumps.unionByName(repeats)
 
 
 # --- runner --------------------------------------------------------------------------------------------------------
@@ -366,8 +404,9 @@ def sequential_values(
 class Check:
     """One check of a frame.
 
-    ``test`` maps the (filtered) frame to its violations; ``failures`` maps violations to a one-row frame with column
-    ``failures`` (default: their count). Thresholds are texts such as ``"> 0"`` or ``">=10"`` (QC-25).
+    ``test`` maps the (filtered) frame to its violations: a ``RowRule``, a ``KeyRule`` or any function. ``failures`` maps
+    violations to a one-row frame with column ``failures`` (default: their count). Thresholds are texts such as ``"> 0"``
+    or ``">=10"`` (QC-25).
     """
 
     name: str
@@ -381,22 +420,65 @@ class Check:
     def violations(self, df: DataFrame) -> DataFrame:
         return self.test(df.where(self.where) if self.where else df)
 
-    def outcome(self, df: DataFrame) -> DataFrame:
+    def status(self) -> Column:
+        """Status by the column ``failures``."""
         if self.severity not in ("warn", "error"):
             raise ValueError(f"severity must be 'warn' or 'error', got {self.severity!r}")
-        bad = self.violations(df)
-        counted = self.failures(bad) if self.failures else bad.agg(F.count(F.lit(1)).alias("failures"))
         status = F.when(F.expr(f"failures {self.warn_if}"), "warn").otherwise("pass")
         if self.severity == "error":
             status = F.when(F.expr(f"failures {self.error_if}"), "error").otherwise(status)
-        return counted.select(
-            F.lit(self.name).alias("check"),
-            F.col("failures").cast("bigint").alias("failures"),
-            F.lit(self.severity).alias("severity"),
-            status.alias("status"),
-        )
+        return status
+
+    def outcome(self, df: DataFrame) -> DataFrame:
+        bad = self.violations(df)
+        counted = self.failures(bad) if self.failures else bad.agg(F.count(F.lit(1)).alias("failures"))
+        return _outcomes(counted.select(F.col("failures").cast("bigint").alias("n0")), [self])
+
+
+def _outcomes(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row of failure counts n0, n1, .. to one row per check."""
+    numbered = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(f"n{i}").alias("failures")) for i in range(len(checks))])
+    of = {what: F.lit(None).cast("string") for what in ("check", "severity", "status")}
+    for i, c in enumerate(checks):
+        values = {"check": F.lit(c.name), "severity": F.lit(c.severity), "status": c.status()}
+        of = {what: F.when(F.col("_i") == i, values[what]).otherwise(of[what]) for what in of}
+    rows = counts.select(F.explode(numbered).alias("c")).select("c.*")
+    return rows.select(of["check"].alias("check"), "failures", of["severity"].alias("severity"), of["status"].alias("status"))
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per check: name, failures, severity, status. All checks run as one Spark job."""
-    return reduce(DataFrame.union, [c.outcome(df) for c in checks])
+    """QC-25: one row per check: name, failures, severity, status.
+
+    The checks are sorted by kind. All row rules are counted by one aggregate over one scan. All key rules share one scan
+    and one shuffle: a row is written out once per rule that counts it, as (rule, key), the keys are counted, and the
+    violated ones are counted per rule. Only checks of other kinds, or with a failure count of their own, read the frame
+    again, one by one.
+    """
+    kinds: dict[type | None, list[Check]] = {RowRule: [], KeyRule: [], None: []}
+    for c in checks:
+        kinds[type(c.test) if type(c.test) in kinds and not c.failures else None].append(c)
+    parts = [c.outcome(df) for c in kinds[None]]
+    if rows := kinds[RowRule]:
+        counts = df.agg(*[F.count_if(_within(c) & c.test.violated).alias(f"n{i}") for i, c in enumerate(rows)])
+        parts.append(_outcomes(counts, rows))
+    if keyed := kinds[KeyRule]:
+        parts.append(_run_key_rules(df, keyed))
+    return reduce(DataFrame.union, parts)
+
+
+def _within(check: Check) -> Column:
+    return F.expr(check.where) if check.where else F.lit(True)
+
+
+def _run_key_rules(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    def named(i: int, rule: KeyRule) -> Column:
+        # Keys of any type travel as text, which is different for different values of one type.
+        key = F.array(*[_expr(k).cast("string") for k in rule.keys])
+        return F.struct(F.lit(i).alias("rule"), key.alias("key"))
+
+    entries = F.array(*[F.when(_within(c) & c.test.counted, named(i, c.test)) for i, c in enumerate(checks)])
+    spread = df.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+    keys = spread.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"))
+    more_than = F.element_at(F.array(*[F.lit(c.test.more_than) for c in checks]), F.col("rule") + 1)
+    bad = [F.count_if((F.col("rule") == i) & (F.col("n") > more_than)).alias(f"n{i}") for i in range(len(checks))]
+    return _outcomes(keys.agg(*bad), checks)

@@ -6,13 +6,14 @@
 * ``with_carry`` cuts the keys the caller names as hot and brings the last k earlier rows to each of their slices (lag
   and ROWS frames); without such keys lag and ROWS frames are plain windows;
 * ``rolling_count`` adds up an interval frame from per-slice totals plus arrivals and expiries inside a slice;
-* ``adjacent_pairs`` compares neighbours of a global order through range partitions and their edges.
+* ``adjacent_pairs`` compares neighbours of a global order through buckets between sampled bounds and their edges.
 
 A slice must fit one task (it spills to disk): ``fit_slice_seconds`` finds the width at which the hottest one does.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -241,6 +242,50 @@ def rolling_count(
     return df.join(frames, condition, "left").drop(*[f"_k{i}" for i in range(len(keys) + 1)])
 
 
+SAMPLES_PER_BUCKET = 20
+
+
+def repeat(df: DataFrame, times: str) -> DataFrame:
+    """Write every row ``times`` times, in blocks so that no array is longer than 10 000."""
+    block = F.lit(10_000)
+    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(times) - 1) / block))))
+    size = F.least(F.col(times) - F.col("_block") * block, block)
+    return blocks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), size.cast("bigint")))).drop("_block", "_i")
+
+
+def sampled_bounds(df: DataFrame, order: Sequence[str], buckets: int) -> tuple[Column, Column | None]:
+    """(quantiles of the rows in their order, rows that are more than a bucket by themselves) as literal arrays, from about
+    ``SAMPLES_PER_BUCKET`` rows a bucket."""
+    rows, wanted = df.select(*order), SAMPLES_PER_BUCKET * buckets
+    fraction = min(1.0, wanted / max(rows.count(), 1))
+    sample = [tuple(r) for r in rows.sample(fraction, 7).orderBy(*order).collect()]
+    kinds = [df.schema[c].dataType for c in order]
+
+    def literal(row: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(row, kinds, order, strict=True)])
+
+    often = [row for row, n in Counter(sample).items() if n >= SAMPLES_PER_BUCKET]
+    step = max(1, len(sample) // buckets)
+    bounds = list(dict.fromkeys(sample[step::step]))
+    return F.array(*map(literal, bounds)), F.array(*map(literal, often)) if often else None
+
+
+def bucket_of(row: Column, bounds: Column, buckets: int) -> Column:
+    """Number of sorted bounds that are not after the row, by binary search."""
+
+    def halve(range_: Column, _: Column) -> Column:
+        middle = F.floor((range_["lo"] + range_["hi"]) / 2).cast("int")
+        after = (range_["lo"] < range_["hi"]) & (F.get(bounds, middle) <= row)
+        stays = range_["lo"] >= range_["hi"]
+        return F.struct(
+            F.when(after, middle + 1).otherwise(range_["lo"]).alias("lo"),
+            F.when(after | stays, range_["hi"]).otherwise(middle).alias("hi"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(buckets.bit_length())), start, halve, lambda found: found["lo"])
+
+
 def adjacent_pairs(
     df: DataFrame,
     order: Sequence[str],
@@ -248,33 +293,36 @@ def adjacent_pairs(
 ) -> DataFrame:
     """Rows of a globally ordered frame that ``keep`` selects, with their successor as struct ``_next``.
 
-    ``keep`` receives the successor (NULL for the very last row). No key is needed: the frame is range-partitioned
-    by ``order``, each partition compares its own neighbours, and only two edge rows per partition meet in one task.
+    ``keep`` receives the successor (NULL for the very last row). No key is needed, and one exchange moves the rows: a
+    sample gives the bounds of buckets, a window compares the neighbours inside a bucket, and the first row of each
+    bucket, one row per bucket and task, is the successor of the last row before. Rows that fill a bucket with copies of
+    themselves are counted instead of moved. Further columns order equal rows.
     """
     columns = df.columns
-    cur = F.struct(*columns)
-    # The range bounds are fixed when the exchange is planned, so a recomputed task finds the same rows under its number.
-    ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(*order)
-    local = ranged.withColumn("_next", F.lead(cur).over(w)).withColumn("_first", F.row_number().over(w) == 1)
-
-    inside = F.col("_next").isNotNull()
-    roles = F.array(
-        F.when(F.col("_first"), F.lit(0)),
-        F.when(~inside, F.lit(1)),
-        F.when(inside & F.coalesce(keep(F.col("_next")), F.lit(False)), F.lit(2)),
-    )
-    picked = local.withColumn("_role", F.explode(F.filter(roles, lambda r: r.isNotNull())))
-
-    # Heads (0) precede open tails (1) of the same partition; interior rows (2) keep to their own partition.
-    edge = F.when(F.col("_role") < 2, F.lit(-1)).otherwise(F.col("_pid"))
-    across = Window.partitionBy("_edge").orderBy("_pid", "_role")
-    resolved = picked.withColumn("_edge", edge).withColumn("_head", F.lead(cur).over(across))
-    return (
-        resolved.withColumn("_next", F.when(F.col("_role") == 1, F.col("_head")).otherwise(F.col("_next")))
-        .where((F.col("_role") == 2) | ((F.col("_role") == 1) & F.coalesce(keep(F.col("_next")), F.lit(False))))
-        .select(*columns, "_next")
-    )
+    full = [*order, *[c for c in columns if c not in order]]
+    buckets = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds, often = sampled_bounds(df, full, buckets)
+    cur, row = F.struct(*columns), F.struct(*full)
+    rows, copied = df, None
+    if often is not None:
+        hot = F.array_contains(often, row)
+        copied = df.where(hot).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+        rows = df.where(~hot).unionByName(copied.drop("_n"))
+    placed = rows.withColumn("_bucket", bucket_of(row, bounds, buckets))
+    w = Window.partitionBy("_bucket").orderBy(*full)
+    local = placed.withColumn("_next", F.lead(cur).over(w))
+    heads = placed.groupBy("_bucket").agg(F.min(row).alias("_least"))
+    least = F.struct(*[F.col("_least")[c].alias(c) for c in columns])
+    heads = heads.select(F.col("_bucket").alias("_at"), F.lead(least).over(Window.orderBy("_bucket")).alias("_ahead"))
+    joined = local.join(F.broadcast(heads), F.col("_bucket") == F.col("_at"), "left")
+    joined = joined.withColumn("_next", F.coalesce("_next", "_ahead")).select(*columns, "_next")
+    pairs = joined.where(F.coalesce(keep(F.col("_next")), F.lit(False)))
+    if copied is None:
+        return pairs
+    # All but the last copy are followed by an equal row.
+    again = copied.where("_n > 1").withColumn("_n", F.col("_n") - 1).withColumn("_next", cur)
+    again = again.where(F.coalesce(keep(F.col("_next")), F.lit(False)))
+    return pairs.unionByName(repeat(again, "_n").drop("_n"))
 
 
 def previous_day_change(daily: DataFrame, day: str, value: str, out: str) -> DataFrame:

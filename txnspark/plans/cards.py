@@ -12,7 +12,7 @@ from txnspark.functions.geo import RADIUS_METRES, point_distance_m
 from txnspark.functions.scalar import safe_divide
 from txnspark.operators.windows import DAY, lag_by_slice, rolling_count
 from txnspark.sources.feeds import indicator_name
-from txnspark.sources.tables import materialise
+from txnspark.sources.tables import materialise, publish, store_version
 
 UNEMPLOYMENT = "UNRATE"
 
@@ -285,25 +285,29 @@ def write_marts(
     labels: DataFrame,
     as_of: Column | None = None,
     database: str = "default",
+    root: str | None = None,
 ) -> Marts:
-    """PIPE-01: tables for the marts, then views that read the stored tables."""
+    """PIPE-01: tables for the marts, then views that read the stored tables.
 
-    def table(df: DataFrame, name: str, *sort_by: Column | str) -> DataFrame:
-        return materialise(df, f"{database}.{name}", "table", sort_by)
-
-    facts = table(
-        fact_transactions(transactions, cards, users, merchants, as_of),
-        "fact_transactions",
-        F.col("transaction_date").desc(),
-    )
-    series = table(fact_economic_indicators(indicators), "fact_economic_indicators", "indicator", "date")
-    analysis = materialise(fraud_analysis(facts, series, labels), "fraud_analysis_view")
-    return Marts(
-        dim_users=table(dim_users(users), "dim_users"),
-        dim_cards=table(dim_cards(cards), "dim_cards"),
-        dim_merchants=table(dim_merchants(transactions), "dim_merchants"),
-        fact_transactions=facts,
-        fact_economic_indicators=series,
-        fraud_analysis_view=analysis,
-        ml_features=materialise(ml_features(analysis), "ml_features"),
-    )
+    With ``root`` every mart becomes a new version below it; the names change to the new versions together, after the
+    last one is written, and views computed from facts read the versions of the same run. Without, tables are
+    replaced one by one.
+    """
+    made = {
+        "dim_users": (dim_users(users), ()),
+        "dim_cards": (dim_cards(cards), ()),
+        "dim_merchants": (dim_merchants(transactions), ()),
+        "fact_transactions": (fact_transactions(transactions, cards, users, merchants, as_of), (F.col("transaction_date").desc(),)),
+        "fact_economic_indicators": (fact_economic_indicators(indicators), ("indicator", "date")),
+    }
+    spark = transactions.sparkSession
+    if not root:
+        stored = {n: materialise(df, f"{database}.{n}", "table", sort_by) for n, (df, sort_by) in made.items()}
+        analysis = materialise(fraud_analysis(stored["fact_transactions"], stored["fact_economic_indicators"], labels), "fraud_analysis_view")
+        return Marts(**stored, fraud_analysis_view=analysis, ml_features=materialise(ml_features(analysis), "ml_features"))
+    versions = {n: store_version(df, f"{root}/{n}", sort_by) for n, (df, sort_by) in made.items()}
+    facts, series = (spark.read.parquet(versions[n]) for n in ("fact_transactions", "fact_economic_indicators"))
+    versions["fraud_analysis_view"] = store_version(fraud_analysis(facts, series, labels), f"{root}/fraud_analysis_view")
+    versions["ml_features"] = store_version(ml_features(spark.read.parquet(versions["fraud_analysis_view"])), f"{root}/ml_features")
+    published = publish({f"{database}.{n}": v for n, v in versions.items()}, spark)
+    return Marts(**{n.split(".")[-1]: df for n, df in published.items()})

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """New path next to the checkpoints, in the folder that all executors share."""
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")

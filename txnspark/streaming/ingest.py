@@ -6,11 +6,11 @@ rows may still sit in memory.
 
 from __future__ import annotations
 
-import hashlib
-
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -82,11 +82,26 @@ def read_files(
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
     """STR-01 offline: one table of a folder as a stream, be it a single file or a folder of part files."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.getFileStatus(path).isDirectory():
-        return read_files(spark, f"{folder}/{name}", schema)
-    return read_files(spark, folder, schema, name_filter=name)
+    first = spark.read.schema(schema).parquet(f"{folder}/{name}").select(F.input_file_name().alias("file")).first()
+    if first and first["file"].rstrip("/").endswith(f"/{name}"):
+        return read_files(spark, folder, schema, name_filter=name)
+    return read_files(spark, f"{folder}/{name}", schema)
+
+
+def land(df: DataFrame, path: str, rows_per_file: int = TRANSACTION_BATCH) -> None:
+    """STR-04 offline: a topic as files of at most ``rows_per_file`` messages, so that files admitted are messages admitted."""
+    df.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+def read_bounded(spark: SparkSession, path: str, schema: T.StructType, rows: int = TRANSACTION_BATCH, rows_per_file: int = TRANSACTION_BATCH) -> DataFrame:
+    """STR-04, STR-11 offline: micro-batches of at most ``rows`` messages from files of at most ``rows_per_file``.
+
+    A topic is bounded the same way by ``max_offsets_per_trigger``. With the minute's trigger of the sinks a batch is
+    flushed by count or by time, whichever comes first.
+    """
+    if rows < rows_per_file:
+        raise ValueError(f"files of {rows_per_file} messages cannot make batches of {rows}")
+    return read_files(spark, path, schema, max_files_per_trigger=rows // rows_per_file)
 
 
 def decode_json(messages: DataFrame, schema: T.StructType = S.TRANSACTION_MESSAGE) -> DataFrame:
@@ -129,15 +144,37 @@ def event_time(df: DataFrame, column: str, out: str = "event_time") -> DataFrame
     return df.withColumn(out, parsed)
 
 
+# Keyed state off the heap, on the executors' disks, with a log of changes per batch in the checkpoint.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def deduplicate_stream(df: DataFrame, keys: Sequence[str], ts: str = "event_time", delay: str = "48 hours") -> DataFrame:
     """STR-08: first arrival per key. State of a key expires ``delay`` after its event time.
 
-    Removal is guaranteed for copies within the delay; rows older than the watermark are dropped. Copies of one key meet
-    in one task per micro-batch, so the batch size (``max_offsets_per_trigger``) bounds what a hot key brings together.
+    The delay is how far copies, and rows out of order, may lie behind the newest row: copies within it are removed for
+    certain, older rows are dropped, and no key older than it is held, so the state follows the delay and not the
+    stream. State lives in RocksDB (set for the session, as streams read it when they start). Copies of one key meet in
+    one task per micro-batch, so the batch size (``max_offsets_per_trigger``) bounds what a hot key brings together.
     """
+    for name, value in STATE_STORE.items():
+        df.sparkSession.conf.set(name, value)
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def state_rows(query: StreamingQuery) -> int:
+    """Most keys held by the stateful operators after any of the last batches."""
+    held = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
+    return max(held, default=0)
+
+
+def batch_rows(query: StreamingQuery) -> int:
+    """Most rows read by any of the last batches."""
+    return max((p["numInputRows"] for p in query.recentProgress), default=0)
+
+
 def fresh_only(df: DataFrame, ts: str, hours: int = 48, as_of: Column | None = None) -> DataFrame:
     """STR-09: messages not older than the limit."""
     now = F.current_timestamp() if as_of is None else as_of
@@ -175,37 +212,62 @@ def write_lake(df: DataFrame, path: str, checkpoint: str, parts: Sequence[str] =
     return lake_writer(df, path, checkpoint, parts, once).start()
 
 
-def write_with_rejects(
-    df: DataFrame,
-    rules: list[Rule],
-    accepted: str,
-    rejected: str,
-    checkpoint: str,
-    once: bool = False,
-) -> StreamingQuery:
-    """STR-07, QC-26: valid rows and rejected rows (with the violated rules) to two folders.
+_MANIFEST = "stream string, batch bigint, folder string, accepted bigint, rejected bigint"
+
+
+def write_with_rejects(df: DataFrame, rules: list[Rule], target: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """STR-07, QC-26: valid rows and rejected rows (with the violated rules), committed together per micro-batch.
 
-    Each micro-batch overwrites its own ``batch=<stream>-<id>`` folder, so a batch that runs twice leaves one copy; the
-    stream's part comes from its checkpoint, so streams that share a target keep out of each other's folders.
+    One pass writes both sides of a batch to a new folder, then one manifest file names it with its counts; readers
+    (``committed``) follow the manifests, so they never see half a batch. A manifest belongs to a batch of a stream, and a
+    stream is known by the id in its checkpoint: a batch that runs twice finds its manifest and writes nothing, and a
+    checkpoint begun again at the same path is another stream, which adds batches and overwrites none.
     """
     checked = validate(df, rules)
-    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    spark = df.sparkSession
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            good = batch.where(F.size("violations") == 0).drop("violations")
-            bad = batch.where(F.size("violations") > 0)
-            good.write.mode("overwrite").parquet(f"{accepted}/batch={stream}-{batch_id}")
-            bad.write.mode("overwrite").parquet(f"{rejected}/batch={stream}-{batch_id}")
-        finally:
-            batch.unpersist()
+        stream = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+        manifest = f"{target}/manifest/{stream}-{batch_id}"
+        if _exists(spark, manifest):
+            return
+        folder, counts = f"{target}/data/{stream}-{batch_id}-{uuid.uuid4().hex}", Observation()
+        rejected = F.size("violations") > 0
+        seen = batch.observe(counts, F.count("*").alias("n"), F.count_if(rejected).alias("rejected"))
+        seen.withColumn("rejected", rejected).write.partitionBy("rejected").parquet(folder)
+        n, bad = (counts.get[c] for c in ("n", "rejected"))
+        row = [(stream, batch_id, folder, n - bad, bad)]
+        spark.createDataFrame(row, _MANIFEST).coalesce(1).write.mode("overwrite").json(manifest)
 
     writer = checked.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{FLUSH_SECONDS} seconds")
     return writer.start()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to the end."""
+    try:
+        return not spark.read.schema(_MANIFEST).json(path).isEmpty()
+    except AnalysisException:
+        return False
+
+
+def manifests(spark: SparkSession, target: str) -> DataFrame:
+    """The committed batches: stream, batch, folder, accepted and rejected rows."""
+    return spark.read.schema(_MANIFEST).option("recursiveFileLookup", True).json(f"{target}/manifest")
+
+
+def committed(spark: SparkSession, target: str, schema: T.StructType, rejected: bool = False) -> DataFrame:
+    """Accepted rows, or rejected rows with their violations, of the committed batches. The list of batches, one short row
+    each, passes the driver; ``compact`` keeps it short."""
+    side = "rejected" if rejected else "accepted"
+    folders = [r["folder"] for r in manifests(spark, target).where(f"{side} > 0").select("folder").collect()]
+    kept = T.StructType([*schema.fields, *([T.StructField("violations", T.ArrayType(T.StringType()))] if rejected else [])])
+    if not folders:
+        return spark.createDataFrame([], kept)
+    return spark.read.schema(kept).parquet(*[f"{f}/rejected={str(rejected).lower()}" for f in folders])
+
+
 def topic_to_table(
     messages: DataFrame,
     decode: Callable[[DataFrame], DataFrame],
