@@ -24,9 +24,11 @@ pairs; extra columns are not used.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnspark.llm import template_windows
 from txnspark.llm.common import body_hash, free_name, let, meet, stored, words
 
 WINDOW = 8
@@ -126,16 +128,41 @@ def _occurrences(met: DataFrame) -> DataFrame:
     return near.withColumn("group", F.explode(F.array(*kinds))).select(*met.columns, "shift", "group.*")
 
 
+def _named_windows(items: DataFrame, benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """(h, item, part, p, some, n_windows): the windows of the index under the hashes of the first pass."""
+    parts = benchmark.select(F.col(item).alias("item"), F.xxhash64(text).alias("part"), F.col(text).alias("text")).distinct()
+    kind = benchmark.schema[item].dataType.simpleString()
+    read = template_windows.all_windows(UNITS, WINDOW)
+    named = parts.mapInArrow(read, f"item {kind}, part bigint, length int, p int, h bigint")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("item", "part", "length", "p")]
+    return items.alias("a").join(named.alias("b"), same).select("b.h", "a.item", "a.part", "a.p", "a.some", "a.n_windows")
+
+
+BITS = 26  # at most two to so many bits say which hashes the benchmark has
+
+
+def _bits(named: DataFrame) -> np.ndarray:
+    """One bit per leading bits of a hash, about sixteen times as many as there are hashes, eight megabytes at most. A
+    large benchmark sets most of them, and more windows go on to the join, which decides."""
+    size = min(BITS, max(10, (16 * named.count()).bit_length()))
+    places = named.select(F.shiftrightunsigned("h", 64 - size).alias("bit"))
+    one = F.expr("shiftleft(1, CAST(bit % 8 AS INT))")
+    words = places.groupBy(F.shiftright("bit", 3).alias("byte")).agg(F.bit_or(one).alias("bits")).collect()
+    out = np.zeros(1 << (size - 3), np.uint8)
+    for row in words:
+        out[row["byte"]] = row["bits"]
+    return out
+
+
 def _found(docs: DataFrame, benchmark: DataFrame, key: str, text: str, coverage: float) -> DataFrame:
     """(doc, body, item, n_windows, item_windows): pairs of text and item part with enough consistent windows."""
     items = stored(index(benchmark), "benchmark-windows")
     lengths = [r["length"] for r in items.select("length").distinct().collect()]  # at most eight values
     source = docs.select(F.col(key).alias("doc"), body_hash(F.col(text)).alias("body"), F.col(text).alias("text"))
-    templates = source.select("doc", "body", let(_marked(F.col("text")), _placeholders).alias("t"))
-    found = templates.select(
-        "doc", "body", F.explode(F.flatten(F.array(*[_hashes(F.col("t"), n) for n in lengths or [WINDOW]]))).alias("h")
-    )
-    by_hash = items.select("h", "item", "part", "p", "some", "n_windows")
+    by_hash = stored(_named_windows(items, benchmark), "named-windows")
+    kind = docs.schema[key].dataType.simpleString()
+    find = template_windows.found_windows(UNITS, lengths or [WINDOW], _bits(by_hash))
+    found = source.mapInArrow(find, f"doc {kind}, body bigint, h bigint")
     hits = meet(found, by_hash, "h", "inner")
     # What covers RUN words has two windows that far apart.
     spread = F.first("some") & (F.max("p") - F.min("p") + WINDOW >= RUN)
