@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnspark.llm.common import stored, worker_code
-from txnspark.llm.word_hashes import BASE, SLICE_BYTES, _powers, mix
+from txnspark.llm.word_hashes import BASE, _powers, mix
 
 worker_code(__name__)
 
@@ -39,8 +39,10 @@ MATCH = 200
 GRAM = 40
 WINDOW = MATCH - GRAM + 1
 SHARD_SEGMENTS = 4096
-SHARD_BYTES = 4_000_000
-LANE = 1024  # positions that one lane of Kasai's recurrence covers
+SHARD_BYTES = 1_000_000
+SHARD_ROWS = 200_000  # segments, equal ones included, that a task judges at a time
+LANE = 256  # positions that one lane of Kasai's recurrence covers
+SLICE_BYTES = 500_000
 _U = np.uint64
 
 
@@ -219,11 +221,15 @@ class _Block:
 
     def __init__(self):
         self.groups: list[tuple[tuple, dict]] = []
-        self.bytes = 0
+        self.bytes = self.rows = 0
 
     def add(self, key: tuple, held: dict) -> None:
         self.groups.append((key, held))
         self.bytes += sum(map(len, held)) if len(held) > 1 else 0
+        self.rows += sum(map(len, held.values()))
+
+    def full(self) -> bool:
+        return self.bytes >= SHARD_BYTES or self.rows >= SHARD_ROWS
 
     def judge(self) -> pa.RecordBatch:
         """Rows of kind 0: text (a, b) has repeated strings from start to stop; of kind 1: the names, sorted, of the
@@ -265,7 +271,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (h, salt, shards) != key:
                 if key is not None:
                     block.add(key, held)
-                    if block.bytes >= SHARD_BYTES or len(block.groups) >= 20_000:
+                    if block.full():
                         yield block.judge()
                         block = _Block()
                 key, held = (h, salt, shards), {}
@@ -306,6 +312,8 @@ def _across(segments: pa.Table, hits: pa.Table) -> pa.Table:
             held.setdefault(segment, []).append((k1, k2, first))
     rows = []
     for segment, where in held.items():
+        if len(where) > 1:  # repeats inside its own shard, which has reported it
+            continue
         for start, stop in zip(*_runs(_probe(_names(np.frombuffer(segment, np.uint8)), names)), strict=True):
             rows.extend((k1, k2, first + int(start), first + int(stop)) for k1, k2, first in where)
     columns = zip(*rows, strict=True) if rows else [()] * 4
