@@ -8,9 +8,11 @@ Exact, by T-occurrence search. A set of n shingles must share T = ceil(0.75 n) w
 3. DivideSkip: the T - 1 longest lists of a class are set aside, the others are short. Partners meet in a short list of
    both. The short lists of a query are merged by a heap; the partners found there are probed by binary search for the
    rest of the shingles, and those that reach the required overlap are links.
-4. A list asks one query, its first class, against all others, never all pairs; links make components, and only lists
-   with several components ask again. When the pairs across components left are no more than a few per list entry,
-   they are all checked. So no link between components is lost, and a group of copies costs a star, not a clique.
+4. A list asks one query, its first class, against all others; links make components, and only lists with several
+   components ask again, four times as many queries each round. When the pairs across components left are no more than a
+   few per list entry, they are all checked. So no link between components is lost, and a group of copies costs a star,
+   not a clique. From the second round on, pairs must also be near by ``BITS`` parities of their shingles: sets that
+   differ in many parities differ in at least as many shingles.
 
 Defined results: without words (NULL, empty, white space) the set is empty and links with nothing; one to four words are
 one shingle; rows of one id are one document for the component, each with its own n_shingles, NULL being an id after
@@ -23,10 +25,11 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnspark.llm.common import body_hash, free_name, meet, stored, worker_code
@@ -41,7 +44,8 @@ BUCKET_SHINGLES = 2_000_000  # shingles that one task of the index holds
 BLOCK_SETS = 20_000  # sets that one task of the last step holds
 SLICE = 20_000  # list entries that one merge holds
 PAIRS_PER_ENTRY = 32  # pairs across components, per list entry, at which the rest is checked at once
-STARS = 1  # rounds of one query per list before that
+MORE = 4  # times as many queries per list in every further round
+BITS = 1024  # parities per set
 
 
 _PLACES = [np.uint64(x | 1) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F)]
@@ -180,6 +184,11 @@ def _whole_sets(table: pa.Table) -> pa.Table:
     keep = 100 * counts.astype(np.int64) >= PERCENT * sizes[first].astype(np.int64)
     inside = np.repeat(keep, counts)
     weight = np.add.reduceat(dfs.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    words = BITS // 64
+    place = mix(tokens.view(np.uint64) ^ _PLACES[2]) >> np.uint64(64 - (BITS.bit_length() - 1))
+    flat = np.repeat(np.arange(len(first)), counts) * BITS + place.astype(np.int64)
+    odd = (np.bincount(flat, minlength=len(first) * BITS) & 1).astype(np.uint8).reshape(len(first), BITS)
+    bits = np.packbits(odd, axis=1).view(np.int64).reshape(len(first), words)[keep]
     offsets = pa.array(np.append(0, np.cumsum(counts[keep])).astype(np.int32))
     return pa.table(
         {
@@ -187,6 +196,7 @@ def _whole_sets(table: pa.Table) -> pa.Table:
             "n": pa.array(sizes[first][keep].astype(np.int64)),
             "weight": pa.array(weight[keep]),
             "tokens": pa.ListArray.from_arrays(offsets, pa.array(tokens[inside])),
+            "bits": pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * words), pa.array(bits.ravel())),
         }
     )
 
@@ -215,7 +225,8 @@ def classes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def candidates(docs: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
-    """(class, n, weight, tokens): classes with enough shared shingles, these by (number of classes, hash).
+    """(class, n, weight, tokens, bits): classes with enough shared shingles, these by (number of classes, hash), and their
+    parities.
 
     A class with a partner has at most a quarter of its shingles to itself, so not more than that in the lower half of
     the hash range either. Half the index rules out nearly all classes; only the rest, one document each, enter the whole.
@@ -230,7 +241,7 @@ def candidates(docs: DataFrame, classes: DataFrame, key: str, text: str) -> Data
     total = left.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     few = meet(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), left, F.col("doc").eqNullSafe(F.col("first_doc")), "left_semi")
     # A text that others were made from shares its shingles with most classes, which gives it weight.
-    sets = _postings(few, "text", total, False).applyInArrow(_whole_sets, "class bigint, n bigint, weight bigint, tokens array<bigint>")
+    sets = _postings(few, "text", total, False).applyInArrow(_whole_sets, "class bigint, n bigint, weight bigint, tokens array<bigint>, bits array<bigint>")
     return stored(sets, "candidates")
 
 
@@ -364,7 +375,12 @@ def links(sets: DataFrame) -> DataFrame:
     entries = sets.select("class", "n", "weight", F.col("class").alias("root"), F.size("tokens").alias("m"), F.posexplode(short).alias("i", "token"))
     entries = stored(entries.withColumn("after", F.col("m") - F.col("i")).drop("m", "i"), "short-lists")
     found = sets.sparkSession.createDataFrame([], "x bigint, y bigint")
-    for stars_left in range(STARS, -1, -1):
+    words = [f"b{i}" for i in range(BITS // 64)]
+    # Shingles of no other class are in no overlap, whatever the partner.
+    alone = (F.col("n") - F.size("tokens")).alias("alone")
+    parities = sets.select("class", alone, *[F.col("bits")[i].alias(w) for i, w in enumerate(words)])
+    queries = 1
+    while True:
         per_root = entries.groupBy("token", "root").agg(F.count("*").alias("m"))
         lists = per_root.groupBy("token").agg(
             F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("within"), F.count("*").alias("roots")
@@ -374,17 +390,30 @@ def links(sets: DataFrame) -> DataFrame:
         left = lists.agg(F.sum("pairs").alias("pairs"), F.sum("size").alias("entries")).first()
         if not left["entries"]:
             return found
-        entries = stored(entries.join(lists.select("token", "size"), "token"), "open-entries")
-        last = not stars_left or left["pairs"] <= PAIRS_PER_ENTRY * left["entries"]
-        asking = entries.select("token", F.struct(F.col("weight"), F.col("class")).alias("q"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("after").alias("ax"))
+        entries = entries.join(lists.select("token", "size"), "token")
+        near = F.lit(True)
+        if queries > 1:
+            entries = entries.join(parities, "class")
+            differ = reduce(Column.__add__, [F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}x"))) for w in words])
+            # An overlap of 3/7 of both sizes leaves 1/7 of them to differ.
+            near = (PERCENT + 100) * (differ + F.col("alone") + F.col("alonex")) <= (100 - PERCENT) * (F.col("n") + F.col("nx"))
+        entries = stored(entries, "open-entries")
+        last = left["pairs"] <= PAIRS_PER_ENTRY * left["entries"]
+        own = ["alone", *words] if queries > 1 else []
+        asking = entries
+        if not last:
+            rank = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("weight"), F.desc("class")))
+            asking = asking.withColumn("rank", rank).where(F.col("rank") <= queries)
+        query = F.struct(F.col("weight"), F.col("class")).alias("q")
+        renamed = [F.col(c).alias(f"{c}x") for c in own]
+        asking = asking.select("token", query, F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("after").alias("ax"), *renamed)
         if not last:
-            asking = asking.groupBy("token").agg(F.max(F.struct("q", "nx", "rx", "ax")).alias("top")).select("token", "top.*")
             asking = stored(asking, "queries")
         earlier = F.col("q") > F.struct(F.col("weight"), F.col("class"))
         # The first shingle that two sets share comes early enough in both for the overlap that their sizes need.
         overlap = F.ceil((F.col("n") + F.col("nx")) * PERCENT / (100 + PERCENT))
         early = F.least("after", "ax") >= overlap
-        met = entries.join(asking, "token").where(earlier & (F.col("root") != F.col("rx")) & _near(F.col("n"), F.col("nx")) & early)
+        met = entries.join(asking, "token").where(earlier & (F.col("root") != F.col("rx")) & _near(F.col("n"), F.col("nx")) & early & near)
         met = met.withColumn("x", F.col("q.class"))
         part = F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / SLICE)).cast("bigint")
         merged = met.select("x", part.alias("part"), "token", F.col("class").alias("y")).repartition("x", "part")
@@ -396,8 +425,12 @@ def links(sets: DataFrame) -> DataFrame:
             return found
         # The queries have met their whole lists.
         met = asking.select("token", F.col("q.class").alias("class"))
-        entries = entries.join(met, ["token", "class"], "left_anti").drop("size", "root")
-        entries = entries.join(root, "class", "left").withColumn("root", F.coalesce("root", "class"))
+        entries = entries.join(met, ["token", "class"], "left_anti").drop("size", *own)
+        # A component goes by the root of its old root, or of the class itself, so far as the new links give one.
+        for c, new in (("root", "of_root"), ("class", "of_class")):
+            entries = entries.join(root.select(F.col("class").alias(c), F.col("root").alias(new)), c, "left")
+        entries = entries.withColumn("root", F.coalesce("of_root", "of_class", "root")).drop("of_root", "of_class")
+        queries *= MORE
 
 
 def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
