@@ -85,6 +85,12 @@ def maximal(conversations: DataFrame) -> DataFrame:
     return whole.join(strict, key, "left_anti").select("conv_id", F.col("k").alias("n_turns"), "n_copies")
 
 
+def _escaped(column: str) -> Column:
+    """A role or text in which no control token can stand: ``<|`` and ``|>`` get a backslash between their signs."""
+    text = F.coalesce(column, F.lit(""))
+    return F.replace(F.replace(text, F.lit("<|"), F.lit("<\\|")), F.lit("|>"), F.lit("|\\>"))
+
+
 def render(conversations: DataFrame) -> DataFrame:
     """Maximal conversations as text, one row per conversation and chunk of turns (``part``): conv_id, part, n_turns
     (of the conversation), n_copies, rendered."""
@@ -93,7 +99,7 @@ def render(conversations: DataFrame) -> DataFrame:
     chunks = stored(
         turns.select("conv_id", "chunk").distinct().join(kept, "conv_id"), "kept-chunks"
     )
-    line = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.coalesce("text", F.lit("")), F.lit("<|end|>\n"))
+    line = F.concat(F.lit("<|"), _escaped("role"), F.lit("|>\n"), _escaped("text"), F.lit("<|end|>\n"))
     parts = turns.join(chunks, ["conv_id", "chunk"]).groupBy("conv_id", "chunk").agg(
         F.array_sort(F.collect_set(F.struct(F.coalesce("turn", F.lit(2**62)).alias("turn"), "role", "text", line.alias("line")))).alias("turns"),
         F.first("n_turns").alias("n_turns"), F.first("n_copies").alias("n_copies"),

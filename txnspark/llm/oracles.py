@@ -103,7 +103,8 @@ whole AS (SELECT said, any_value(n_turns) AS n_turns, min(conv_id) AS conv_id, c
 starts AS (SELECT DISTINCT said[:k] AS said FROM (SELECT said, unnest(range(1, n_turns)) AS k FROM whole)),
 kept AS (SELECT * FROM whole WHERE said NOT IN (SELECT said FROM starts))
 SELECT conv_id, coalesce(floor(turn / 256)::BIGINT, 9007199254740992) AS part, n_turns, n_copies,
-  string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), ''
+  string_agg('<|' || replace(replace(coalesce(role, ''), '<|', '<\\|'), '|>', '|\\>') || '|>' || chr(10)
+    || replace(replace(coalesce(text, ''), '<|', '<\\|'), '|>', '|\\>') || '<|end|>' || chr(10), ''
     ORDER BY turn NULLS LAST, role NULLS FIRST, text NULLS FIRST) AS rendered
 FROM turns JOIN kept USING (conv_id) GROUP BY ALL
 """

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnspark.llm.common import let, stored, words
+from txnspark.llm.common import free_name, let, stored, words
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -165,9 +165,12 @@ def quality(f: Column, model: Model) -> Column:
 
 
 def keep_good(docs: DataFrame, text: str = "text", iterations: int = ITERATIONS) -> DataFrame:
-    """The rows whose text passes; the same columns. Two passes over the texts, no shuffle of them."""
-    model = fit(patterns(docs.select(features(F.col(text)).alias("counts")), "counts"), iterations)
-    return docs.where(let(features(F.col(text)), lambda f: ~base_failed(f) & (quality(f, model) >= THRESHOLD)))
+    """The rows whose text passes; the same columns. The counts are taken once and stored with the rows."""
+    name = free_name(docs, "counts")
+    counted = stored(docs.withColumn(name, features(F.col(text))), "counted-texts")
+    model = fit(patterns(counted, name), iterations)
+    f = F.col(name)
+    return counted.where(~base_failed(f) & (quality(f, model) >= THRESHOLD)).drop(name)
 
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", iterations: int = ITERATIONS) -> DataFrame:

@@ -42,7 +42,16 @@ TAIL = 65_557  # longest end record: 22 bytes and a comment of 65,535
 LOCATOR, END64 = 20, 56
 
 
+def _uri(path: str) -> str:
+    """Spark's names of an object store as Arrow's."""
+    for scheme in ("s3a://", "s3n://"):
+        if path.startswith(scheme):
+            return "s3://" + path[len(scheme) :]
+    return path
+
+
 def _open(path: str):
+    path = _uri(path)
     fs, place = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
     return fs, place
 
