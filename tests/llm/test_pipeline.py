@@ -34,7 +34,7 @@ def planted():
     for i in range(110, 116):  # notice in several texts: stays in the first alone
         rows[i] = prose(rng, 100) + "\n" + notice + "\n" + prose(rng, 60)
     rows[120] = clean[0]  # exact copy
-    rows[121] = re.sub(r"\b(\w+)\.$", "changed.", clean[1])  # near copy
+    rows[121] = re.sub(r"\b(\w+)\.$", "changed.", clean[1]).replace(". ", ".\n")  # near copy in other lines
     rows[130] = prose(rng, 60) + " " + item + ". " + prose(rng, 60)  # quotes the benchmark
     sources = ["web", "book", None]
     table = [(i, t, "en", sources[i % 3], None if t is None else len(t)) for i, t in rows.items()]
