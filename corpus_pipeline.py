@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and returns the columns of
 ``documents``; the last also returns copy and position. Between stages the rows are stored in the shared folder.
+
+Defined results: NULL and empty texts fail the quality rules; texts are read whole, however long; of equal or linked texts
+the one with the smallest id stays (NULL after all others); rows of one id, or without one, are judged each by its text; a
+text that loses all lines stays as the empty text and is never taken by the mix; an empty table gives no rows; extra
+columns pass through.
 """
 
 from __future__ import annotations
@@ -59,5 +64,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-# Line templates and connected groups cannot be stated in one SQL query; tests compare with a brute-force version.
+# Line templates and connected groups cannot be stated in one SQL query; tests/llm/test_pipeline.py plants cases for every
+# stage and recomputes the shares of the mix, and the stages' operators have brute-force tests of their own.
 ORACLE_SQL = None

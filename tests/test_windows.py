@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import bag, rows
-from txnspark.operators.windows import adjacent_pairs, fit_slice_seconds, hot_keys, lag_by_slice, rolling_count, rolling_rows
+from txnspark.operators.windows import adjacent_pairs, fit_slice_seconds, hot_keys, lag_by_slice, rolling_count, rolling_rows, stored_hot_keys
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -152,3 +152,13 @@ def test_adjacent_pairs_of_copies(spark):
     got = Counter((r["v"], r["_next"]["v"]) for r in pairs.collect())
     order = sorted((v for (v,) in data), key=lambda v: (v is not None, v or 0))
     assert got == Counter(zip(order, order[1:], strict=False))
+
+
+def test_stored_hot_keys_are_read_and_not_counted_again(frame):
+    df, _ = frame
+    hot = stored_hot_keys(df, ["k"], 100)
+    assert rows(hot) == rows(hot_keys(df, ["k"], 100))
+    sliced = rolling_rows(df, ["k"], ["ts", "id"], "v", {"c1": 1}, {"a7": 7}, hot, 900)
+    plain = rolling_rows(df, ["k"], ["ts", "id"], "v", {"c1": 1}, {"a7": 7})
+    assert rows(sliced.select("id", "c1", "a7")) == rows(plain.select("id", "c1", "a7"))
+    assert "hot-keys-" in sliced._jdf.queryExecution().executedPlan().toString()

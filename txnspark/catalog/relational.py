@@ -418,7 +418,7 @@ def _cents(spark, sf):
 )
 def _(spark, sf):
     e = _cents(spark, sf)
-    out = W.rolling_rows(e, ["user_id"], ["ts", "event_id"], "value", {"n": 1}, {}, W.hot_keys(e, ["user_id"], 60))
+    out = W.rolling_rows(e, ["user_id"], ["ts", "event_id"], "value", {"n": 1}, {}, W.stored_hot_keys(e, ["user_id"], 60))
     return out.select("event_id", "n")
 
 
@@ -429,7 +429,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     e = _cents(spark, sf)
-    out = W.rolling_rows(e, ["user_id"], ["ts", "event_id"], "value", {}, {"mean": 7}, W.hot_keys(e, ["user_id"], 60))
+    out = W.rolling_rows(e, ["user_id"], ["ts", "event_id"], "value", {}, {"mean": 7}, W.stored_hot_keys(e, ["user_id"], 60))
     return out.select("event_id", "mean")
 
 
@@ -450,7 +450,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Five types share all rows, so each holds a fifth; types above the bound are spread over slices of a day."""
     e = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
-    hot = W.hot_keys(e, ["event_type"], 1000)
+    hot = W.stored_hot_keys(e, ["event_type"], 1000)
     return W.lag_by_slice(e, ["event_type"], ["ts", "event_id"], "value", "previous", hot, W.DAY).select("event_id", "previous")
 
 

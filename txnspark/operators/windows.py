@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnspark.session import scratch_path
+
 HOUR = 3600
 DAY = 24 * HOUR
 
@@ -56,6 +58,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], more_than: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than).select(*keys)
 
 
+def stored_hot_keys(df: DataFrame, keys: Sequence[str], more_than: int) -> DataFrame:
+    """``hot_keys``, counted once and stored next to the checkpoints: frames that use it several times do not count again,
+    and Spark sees how small it is."""
+    path = scratch_path(df.sparkSession, "hot-keys")
+    hot = hot_keys(df, keys, more_than)
+    hot.write.parquet(path)
+    return df.sparkSession.read.schema(hot.schema).parquet(path)
+
+
 def with_carry(
     df: DataFrame,
     keys: Sequence[str],
