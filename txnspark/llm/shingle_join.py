@@ -9,8 +9,8 @@ Exact, by T-occurrence search. A set of n shingles must share T = ceil(0.75 n) w
    both. The short lists of a query are merged by a heap; the partners found there are probed by binary search for the
    rest of the shingles, and those that reach the required overlap are links.
 4. A list asks one query, its first class, against all others; links make components, and only lists with several
-   components ask again, four times as many queries each round. When the pairs across components left are no more than a
-   few per list entry, they are all checked. So no link between components is lost, and a group of copies costs a star,
+   components ask again, sixteen times as many queries each round. When the pairs across components left are no more than
+   ``PAIRS_PER_ENTRY`` per list entry, they are all checked. So no link between components is lost, and a group of copies costs a star,
    not a clique. From the second round on, pairs must also be near by ``BITS`` parities of their shingles: sets that
    differ in many parities differ in at least as many shingles.
 
@@ -43,8 +43,8 @@ BLOCK_SHINGLES = 2_000_000  # shingles that one block of the index gathers
 BUCKET_SHINGLES = 2_000_000  # shingles that one task of the index holds
 BLOCK_SETS = 20_000  # sets that one task of the last step holds
 SLICE = 20_000  # list entries that one merge holds
-PAIRS_PER_ENTRY = 32  # pairs across components, per list entry, at which the rest is checked at once
-MORE = 4  # times as many queries per list in every further round
+PAIRS_PER_ENTRY = 256  # pairs across components, per list entry, at which the rest is checked at once
+MORE = 16  # times as many queries per list in every further round
 BITS = 1024  # parities per set
 
 
