@@ -12,7 +12,8 @@ A document is contaminated by an item if consistent windows are at least ``COVER
 cover at least ``COVERAGE`` of the item's words and ``RUN`` words or more, as in a copy with a few edited words, each of
 which breaks eight windows; or if they cover ``RUN`` words in a row, in place, however long the item is. Windows with
 fewer than half ordinary words say too little and are not used, unless an item has no others; such an item is only
-found by the share of its windows. The windows of the
+found by the share of its windows. Windows that more than ``SHARED_BY`` items hold, as of a common instruction, are left
+out in the same way. The windows of the
 benchmark are counted first: a small number is broadcast, of more, the windows of the documents meet them
 in a shuffle join.
 
@@ -34,6 +35,7 @@ from txnspark.llm.common import body_hash, free_name, let, meet, stored, words
 WINDOW = 8
 COVERAGE = 0.5
 RUN = 13  # words in a row that are a quotation in themselves
+SHARED_BY = 5  # items that may hold a window before it counts as common to all
 NEAR = 4  # words put in or left out between two pieces of one occurrence
 
 # Units that follow a number.
@@ -108,6 +110,10 @@ def index(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Da
     plain = F.size(F.filter("slots", lambda s: s.isNull())) * 2 >= F.col("length")
     by_item = Window.partitionBy("item", "part")
     ranked = out.withColumn("plain", plain).withColumn("some", F.max("plain").over(by_item)).where(F.col("plain") | ~F.col("some"))
+    # What many items begin with says nothing about one of them, unless an item has nothing else.
+    holders = ranked.select("h", "item", "part").distinct().groupBy("h").agg(F.count("*").alias("holders"))
+    own = ranked.join(holders, "h").withColumn("own", F.col("holders") <= SHARED_BY).drop("holders")
+    ranked = own.withColumn("any_own", F.max("own").over(by_item)).where(F.col("own") | ~F.col("any_own")).drop("own", "any_own")
     gap = F.lead("p").over(by_item.orderBy("p")) - F.col("p")
     ranked = ranked.withColumn("adds", F.least(F.coalesce(gap, "length"), "length"))
     ranked = ranked.withColumn("n_windows", F.count("*").over(by_item)).withColumn("n_covered", F.sum("adds").over(by_item))
