@@ -355,16 +355,16 @@ def _parents(links: DataFrame) -> DataFrame:
     return stored(up.join(above, "root", "left").select("class", F.coalesce("top", "root").alias("root")), "roots")
 
 
-def _settle(pairs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links among the pairs, enough to connect what they connect, and the roots known by then: every class first asks
-    the partner with which it shares most short lists, so that groups collapse; then what is left apart."""
+def _settle(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among the pairs, enough to connect what they connect: every class first asks the partner with which it shares
+    most short lists, so that groups collapse; then what is left apart."""
     best = stored(pairs.groupBy("y").agg(F.max_by("x", F.struct("n_short", "x")).alias("x")), "asked")
     first = _verify(best, sets)
     root = _parents(first)
     r = lambda v: root.select(F.col("class").alias(v), F.col("root").alias(f"r{v}"))
     rest = pairs.join(best, ["x", "y"], "left_anti").join(r("x"), "x", "left").join(r("y"), "y", "left")
     rest = rest.where(F.coalesce("rx", "x") != F.coalesce("ry", "y"))
-    return first.unionByName(_verify(rest.select("x", "y"), sets)), root
+    return first.unionByName(_verify(rest.select("x", "y"), sets))
 
 
 def links(sets: DataFrame) -> DataFrame:
@@ -419,17 +419,16 @@ def links(sets: DataFrame) -> DataFrame:
         merged = met.select("x", part.alias("part"), "token", F.col("class").alias("y")).repartition("x", "part")
         merged = merged.sortWithinPartitions("x", "part", "token", "y").mapInArrow(_merge, "x bigint, y bigint, n_short int")
         # A hot list is cut into more slices than a short one, so a pair may come from two of them.
-        settled, root = _settle(stored(merged.groupBy("x", "y").agg(F.sum("n_short").alias("n_short")), "pairs"), sets)
+        settled = _settle(stored(merged.groupBy("x", "y").agg(F.sum("n_short").alias("n_short")), "pairs"), sets)
         found = found.unionByName(settled)
         if last:
             return found
         # The queries have met their whole lists.
         met = asking.select("token", F.col("q.class").alias("class"))
         entries = entries.join(met, ["token", "class"], "left_anti").drop("size", *own)
-        # A component goes by the root of its old root, or of the class itself, so far as the new links give one.
-        for c, new in (("root", "of_root"), ("class", "of_class")):
-            entries = entries.join(root.select(F.col("class").alias(c), F.col("root").alias(new)), c, "left")
-        entries = entries.withColumn("root", F.coalesce("of_root", "of_class", "root")).drop("of_root", "of_class")
+        # Lists whose classes are connected by now, through whatever links, are closed.
+        known = components(found)
+        entries = entries.drop("root").join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
         queries *= MORE
 
 
