@@ -39,9 +39,9 @@ worker_code(__name__)
 
 SHINGLE = 5
 PERCENT = 75
-BLOCK_SHINGLES = 2_000_000  # shingles that one block of the index gathers
-BUCKET_SHINGLES = 2_000_000  # shingles that one task of the index holds
-BLOCK_SETS = 20_000  # sets that one task of the last step holds
+BLOCK_SHINGLES = 1_000_000  # shingles that one block of the index gathers
+BUCKET_SHINGLES = 1_000_000  # shingles that one task of the index holds
+BLOCK_SETS = 10_000  # sets that one task of the last step holds
 SLICE = 20_000  # list entries that one merge holds
 PAIRS_PER_ENTRY = 256  # pairs across components, per list entry, at which the rest is checked at once
 MORE = 16  # times as many queries per list in every further round
