@@ -222,3 +222,14 @@ def test_economic_dashboard_filters_before_lag(spark, warehouse):
         got.select("date", "indicator_name", "value", "percentage_change", "previous_value"),
         [(dt.date(2024, 1, 2), "Unemployment Rate", 5.0, 25.0, None), (dt.date(2024, 1, 2), None, 0.0, None, None), (dt.date(2024, 1, 3), None, 1.0, None, 0.0)],
     )
+
+
+def test_registered_facts_find_all_their_keys(spark, tmp_path):
+    from txnspark.catalog import registered
+
+    events = "event_id bigint, user_id bigint, value double, event_type string, ts timestamp_ntz"
+    data = [(i, u, 5.0, "view", dt.datetime(2024, 1, i, 3)) for i, u in ((1, 10), (2, 11), (4, 3), (5, 20), (6, 12), (9, 13))]
+    spark.createDataFrame(data, events).write.parquet(str(tmp_path / "events.parquet"))
+    facts = registered()["fct_01_transactions"](spark, str(tmp_path))
+    want = [(str(i), ts.date(), u, f"m{i}", ["US", "GB", "FR"][i % 3]) for i, u, _, _, ts in data]
+    same(facts.select("transaction_id", "date_key", "user_key", "merchant_key", "location_key"), want)
