@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 import statistics
 
@@ -222,3 +223,21 @@ def test_candidates_and_split(data):
     early, late = fraud.split_by_time(data, "transaction_hour", F.lit(12))
     assert early.count() + late.count() == 400
     assert fraud.with_folds(data).select("fold").distinct().count() == 5
+
+
+def test_model_is_fitted_and_scored_on_features_computed_once(spark, tmp_path, monkeypatch):
+    from txnspark.catalog import model
+
+    days = [dt.datetime(2024, 3, 31) - dt.timedelta(days=d) for d in (0, 10, 29, 31, 60, 89)]
+    orders = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "o_orderkey bigint, o_orderdate timestamp_ntz")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    named = [F.lit(1.0).alias(c) for c in fraud.FEATURES]
+    features = orders.select(F.col("o_orderkey").alias("transaction_id"), F.col("o_orderdate").alias("transaction_date"), *named, F.lit(True).alias("is_fraud"))
+    joined = features.join(orders.select(F.col("o_orderkey").alias("transaction_id")), "transaction_id")
+    monkeypatch.setattr(model, "recent_features", lambda *_: joined)
+    monkeypatch.setattr(model.fraud, "fit", lambda df, *_: df)
+    early, late = model.held_out_model(spark, str(tmp_path))
+    assert sorted(r["transaction_id"] for r in early.collect()) == [3, 4, 5]
+    assert sorted(r["transaction_id"] for r in late.collect()) == [0, 1, 2]
+    for df in (early, late):
+        assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()

@@ -14,6 +14,7 @@ from txnspark.catalog.registry import query
 from txnspark.ml import balance, curves, fraud
 from txnspark.plans import cards
 from txnspark.session import scratch_path
+from txnspark.sources.tables import stored
 
 DAYS = 90
 
@@ -197,8 +198,13 @@ def _(spark, sf):
 
 
 def held_out_model(spark, sf):
-    """The full forest fitted on the first 60 of the last 90 days, and the rows of the last 30."""
-    data = fraud.numeric(recent_features(spark, sf))
+    """The full forest fitted on the first 60 of the last 90 days, and the rows of the last 30.
+
+    Fitting and scoring read the features a dozen times, so these are stored once, in a file for every core.
+    """
+    features = fraud.numeric(recent_features(spark, sf))
+    spread = features.repartition(spark.sparkContext.defaultParallelism)
+    data = stored(spread, "features")
     boundary = F.date_sub(B.newest(B.table(spark, sf, "orders"), "o_orderdate").cast("date"), 30)
     early, late = fraud.split_by_time(data, "transaction_date", boundary)
     return fraud.fit(early, fraud.candidates()["rf"], "rf"), late

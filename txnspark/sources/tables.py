@@ -103,7 +103,7 @@ def load_increment(
     columns = held.columns
     same_days = held.where(_in_days(day, _days(one, day)))
     changed = one.select(*columns).alias("a").join(same_days.alias("b"), _same(columns), "left_anti")
-    changed = _stored(changed, "changed-rows")
+    changed = stored(changed, "changed-rows")
     days = _days(changed, day)
     if not days:
         return []
@@ -111,7 +111,7 @@ def load_increment(
         moved = held.where(~_in_days(day, days) | F.col(day).isNull()).alias("a").join(changed.alias("b"), _same(ids), "left_semi")
         days = list({*days, *_days(moved, day)})
     kept = held.where(_in_days(day, days)).alias("a").join(changed.alias("b"), _same(ids), "left_anti")
-    merged = _stored(kept.unionByName(changed), "merged-days")
+    merged = stored(kept.unionByName(changed), "merged-days")
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
@@ -126,7 +126,8 @@ def load_increment(
     return sorted(days, key=str)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame as files next to the checkpoints, so that what reads it several times computes it once."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
