@@ -233,3 +233,20 @@ def test_registered_facts_find_all_their_keys(spark, tmp_path):
     facts = registered()["fct_01_transactions"](spark, str(tmp_path))
     want = [(str(i), ts.date(), u, f"m{i}", ["US", "GB", "FR"][i % 3]) for i, u, _, _, ts in data]
     same(facts.select("transaction_id", "date_key", "user_key", "merchant_key", "location_key"), want)
+
+
+def test_marts_are_published_from_transactions_computed_once(spark, monkeypatch):
+    from txnspark.catalog import marts, registered
+
+    class Seen(Exception):
+        pass
+
+    def stop(raw, cards, users, merchants, *_):
+        raise Seen(raw, merchants)
+
+    monkeypatch.setattr(marts.cards, "write_marts", stop)
+    with pytest.raises(Seen) as caught:
+        registered()["pipe_01_published_marts"](spark, "/root/testdata/sf0.001")
+    for df in caught.value.args:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert df.count() > 0 and "Join" not in plan and "Aggregate" not in plan
