@@ -29,6 +29,28 @@ def test_rounds_equal_brute_force(spark, monkeypatch, more):
     assert got == brute_groups(rows)
 
 
+def test_a_group_costs_a_star(spark, monkeypatch):
+    checked, verify = [], shingle_join._verify
+
+    def counted(pairs, sets):
+        checked.append(pairs.count())
+        return verify(pairs, sets)
+
+    monkeypatch.setattr(shingle_join, "_verify", counted)
+    rng = random.Random(8)
+    base, rows = prose(rng, 100).split(), []
+    for i in range(100):
+        w = list(base)
+        for k in range(1 if i < 70 else 2):  # one edit links with the others of one edit, two edits with few or none
+            w[rng.randrange(50 * k, 50 * k + 45)] = f"{prose(rng, 1)}{i}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in shingle_join.groups(df).collect())
+    assert got == brute_groups(rows)
+    assert max(collections.Counter(c for _, _, c in got).values()) >= 70
+    assert sum(checked) <= 5 * len(rows)  # all pairs across the group: 4950
+
+
 def test_parities_differ_no_more_than_the_sets():
     rng = np.random.default_rng(4)
     sets = []

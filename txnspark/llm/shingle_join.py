@@ -9,10 +9,11 @@ Exact, by T-occurrence search. A set of n shingles must share T = ceil(0.75 n) w
    both. The short lists of a query are merged by a heap; the partners found there are probed by binary search for the
    rest of the shingles, and those that reach the required overlap are links.
 4. A list asks one query, its first class, against all others; links make components, and only lists with several
-   components ask again, sixteen times as many queries each round. When the pairs across components left are no more than
-   ``PAIRS_PER_ENTRY`` per list entry, they are all checked. So no link between components is lost, and a group of copies costs a star,
-   not a clique. From the second round on, pairs must also be near by ``BITS`` parities of their shingles: sets that
-   differ in many parities differ in at least as many shingles.
+   components ask again, sixteen times as many queries each round. From the second round on, when the pairs across
+   components left are no more than ``PAIRS_PER_ENTRY`` per list entry, they are all checked. So no link between
+   components is lost, and a group of copies costs a star, not a clique. From the second round on, pairs must also be
+   near by ``BITS`` parities of their shingles: sets that differ in many parities differ in at least as many shingles.
+   Texts that no link connects, though they share lists, are still compared with each other in these lists, by parities.
 
 Defined results: without words (NULL, empty, white space) the set is empty and links with nothing; one to four words are
 one shingle; rows of one id are one document for the component, each with its own n_shingles, NULL being an id after
@@ -398,7 +399,8 @@ def links(sets: DataFrame) -> DataFrame:
             # An overlap of 3/7 of both sizes leaves 1/7 of them to differ.
             near = (PERCENT + 100) * (differ + F.col("alone") + F.col("alonex")) <= (100 - PERCENT) * (F.col("n") + F.col("nx"))
         entries = stored(entries, "open-entries")
-        last = left["pairs"] <= PAIRS_PER_ENTRY * left["entries"]
+        # Before any answer every class is a component, and a group of copies all its pairs.
+        last = queries > 1 and left["pairs"] <= PAIRS_PER_ENTRY * left["entries"]
         own = ["alone", *words] if queries > 1 else []
         asking = entries
         if not last:
